@@ -50,8 +50,8 @@ def parse_batch_date(batch: str | dt.date) -> dt.date:
 def batch_date_col(name_col: Column | str) -> Column:
     """Spark-side batch date of a folder-name column; NULL when unreadable."""
     c = F.col(name_col) if isinstance(name_col, str) else name_col
-    token = F.split(c, "_").getItem(1)
-    return F.when(token.rlike(r"^\d{4}-\d{2}-\d{2}([T ].*)?$"), F.try_to_date(F.substring(token, 1, 10), F.lit("yyyy-MM-dd")))
+    token = F.get(F.split(c, "_"), 1)
+    return F.when(token.rlike(r"^\d{4}-\d{2}-\d{2}([T ].*)?$"), F.try_to_date(F.substring(token, 1, 10), "yyyy-MM-dd"))
 
 
 def date_lit(batch: str | dt.date) -> Column:

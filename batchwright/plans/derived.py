@@ -137,3 +137,7 @@ def write_one_time_files(spark: SparkSession, sf_dir: str, root: str, names=("cu
     """One-time load inputs ``<root>/<table>.dat``."""
     for t in names:
         write_delimited(table(spark, sf_dir, t), f"{root}/{t}.dat", sep)
+
+
+def write_batch_frame(df: DataFrame, root: str, n: int, name: str, sep: str = "|") -> None:
+    write_delimited(df, f"{root}/{batch_name(n)}/{name}", sep)

@@ -13,6 +13,7 @@ Two forms of the same manifest:
 from __future__ import annotations
 
 import datetime as dt
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -86,9 +87,11 @@ def manifest_frame(spark: SparkSession, root: str, sep: str = "|") -> DataFrame:
         .csv(f"{root.rstrip('/')}/{BATCH_PREFIX}*/*")
     )
     path = F.col("_metadata.file_path")
+    # the batch folder is the one right below the root, wherever the root is
+    pattern = ".*/" + re.escape(root.rstrip("/").rsplit("/", 1)[-1]) + r"/(batch[^/]*)/([^/]+)/"
     located = scan.select(
-        F.regexp_extract(path, r"/(batch[^/]*)/([^/]+)/", 1).alias("batch"),
-        F.regexp_extract(path, r"/(batch[^/]*)/([^/]+)/", 2).alias("table_name"),
+        F.regexp_extract(path, pattern, 1).alias("batch"),
+        F.regexp_extract(path, pattern, 2).alias("table_name"),
     )
     return (
         located.groupBy("batch", "table_name")
