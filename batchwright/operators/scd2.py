@@ -150,6 +150,29 @@ def _fail_on_duplicates(source: DataFrame, key: str) -> DataFrame:
     )
 
 
+def broadcast_limit(spark) -> int:
+    """Bytes under which a join side may be broadcast (Spark's own setting;
+    -1 disables broadcasting)."""
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    raw = raw.strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if raw.endswith(suffix) and raw[: -len(suffix)].strip().lstrip("-").isdigit():
+            return int(raw[: -len(suffix)]) * units[suffix]
+    return int(raw)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (what the planner compares with the
+    broadcast threshold; file sources report their on-disk size)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
+    limit = broadcast_limit(df.sparkSession) if limit is None else limit
+    return limit >= 0 and estimated_bytes(df) <= limit
+
+
 def scd2_strict_changes(
     source: DataFrame,
     open_target: DataFrame,
@@ -157,12 +180,19 @@ def scd2_strict_changes(
     change_cols: Sequence[str],
     batch_date: str | dt.date,
     check_duplicates: bool = True,
+    broadcast_source: bool | None = None,
 ) -> DataFrame:
     """Open versions after the batch, plus the versions it closes.
 
     ``open_target`` holds the open versions only.  Output has the target
     columns and ``_op``: ``keep`` (open, untouched), ``close`` (closed by
     this batch), ``insert`` (new open version).
+
+    Two physical forms, same result.  When the source passes the broadcast
+    size check (``broadcast_source=None`` asks Catalyst's estimate), the open
+    versions are streamed once against the broadcast source and never
+    shuffled; the keys of new rows come from a second, key-only pass.
+    Otherwise one full outer join on the key shuffles each side once.
     """
     b = date_lit(batch_date)
     base = list(source.columns)
@@ -171,10 +201,17 @@ def scd2_strict_changes(
     if check_duplicates:
         src = _fail_on_duplicates(src, key)
     cur = open_target.select(*cols)
+    if broadcast_source is None:
+        broadcast_source = fits_broadcast(src)
 
     t = cur.where(F.col(key).isNotNull()).select(*[F.col(c).alias(f"t_{c}") for c in cols], F.lit(True).alias("_t"))
     s = src.select(*[F.col(c).alias(f"s_{c}") for c in base], F.lit(True).alias("_s"))
-    j = t.join(s, t[f"t_{key}"] == s[f"s_{key}"], "full_outer")
+    tk, sk = f"t_{key}", f"s_{key}"
+    if broadcast_source:
+        s = F.broadcast(s)
+        j = t.join(s, t[tk] == s[sk], "left")
+    else:
+        j = t.join(s, t[tk] == s[sk], "full_outer")
 
     has_t = F.col("_t").isNotNull()
     has_s = F.col("_s").isNotNull()
@@ -196,7 +233,14 @@ def scd2_strict_changes(
     )
     merged = j.select(F.explode(F.array(old, new)).alias("_r")).select("_r.*").where("_emit").drop("_emit")
     unkeyed = cur.where(F.col(key).isNull()).withColumn(OP, F.lit(OP_KEEP))
-    return merged.unionByName(unkeyed)
+    out = merged.unionByName(unkeyed)
+    if broadcast_source:
+        # keys of the open set that the batch touches: at most one per source
+        # row, so this side is bounded by the (already broadcast) source
+        seen = cur.select(F.col(key).alias("_k")).join(F.broadcast(src.select(F.col(key).alias("_k"))), "_k", "left_semi")
+        fresh = src.join(F.broadcast(seen), src[key] == seen["_k"], "left_anti").select(*base)
+        out = out.unionByName(with_scd_columns(fresh, batch_date).select(*cols).withColumn(OP, F.lit(OP_INSERT)))
+    return out
 
 
 def scd2_strict(
