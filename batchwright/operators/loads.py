@@ -27,6 +27,7 @@ class LoadResult:
     action: str
     batch_date: dt.date | None
     metrics: dict = field(default_factory=dict)
+    seconds: float | None = None
 
 
 def _observed(df: DataFrame, name: str, *metrics) -> tuple[DataFrame, Observation]:
@@ -88,15 +89,17 @@ def scd_load(store, spec: TableSpec, source: DataFrame, batch: str | dt.date, mo
     key, cols = spec.primary_key, list(spec.change_columns)
     src = source.select(*spec.columns)
     if mode == scd2.STRICT:
-        changes = scd2.scd2_strict_changes(src, store.read_open(spec.target), key, cols, bdate)
+        changes = scd2.scd2_strict_changes(src, store.read_open(spec.target), key, cols, bdate, keep_null_keys=True)
         changes, obs = _observed(
             changes,
             f"{spec.target}-scd",
             F.count_if(F.col(scd2.OP) == scd2.OP_INSERT).alias("inserted"),
             F.count_if(F.col(scd2.OP) == scd2.OP_CLOSE).alias("closed"),
             F.count_if(F.col(scd2.OP) == scd2.OP_KEEP).alias("kept"),
+            F.count_if(F.col(scd2.OP) == scd2.OP_NULL_KEY).alias("null_keys"),
         )
-        pending = store.stage(spec.target, changes.drop(scd2.OP), lake.SCD, bdate, keep_history=True)
+        changes = changes.where(F.col(scd2.OP) != scd2.OP_NULL_KEY).drop(scd2.OP)
+        pending = store.stage(spec.target, changes, lake.SCD, bdate, keep_history=True)
         m = {k: int(v or 0) for k, v in obs.get.items()}
         if m["inserted"] == 0:
             store.discard(pending)
@@ -108,11 +111,17 @@ def scd_load(store, spec: TableSpec, source: DataFrame, batch: str | dt.date, mo
     # merge, so the join that finds them is not planned twice.
     target = store.read(spec.target)
     changed = scd2.changed_rows(src, target, key, cols, scd2.COMPAT)
+    # NULL-key rows ride along to be counted in the same write, then dropped
+    tagged = changed.withColumn("_null_key", F.lit(False)).unionByName(
+        src.where(F.col(key).isNull()).withColumn("_null_key", F.lit(True))
+    )
+    tagged, nobs = _observed(tagged, f"{spec.target}-changed", F.count_if(F.col("_null_key")).alias("null_keys"))
     path = f"{scratch_dir(store.spark, f'changed-{spec.target}')}/rows"
-    changed.write.mode("overwrite").parquet(path)
+    tagged.where(~F.col("_null_key")).drop("_null_key").write.mode("overwrite").parquet(path)
+    null_keys = int(nobs.get.get("null_keys") or 0)
     staged = store.spark.read.schema(changed.schema).parquet(path)
     if staged.isEmpty():
-        return LoadResult(spec.target, SCD, "no_change", bdate, {"inserted": 0})
+        return LoadResult(spec.target, SCD, "no_change", bdate, {"inserted": 0, "null_keys": null_keys})
     out = scd2.scd2_compat(src, target, key, cols, bdate, changed=staged)
     m = _publish(
         store,
@@ -123,6 +132,7 @@ def scd_load(store, spec: TableSpec, source: DataFrame, batch: str | dt.date, mo
         False,
         [_rows(), F.count_if(F.col("end_date").isNotNull()).alias("closed"), F.count_if(F.col("start_date") == F.lit(bdate)).alias("inserted")],
     )
+    m["null_keys"] = null_keys
     return LoadResult(spec.target, SCD, "scd2_compat", bdate, m)
 
 

@@ -50,6 +50,7 @@ OP = "_op"
 OP_KEEP = "keep"
 OP_CLOSE = "close"
 OP_INSERT = "insert"
+OP_NULL_KEY = "null_key"
 
 
 def _null_date() -> Column:
@@ -181,12 +182,15 @@ def scd2_strict_changes(
     batch_date: str | dt.date,
     check_duplicates: bool = True,
     broadcast_source: bool | None = None,
+    keep_null_keys: bool = False,
 ) -> DataFrame:
     """Open versions after the batch, plus the versions it closes.
 
     ``open_target`` holds the open versions only.  Output has the target
     columns and ``_op``: ``keep`` (open, untouched), ``close`` (closed by
-    this batch), ``insert`` (new open version).
+    this batch), ``insert`` (new open version).  With ``keep_null_keys``
+    the source rows dropped for a NULL key are added as ``null_key`` rows,
+    so a caller can count them in the same pass and filter them out.
 
     Two physical forms, same result.  When the source passes the broadcast
     size check (``broadcast_source=None`` asks Catalyst's estimate), the open
@@ -240,6 +244,9 @@ def scd2_strict_changes(
         seen = cur.select(F.col(key).alias("_k")).join(F.broadcast(src.select(F.col(key).alias("_k"))), "_k", "left_semi")
         fresh = src.join(F.broadcast(seen), src[key] == seen["_k"], "left_anti").select(*base)
         out = out.unionByName(with_scd_columns(fresh, batch_date).select(*cols).withColumn(OP, F.lit(OP_INSERT)))
+    if keep_null_keys:
+        dropped = with_scd_columns(source.where(F.col(key).isNull()).select(*base), batch_date).select(*cols)
+        out = out.unionByName(dropped.withColumn(OP, F.lit(OP_NULL_KEY)))
     return out
 
 

@@ -14,6 +14,7 @@ Per batch the decisions are
 from __future__ import annotations
 
 import datetime as dt
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -57,11 +58,14 @@ def run_batch(
         if store.has_batch(spec.target, entry.batch_date):
             results.append(LoadResult(spec.target, spec.load, "already_loaded", entry.batch_date))
             continue
+        started = time.perf_counter()
         source = read_delimited(spark, entry.path, spec.schema, sep=sep)
         if not store.exists(spec.target):
-            results.append(first_load(store, spec, source, entry.batch_date))
+            result = first_load(store, spec, source, entry.batch_date)
         else:
-            results.append(incremental_load(store, spec, source, entry.batch_date, mode))
+            result = incremental_load(store, spec, source, entry.batch_date, mode)
+        result.seconds = round(time.perf_counter() - started, 3)
+        results.append(result)
     return results
 
 

@@ -120,3 +120,17 @@ def test_compat_mode_replay(spark, batches, ws):
     assert {x.table: x.action for x in reports[1].loads}["customer"] == "scd2_compat"
     open_rows = store.read("customer").where("end_date is null").count()
     assert open_rows > 0
+
+
+@pytest.mark.parametrize("mode", ["strict", "compat"])
+def test_null_keys_dropped_and_counted(spark, ws, mode):
+    root = f"{ws}/src"
+    base = derived.table(spark, SF, "customer")
+    for n in (1, 2):
+        derived.write_batch_frame(derived.customer_nulls_batch(base, n), root, n, "customer")
+    store = LakeStore(spark, f"{ws}/lake")
+    reports = replay(spark, store, driver_registry(), root, "orders", mode=mode)
+    load = reports[1].loads[0]
+    want = base.where("c_custkey % 25 = 1").count()
+    assert load.metrics["null_keys"] == want > 0
+    assert store.read("customer").where("c_custkey is null").count() == 0
