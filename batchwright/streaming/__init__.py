@@ -1 +1,5 @@
-"""Streaming entry points (see :mod:`batchwright.streaming.arrival`)."""
+"""Folder-arrival trigger for the batch loop (see :mod:`.arrival`)."""
+
+from .arrival import arrivals, watch
+
+__all__ = ["arrivals", "watch"]
