@@ -228,7 +228,7 @@ def q_jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     read back with a range-partitioned JDBC scan."""
     url = f"jdbc:derby:memory:bw{uuid.uuid4().hex[:10]};create=true"
     opts = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
-    store = JdbcStore(spark, url, opts)
+    store = JdbcStore(spark, url, opts, keys={"customer": "c_custkey"})
     spec = _reg()["customer"]
     ws = _ws(spark, "jdbc")
     for n in (1, 2):

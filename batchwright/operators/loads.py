@@ -98,7 +98,8 @@ def scd_load(store, spec: TableSpec, source: DataFrame, batch: str | dt.date, mo
             F.count_if(F.col(scd2.OP) == scd2.OP_KEEP).alias("kept"),
             F.count_if(F.col(scd2.OP) == scd2.OP_NULL_KEY).alias("null_keys"),
         )
-        changes = changes.where(F.col(scd2.OP) != scd2.OP_NULL_KEY).drop(scd2.OP)
+        # ``_op`` stays: a store may publish only the delta (close / insert)
+        changes = changes.where(F.col(scd2.OP) != scd2.OP_NULL_KEY)
         pending = store.stage(spec.target, changes, lake.SCD, bdate, keep_history=True)
         m = {k: int(v or 0) for k, v in obs.get.items()}
         if m["inserted"] == 0:

@@ -192,6 +192,8 @@ class LakeStore:
         head = self.head(table)
         seq = head.seq + 1 if head else 1
         path = f"{self.table_path(table)}/{SEQ}={seq}"
+        if "_op" in df.columns:  # merge bookkeeping, not data
+            df = df.drop("_op")
         writer = df.write.mode("overwrite")
         if kind == SCD:
             writer = writer.partitionBy(END_DATE)

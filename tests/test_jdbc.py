@@ -3,6 +3,8 @@
 import datetime as dt
 import uuid
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from batchwright.operators import scd2
@@ -16,13 +18,15 @@ from .conftest import SF
 OPTS = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
 
 
-def _store(spark):
-    return JdbcStore(spark, f"jdbc:derby:memory:t{uuid.uuid4().hex[:10]};create=true", OPTS)
+def _store(spark, **kw):
+    return JdbcStore(spark, f"jdbc:derby:memory:t{uuid.uuid4().hex[:10]};create=true", OPTS, **kw)
 
 
-def test_scd_over_jdbc_keeps_history(spark):
-    """Rewriting a table derived from itself must not lose its old rows."""
-    store = _store(spark)
+@pytest.mark.parametrize("keys", [None, {"customer": "c_custkey"}])
+def test_scd_over_jdbc_keeps_history(spark, keys):
+    """Rewriting a table derived from itself must not lose its old rows
+    (whole-table replace, or the close-and-insert delta when the key is known)."""
+    store = _store(spark, keys=keys)
     spec = driver_registry()["customer"]
     b1 = derived.batch_frame(spark, SF, "customer", 1)
     b2 = derived.batch_frame(spark, SF, "customer", 2)
@@ -66,3 +70,30 @@ def test_partitioned_read(spark):
     df = read_jdbc(spark, store.url, "customer", OPTS, partition_column="c_custkey", num_partitions=3)
     assert df.rdd.getNumPartitions() == 3
     assert df.count() == spark.read.parquet(f"{SF}/customer.parquet").count()
+
+
+def test_publish_is_atomic(spark, monkeypatch):
+    """A failure inside the publishing transaction leaves the table as it
+    was; recover() then completes the publish."""
+    store = _store(spark, keys={"customer": "c_custkey"})
+    spec = driver_registry()["customer"]
+    first_load(store, spec, derived.batch_frame(spark, SF, "customer", 1), derived.BATCH_DATES[0])
+    before = store.read("customer").count()
+    real = store.execute
+
+    def broken(*statements):
+        real(*statements[:-1], "INSERT INTO no_such_table VALUES (1)")
+
+    monkeypatch.setattr(store, "execute", broken)
+    try:
+        scd_load(store, spec, derived.batch_frame(spark, SF, "customer", 2), derived.BATCH_DATES[1], scd2.STRICT)
+        raise AssertionError("publish should have failed")
+    except Exception as exc:  # noqa: BLE001
+        assert "no_such_table" in str(exc).lower() or "NO_SUCH_TABLE" in str(exc)
+    assert store.read("customer").count() == before
+    assert not store.has_batch("customer", derived.BATCH_DATES[1])
+    monkeypatch.setattr(store, "execute", real)
+    assert len(store.recover()) == 1
+    assert store.has_batch("customer", derived.BATCH_DATES[1])
+    assert store.read("customer").where("end_date is null").count() == derived.batch_frame(spark, SF, "customer", 2).count()
+    assert store.recover() == []
