@@ -53,11 +53,17 @@ def full_load(store, spec: TableSpec, source: DataFrame) -> LoadResult:
     return LoadResult(spec.target, FULL, "full_load", None, m)
 
 
-def first_load(store, spec: TableSpec, source: DataFrame, batch: str | dt.date) -> LoadResult:
-    """First batch of a table: open SCD versions, or batch-stamped rows."""
+def first_load(store, spec: TableSpec, source: DataFrame, batch: str | dt.date, mode: str = scd2.STRICT) -> LoadResult:
+    """First batch of a table: open SCD versions, or batch-stamped rows.
+
+    In strict mode an SCD table starts with at most one version per key: a
+    key twice in the first batch fails the load, as it would in a merge."""
     bdate = parse_batch_date(batch)
     src = source.select(*spec.columns)
     if spec.load == SCD:
+        if mode == scd2.STRICT:
+            keyed = scd2.fail_on_duplicates(src.where(F.col(spec.primary_key).isNotNull()), spec.primary_key)
+            src = keyed.unionByName(src.where(F.col(spec.primary_key).isNull()))
         df = with_scd_columns(src, bdate)
         m = _publish(store, spec, df, lake.SCD, bdate, False, [_rows(), scd2.null_key_count(df, spec.primary_key).alias("null_keys")])
     elif spec.load == APPEND:

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.predicates import tuple_differs
-from ..functions.stamps import date_lit, with_scd_columns
+from ..functions.stamps import date_lit, parse_batch_date, with_scd_columns
 from ..specs import END_DATE, START_DATE
 
 STRICT = "strict"
@@ -137,16 +137,21 @@ def scd2_compat(
 
 
 # ---------------------------------------------------------------- strict
-def _fail_on_duplicates(source: DataFrame, key: str) -> DataFrame:
+def q(name: str) -> str:
+    """Quoted identifier for SQL expression text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def fail_on_duplicates(source: DataFrame, key: str) -> DataFrame:
     """Fail the job when a key occurs twice in one batch (strict mode).
 
     The count is a window over the key, so it reuses the shuffle the merge
     join needs anyway."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(key))
-    msg = F.concat(F.lit(f"scd2 strict: duplicate source key {key}="), F.col(key).cast("string"))
+    k = q(key)
+    msg = f"concat('scd2 strict: duplicate source key {key}=', CAST({k} AS STRING))"
     return (
-        source.withColumn("_n", n)
-        .where(F.when(F.col("_n") > 1, F.raise_error(msg)).otherwise(F.lit(True)))
+        source.selectExpr("*", f"count(1) OVER (PARTITION BY {k}) AS _n")
+        .where(f"CASE WHEN _n > 1 THEN raise_error({msg}) ELSE true END")
         .drop("_n")
     )
 
@@ -198,55 +203,63 @@ def scd2_strict_changes(
     shuffled; the keys of new rows come from a second, key-only pass.
     Otherwise one full outer join on the key shuffles each side once.
     """
-    b = date_lit(batch_date)
+    bdate = parse_batch_date(batch_date)
+    b = f"DATE'{bdate.isoformat()}'"
     base = list(source.columns)
     cols = target_columns(base)
-    src = source.where(F.col(key).isNotNull()).select(*base)
+    k = q(key)
+    src = source.select(*base).where(f"{k} IS NOT NULL")
     if check_duplicates:
-        src = _fail_on_duplicates(src, key)
+        src = fail_on_duplicates(src, key)
     cur = open_target.select(*cols)
     if broadcast_source is None:
         broadcast_source = fits_broadcast(src)
 
-    t = cur.where(F.col(key).isNotNull()).select(*[F.col(c).alias(f"t_{c}") for c in cols], F.lit(True).alias("_t"))
-    s = src.select(*[F.col(c).alias(f"s_{c}") for c in base], F.lit(True).alias("_s"))
-    tk, sk = f"t_{key}", f"s_{key}"
+    # both sides renamed apart (t_*, s_*), each in one projection
+    t = cur.where(f"{k} IS NOT NULL").selectExpr(*[f"{q(c)} AS {q('t_' + c)}" for c in cols], "true AS _t")
+    s = src.selectExpr(*[f"{q(c)} AS {q('s_' + c)}" for c in base], "true AS _s")
     if broadcast_source:
-        s = F.broadcast(s)
-        j = t.join(s, t[tk] == s[sk], "left")
+        j = t.join(F.broadcast(s), t[f"t_{key}"] == s[f"s_{key}"], "left")
     else:
-        j = t.join(s, t[tk] == s[sk], "full_outer")
-
-    has_t = F.col("_t").isNotNull()
-    has_s = F.col("_s").isNotNull()
-    differs = tuple_differs([F.col(f"t_{c}") for c in change_cols], [F.col(f"s_{c}") for c in change_cols])
-    changed = has_t & has_s & differs
-    old = F.struct(
-        *[F.col(f"t_{c}").alias(c) for c in base],
-        F.col(f"t_{START_DATE}").alias(START_DATE),
-        F.when(changed, b).otherwise(F.col(f"t_{END_DATE}")).alias(END_DATE),
-        F.when(changed, F.lit(OP_CLOSE)).otherwise(F.lit(OP_KEEP)).alias(OP),
-        has_t.alias("_emit"),
+        j = t.join(s, t[f"t_{key}"] == s[f"s_{key}"], "full_outer")
+
+    # each joined row yields its target version (kept or closed) and, when
+    # the key is new or changed, the source row as a new open version
+    differs = " OR ".join(f"NOT ({q('t_' + c)} <=> {q('s_' + c)})" for c in change_cols)
+    changed = f"(_t IS NOT NULL AND _s IS NOT NULL AND ({differs}))"
+    old = ", ".join(
+        [f"'{c}', {q('t_' + c)}" for c in base]
+        + [
+            f"'{START_DATE}', {q('t_' + START_DATE)}",
+            f"'{END_DATE}', CASE WHEN {changed} THEN {b} ELSE {q('t_' + END_DATE)} END",
+            f"'{OP}', CASE WHEN {changed} THEN '{OP_CLOSE}' ELSE '{OP_KEEP}' END",
+            "'_emit', _t IS NOT NULL",
+        ]
     )
-    new = F.struct(
-        *[F.col(f"s_{c}").alias(c) for c in base],
-        b.alias(START_DATE),
-        _null_date().alias(END_DATE),
-        F.lit(OP_INSERT).alias(OP),
-        (has_s & (~has_t | changed)).alias("_emit"),
+    new = ", ".join(
+        [f"'{c}', {q('s_' + c)}" for c in base]
+        + [
+            f"'{START_DATE}', {b}",
+            f"'{END_DATE}', CAST(NULL AS DATE)",
+            f"'{OP}', '{OP_INSERT}'",
+            f"'_emit', _s IS NOT NULL AND (_t IS NULL OR {changed})",
+        ]
     )
-    merged = j.select(F.explode(F.array(old, new)).alias("_r")).select("_r.*").where("_emit").drop("_emit")
-    unkeyed = cur.where(F.col(key).isNull()).withColumn(OP, F.lit(OP_KEEP))
-    out = merged.unionByName(unkeyed)
+    merged = j.selectExpr(f"inline(array(named_struct({old}), named_struct({new})))").where("_emit").drop("_emit")
+    parts = [merged, cur.where(f"{k} IS NULL").selectExpr("*", f"'{OP_KEEP}' AS {OP}")]
+    stamp = [f"{b} AS {START_DATE}", f"CAST(NULL AS DATE) AS {END_DATE}"]
     if broadcast_source:
         # keys of the open set that the batch touches: at most one per source
         # row, so this side is bounded by the (already broadcast) source
-        seen = cur.select(F.col(key).alias("_k")).join(F.broadcast(src.select(F.col(key).alias("_k"))), "_k", "left_semi")
-        fresh = src.join(F.broadcast(seen), src[key] == seen["_k"], "left_anti").select(*base)
-        out = out.unionByName(with_scd_columns(fresh, batch_date).select(*cols).withColumn(OP, F.lit(OP_INSERT)))
+        seen = cur.selectExpr(f"{k} AS _k").join(F.broadcast(src.selectExpr(f"{k} AS _k")), "_k", "left_semi")
+        fresh = src.join(F.broadcast(seen), src[key] == seen["_k"], "left_anti")
+        parts.append(fresh.selectExpr(*[q(c) for c in base], *stamp, f"'{OP_INSERT}' AS {OP}"))
     if keep_null_keys:
-        dropped = with_scd_columns(source.where(F.col(key).isNull()).select(*base), batch_date).select(*cols)
-        out = out.unionByName(dropped.withColumn(OP, F.lit(OP_NULL_KEY)))
+        dropped = source.where(f"{k} IS NULL")
+        parts.append(dropped.selectExpr(*[q(c) for c in base], *stamp, f"'{OP_NULL_KEY}' AS {OP}"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)  # all parts share the column order of ``cols + [_op]``
     return out
 
 

@@ -61,7 +61,7 @@ def run_batch(
         started = time.perf_counter()
         source = read_delimited(spark, entry.path, spec.schema, sep=sep)
         if not store.exists(spec.target):
-            result = first_load(store, spec, source, entry.batch_date)
+            result = first_load(store, spec, source, entry.batch_date, mode)
         else:
             result = incremental_load(store, spec, source, entry.batch_date, mode)
         result.seconds = round(time.perf_counter() - started, 3)

@@ -134,3 +134,15 @@ def test_null_keys_dropped_and_counted(spark, ws, mode):
     want = base.where("c_custkey % 25 = 1").count()
     assert load.metrics["null_keys"] == want > 0
     assert store.read("customer").where("c_custkey is null").count() == 0
+
+
+def test_strict_first_load_rejects_duplicate_keys(spark, ws):
+    from batchwright.operators.loads import first_load
+
+    spec = driver_registry()["customer"]
+    base = derived.table(spark, SF, "customer")
+    dup = base.unionByName(base.where("c_custkey = 3"))
+    with pytest.raises(Exception, match="duplicate source key c_custkey=3"):
+        first_load(LakeStore(spark, f"{ws}/a"), spec, dup, derived.BATCH_DATES[0], "strict")
+    res = first_load(LakeStore(spark, f"{ws}/b"), spec, dup, derived.BATCH_DATES[0], "compat")
+    assert res.metrics["rows"] == base.count() + 1
