@@ -61,10 +61,9 @@ def first_load(store, spec: TableSpec, source: DataFrame, batch: str | dt.date,
     bdate = parse_batch_date(batch)
     src = source.select(*spec.columns)
     if spec.load == SCD:
-        if mode == scd2.STRICT:
-            keyed = scd2.fail_on_duplicates(src.where(F.col(spec.primary_key).isNotNull()), spec.primary_key)
-            src = keyed.unionByName(src.where(F.col(spec.primary_key).isNull()))
         df = with_scd_columns(src, bdate)
+        if mode == scd2.STRICT:
+            df = df.union(scd2.duplicate_key_guard(src, spec.primary_key, df.schema))
         m = _publish(store, spec, df, lake.SCD, bdate, False, [_rows(), scd2.null_key_count(df, spec.primary_key).alias("null_keys")])
     elif spec.load == APPEND:
         m = _publish(store, spec, with_batch_stamp(src, bdate), lake.APPEND, bdate, False, [_rows()])

@@ -21,8 +21,9 @@ Source rows with a NULL key are dropped in both modes (count them with
 :func:`null_key_count` or the load report).
 
 Scale notes.  Strict runs as one full outer join on the key between the
-source and the open versions only; each side is shuffled once (the duplicate
-check shares the source's partitioning) and closed history is not read.
+source and the open versions only; each side is shuffled once and closed
+history is not read.  Its duplicate-key check is a map-side-combined count
+per key in the same job, so a hot key is never gathered into one task.
 Compat joins the target with the *distinct* source tuples (left semi, so no
 fan-out; hot tuples collapse in the map-side distinct, and skewed target
 partitions can be split by AQE), then marks rows with a join against the
@@ -35,10 +36,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..functions.predicates import tuple_differs
 from ..functions.stamps import date_lit, parse_batch_date, with_scd_columns
 from ..specs import END_DATE, START_DATE
 
@@ -142,17 +143,24 @@ def q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def fail_on_duplicates(source: DataFrame, key: str) -> DataFrame:
-    """Fail the job when a key occurs twice in one batch (strict mode).
+def duplicate_key_guard(source: DataFrame, key: str, schema: StructType) -> DataFrame:
+    """Zero rows of ``schema``; evaluating it fails the job when a non-NULL
+    key occurs twice in ``source`` (strict mode).
 
-    The count is a window over the key, so it reuses the shuffle the merge
-    join needs anyway."""
+    Union it into the result that is written, so the check runs in the same
+    job.  It is a count per key, combined map-side before its shuffle: a hot
+    key reaches the reducer as one partial count per task, never as a group
+    of rows, and the error is raised without buffering that group.  Only the
+    key column is read for it."""
     k = q(key)
     msg = f"concat('scd2 strict: duplicate source key {key}=', CAST({k} AS STRING))"
     return (
-        source.selectExpr("*", f"count(1) OVER (PARTITION BY {k}) AS _n")
-        .where(f"CASE WHEN _n > 1 THEN raise_error({msg}) ELSE true END")
-        .drop("_n")
+        source.select(key)
+        .where(f"{k} IS NOT NULL")
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(f"CASE WHEN _n > 1 THEN raise_error({msg}) ELSE false END")
+        .selectExpr(*[f"CAST(NULL AS {f.dataType.simpleString()}) AS {q(f.name)}" for f in schema.fields])
     )
 
 
@@ -209,8 +217,6 @@ def scd2_strict_changes(
     cols = target_columns(base)
     k = q(key)
     src = source.select(*base).where(f"{k} IS NOT NULL")
-    if check_duplicates:
-        src = fail_on_duplicates(src, key)
     cur = open_target.select(*cols)
     if broadcast_source is None:
         broadcast_source = fits_broadcast(src)
@@ -257,6 +263,8 @@ def scd2_strict_changes(
     if keep_null_keys:
         dropped = source.where(f"{k} IS NULL")
         parts.append(dropped.selectExpr(*[q(c) for c in base], *stamp, f"'{OP_NULL_KEY}' AS {OP}"))
+    if check_duplicates:
+        parts.append(duplicate_key_guard(src, key, parts[0].schema))
     out = parts[0]
     for p in parts[1:]:
         out = out.union(p)  # all parts share the column order of ``cols + [_op]``
