@@ -8,13 +8,16 @@ Per batch the decisions are
   already holds this batch is skipped (a rerun after a crash), anything else
   gets its strategy's incremental load;
 * dimensions load before the appended fact, so the fact's mark moves only
-  after every other table of the batch is in.
+  after every other table of the batch is in; the dimensions of one batch
+  load concurrently.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import time
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -24,7 +27,7 @@ from ..operators.loads import LoadResult, first_load, full_load, incremental_loa
 from ..operators.scd2 import STRICT
 from ..sources.delimited import read_delimited, read_named_file
 from ..sources.manifest import BatchEntry, entries_for, list_batches, manifest
-from ..specs import Registry, load_order
+from ..specs import APPEND, Registry, load_order
 
 
 @dataclass
@@ -36,6 +39,36 @@ class BatchReport:
     missing: list[str] = field(default_factory=list)
 
 
+def _concurrently(tasks: list[Callable[[], LoadResult]], parallelism: int) -> list[LoadResult]:
+    """Run independent loads as concurrent Spark jobs, results in task order.
+
+    Every task runs to its end; the first error is raised afterwards."""
+    if parallelism <= 1 or len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(tasks)), thread_name_prefix="batchwright-load") as pool:
+        futures = [pool.submit(t) for t in tasks]
+    for f in futures:
+        if f.exception() is not None:
+            raise f.exception()
+    return [f.result() for f in futures]
+
+
+def _load_table(spark: SparkSession, store, spec, entry: BatchEntry, mode: str, sep: str) -> LoadResult:
+    """One table of one batch: skip, first load, or its strategy's load."""
+    if entry.n_parts == 0:
+        return LoadResult(spec.target, spec.load, "missing_files", entry.batch_date)
+    if store.has_batch(spec.target, entry.batch_date):
+        return LoadResult(spec.target, spec.load, "already_loaded", entry.batch_date)
+    started = time.perf_counter()
+    source = read_delimited(spark, entry.path, spec.schema, sep=sep)
+    if not store.exists(spec.target):
+        result = first_load(store, spec, source, entry.batch_date, mode)
+    else:
+        result = incremental_load(store, spec, source, entry.batch_date, mode)
+    result.seconds = round(time.perf_counter() - started, 3)
+    return result
+
+
 def run_batch(
     spark: SparkSession,
     store,
@@ -43,29 +76,27 @@ def run_batch(
     entries: list[BatchEntry],
     mode: str = STRICT,
     sep: str = "|",
+    parallelism: int = 4,
 ) -> list[LoadResult]:
-    """Load every table folder of one batch (all entries share a batch)."""
+    """Load every table folder of one batch (all entries share a batch).
+
+    Dimension tables are independent of each other (one commit each), so up
+    to ``parallelism`` of them load at once as concurrent Spark jobs on the
+    one session; the cluster's scheduler shares executors among them.
+    Appended facts load after every dimension has succeeded, one by one, so
+    the fact's high-water mark still moves last.  If a dimension fails, its
+    error is raised after the other running loads finish and no fact is
+    loaded; a rerun skips the dimensions that did commit.
+    """
     if not entries:
         return []
     registry.check_tables(e.table for e in entries)
     by_table = {e.table: e for e in entries}
-    results = []
-    for spec in load_order(registry[t] for t in by_table):
-        entry = by_table[spec.name]
-        if entry.n_parts == 0:
-            results.append(LoadResult(spec.target, spec.load, "missing_files", entry.batch_date))
-            continue
-        if store.has_batch(spec.target, entry.batch_date):
-            results.append(LoadResult(spec.target, spec.load, "already_loaded", entry.batch_date))
-            continue
-        started = time.perf_counter()
-        source = read_delimited(spark, entry.path, spec.schema, sep=sep)
-        if not store.exists(spec.target):
-            result = first_load(store, spec, source, entry.batch_date, mode)
-        else:
-            result = incremental_load(store, spec, source, entry.batch_date, mode)
-        result.seconds = round(time.perf_counter() - started, 3)
-        results.append(result)
+    ordered = load_order(registry[t] for t in by_table)
+    dims = [s for s in ordered if s.load != APPEND]
+    facts = [s for s in ordered if s.load == APPEND]  # load_order puts them last
+    results = _concurrently([lambda s=s: _load_table(spark, store, s, by_table[s.name], mode, sep) for s in dims], parallelism)
+    results += [_load_table(spark, store, s, by_table[s.name], mode, sep) for s in facts]
     return results
 
 
@@ -77,6 +108,7 @@ def replay(
     fact_table: str,
     mode: str = STRICT,
     sep: str = "|",
+    parallelism: int = 4,
 ) -> list[BatchReport]:
     """Every batch under ``source_root`` in date order; already loaded
     batches are skipped, so rerunning after a failure is safe."""
@@ -91,19 +123,20 @@ def replay(
         if not control.is_new_batch(store, bdate, fact_table):
             reports.append(BatchReport(batch, bdate, "not_new"))
             continue
-        loads = run_batch(spark, store, registry, batch_entries, mode, sep)
+        loads = run_batch(spark, store, registry, batch_entries, mode, sep, parallelism)
         missing = [r.table for r in loads if r.action == "missing_files"]
         reports.append(BatchReport(batch, bdate, "loaded", loads, missing))
     return reports
 
 
-def load_once(spark: SparkSession, store, registry: Registry, base_dir: str, sep: str = "|") -> list[LoadResult]:
-    """One-time load: each declared file, as it is, replaces its target."""
-    out = []
-    for spec in registry:
+def load_once(spark: SparkSession, store, registry: Registry, base_dir: str, sep: str = "|", parallelism: int = 4) -> list[LoadResult]:
+    """One-time load: each declared file, as it is, replaces its target
+    (tables load concurrently, as in :func:`run_batch`)."""
+    def one(spec):
         name = spec.file_name or f"{spec.name}.dat"
-        out.append(full_load(store, spec, read_named_file(spark, base_dir, name, spec.schema, sep=sep)))
-    return out
+        return full_load(store, spec, read_named_file(spark, base_dir, name, spec.schema, sep=sep))
+
+    return _concurrently([lambda s=s: one(s) for s in registry], parallelism)
 
 
 def bootstrap(spark: SparkSession, store, registry: Registry, base_dir: str, sep: str = "|") -> bool:

@@ -146,3 +146,39 @@ def test_strict_first_load_rejects_duplicate_keys(spark, ws):
         first_load(LakeStore(spark, f"{ws}/a"), spec, dup, derived.BATCH_DATES[0], "strict")
     res = first_load(LakeStore(spark, f"{ws}/b"), spec, dup, derived.BATCH_DATES[0], "compat")
     assert res.metrics["rows"] == base.count() + 1
+
+
+def test_dimension_failure_blocks_fact_then_rerun(spark, batches, clean, ws, monkeypatch):
+    """Dimensions load concurrently; one failing keeps the fact (and so the
+    batch) unloaded, the others commit, and a rerun completes the batch."""
+    from batchwright.plans import pipeline
+
+    store = LakeStore(spark, ws)
+    real = pipeline.incremental_load
+    calls = {"n": 0}
+
+    def failing(store_, spec, source, batch, mode):
+        if spec.name == "supplier":
+            calls["n"] += 1
+            if calls["n"] == 1:
+                raise RuntimeError("executor lost")
+        return real(store_, spec, source, batch, mode)
+
+    monkeypatch.setattr(pipeline, "incremental_load", failing)
+    with pytest.raises(RuntimeError, match="executor lost"):
+        replay(spark, store, driver_registry(), batches, "orders", parallelism=4)
+    b2 = derived.BATCH_DATES[1]
+    assert store.has_batch("customer", b2) and store.has_batch("part", b2)
+    assert not store.has_batch("supplier", b2) and not store.has_batch("orders", b2)
+    reports = replay(spark, store, driver_registry(), batches, "orders", parallelism=4)
+    actions = {x.table: x.action for x in reports[1].loads}
+    assert actions["customer"] == "already_loaded" and actions["supplier"] == "scd2_strict"
+    assert actions["orders"] == "append"
+    assert _snapshot(store) == _snapshot(clean[0])
+
+
+def test_sequential_and_concurrent_replays_agree(spark, batches, clean, ws):
+    store = LakeStore(spark, ws)
+    reports = replay(spark, store, driver_registry(), batches, "orders", parallelism=1)
+    assert [x.table for x in reports[0].loads] == [x.table for x in clean[1][0].loads]
+    assert _snapshot(store) == _snapshot(clean[0])
