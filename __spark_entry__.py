@@ -19,10 +19,11 @@ from batchwright.functions.stamps import batch_date_col
 from batchwright.operators import control, scd2
 from batchwright.operators.loads import append_load, first_load, scd_load
 from batchwright.plans import DRIVER_FACT_TABLE, bootstrap, derived, driver_basic_registry, driver_registry, load_once, replay
+from batchwright.plans.pipeline import check_batch
 from batchwright.session import scratch_dir
 from batchwright.sinks import JdbcStore, LakeStore
 from batchwright.sources import manifest_frame, read_delimited, read_jdbc
-from batchwright.sources.manifest import manifest
+from batchwright.sources.manifest import entries_for, manifest
 
 SF_SMOKE = "/root/testdata/sf0.001"
 B1, B2, B3 = (d.isoformat() for d in derived.BATCH_DATES)
@@ -202,6 +203,15 @@ def q_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_frame(spark, root)
 
 
+def q_record_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, bad records and NULL fields per table folder of one batch:
+    customer with unparsable fields, part as is."""
+    root = f"{_ws(spark, 'records')}/src"
+    derived.write_batch_frame(derived.customer_malformed_batch(derived.table(spark, sf_dir, "customer")), root, 1, "customer")
+    derived.write_batch_frame(derived.table(spark, sf_dir, "part"), root, 1, "part")
+    return check_batch(spark, _reg(), entries_for(manifest(spark, root), derived.batch_name(1)))
+
+
 def q_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _loaded(spark, sf_dir, ("customer", "supplier", "part", "nation", "region", "orders"), (1, 2, 3), label="replay")
     keys = {"customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "nation": "n_nationkey", "region": "r_regionkey", "orders": "o_orderkey"}
@@ -269,6 +279,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_high_water_mark": q_high_water_mark,
     "q_tables_present": q_tables_present,
     "q_manifest": q_manifest,
+    "q_record_check": q_record_check,
     "q_replay": q_replay,
     "q_jdbc_roundtrip": q_jdbc_roundtrip,
     "q_jdbc_append": q_jdbc_append,
@@ -434,6 +445,22 @@ def _manifest_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _record_check_sql() -> str:
+    def nulls(cols, bad=None):
+        bad = bad or {}
+        terms = [f"CAST({c} IS NULL{(' OR ' + bad[c]) if c in bad else ''} AS BIGINT)" for c in cols]
+        return "CAST(sum(" + " + ".join(terms) + ") AS BIGINT)"
+
+    c_bad = {"c_acctbal": "c_custkey % 13 = 0", "c_nationkey": "c_custkey % 17 = 0"}
+    p_cols = [c.strip() for c in P_COLS.split(",")]
+    return (
+        "SELECT 'customer' AS table_name, count(*) AS rows, "
+        "count(*) FILTER (WHERE c_custkey % 13 = 0 OR c_custkey % 17 = 0) AS bad_records, "
+        f"{nulls(C_COLS, c_bad)} AS null_fields FROM customer "
+        f"UNION ALL SELECT 'part', count(*), CAST(0 AS BIGINT), {nulls(p_cols)} FROM part"
+    )
+
+
 ORACLE: dict[str, str] = {
     "q_delimited_scan": f"SELECT {O_COLS} FROM orders",
     "q_full_load": (
@@ -462,6 +489,7 @@ ORACLE: dict[str, str] = {
         "UNION ALL SELECT 'orders', false, false, CAST(0 AS BIGINT)"
     ),
     "q_manifest": _manifest_sql(),
+    "q_record_check": _record_check_sql(),
     "q_replay": _replay_sql(),
     "q_jdbc_roundtrip": _scd_sql("strict", 2),
     "q_jdbc_append": f"SELECT {O_COLS}, {O_STAMP} AS batched_at FROM orders WHERE CAST(o_orderdate AS DATE) <= DATE '1998-12-31'",

@@ -12,6 +12,9 @@ follows the table's.  Batches b1..b3 are dated 2022-11-01..03:
 * part (truncate): b1 all, b2 ``p_size > 10``, b3 ``p_size > 20``.
 * orders (append): split by ``o_orderdate``: before 1997, 1997-1998, from 1999.
 * nation, region (truncate): as is in every batch.
+
+:func:`customer_malformed_batch` writes unparsable fields for the
+bad-record count.
 """
 
 from __future__ import annotations
@@ -75,6 +78,16 @@ def customer_nulls_batch(base: DataFrame, n: int) -> DataFrame:
     return out
 
 
+def customer_malformed_batch(base: DataFrame) -> DataFrame:
+    """customer as text with unparsable fields: ``c_acctbal`` is ``n/a`` on
+    keys divisible by 13 and ``c_nationkey`` is ``x`` on keys divisible by
+    17 (both on keys divisible by 221).  Every row is kept."""
+    text = {c: F.col(c).cast("string") for c in base.columns}
+    text["c_acctbal"] = F.when(_divisible("c_custkey", 13), F.lit("n/a")).otherwise(text["c_acctbal"])
+    text["c_nationkey"] = F.when(_divisible("c_custkey", 17), F.lit("x")).otherwise(text["c_nationkey"])
+    return base.select(*[text[c].alias(c) for c in base.columns])
+
+
 def supplier_batch(base: DataFrame, n: int) -> DataFrame:
     if n == 1:
         return base

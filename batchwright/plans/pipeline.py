@@ -20,12 +20,13 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import control
 from ..operators.loads import LoadResult, first_load, full_load, incremental_load
 from ..operators.scd2 import STRICT
-from ..sources.delimited import read_delimited, read_named_file
+from ..sources.delimited import read_delimited, read_named_file, record_check
 from ..sources.manifest import BatchEntry, entries_for, list_batches, manifest
 from ..specs import APPEND, Registry, load_order
 
@@ -69,6 +70,23 @@ def _load_table(spark: SparkSession, store, spec, entry: BatchEntry, mode: str,
     return result
 
 
+def check_batch(spark: SparkSession, registry: Registry, entries: list[BatchEntry], sep: str = "|") -> DataFrame:
+    """``table_name, rows, bad_records, null_fields`` for every table folder
+    of a batch that has part files: one plan, one job, each table's counts
+    combined per task before a single-row final aggregate."""
+    parts = [
+        record_check(spark, e.path, registry[e.table].schema, sep=sep).select(F.lit(e.table).alias("table_name"), "*")
+        for e in sorted(entries, key=lambda e: e.table)
+        if e.n_parts > 0
+    ]
+    if not parts:
+        return spark.createDataFrame([], "table_name string, rows bigint, bad_records bigint, null_fields bigint")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def run_batch(
     spark: SparkSession,
     store,
@@ -77,9 +95,14 @@ def run_batch(
     mode: str = STRICT,
     sep: str = "|",
     parallelism: int = 4,
+    check_records: bool = False,
 ) -> list[LoadResult]:
     """Load every table folder of one batch (all entries share a batch).
 
+    With ``check_records`` the batch's files are first counted by
+    :func:`check_batch` (one extra scan) and each load's metrics get
+    ``source_rows``, ``bad_records`` and ``null_fields``.
+
     Dimension tables are independent of each other (one commit each), so up
     to ``parallelism`` of them load at once as concurrent Spark jobs on the
     one session; the cluster's scheduler shares executors among them.
@@ -95,8 +118,14 @@ def run_batch(
     ordered = load_order(registry[t] for t in by_table)
     dims = [s for s in ordered if s.load != APPEND]
     facts = [s for s in ordered if s.load == APPEND]  # load_order puts them last
+    checked = {}
+    if check_records:
+        for r in check_batch(spark, registry, entries, sep).collect():  # one row per table
+            checked[r["table_name"]] = {"source_rows": r["rows"], "bad_records": r["bad_records"], "null_fields": r["null_fields"]}
     results = _concurrently([lambda s=s: _load_table(spark, store, s, by_table[s.name], mode, sep) for s in dims], parallelism)
     results += [_load_table(spark, store, s, by_table[s.name], mode, sep) for s in facts]
+    for spec, r in zip(dims + facts, results):
+        r.metrics.update(checked.get(spec.name, {}))
     return results
 
 
@@ -109,6 +138,7 @@ def replay(
     mode: str = STRICT,
     sep: str = "|",
     parallelism: int = 4,
+    check_records: bool = False,
 ) -> list[BatchReport]:
     """Every batch under ``source_root`` in date order; already loaded
     batches are skipped, so rerunning after a failure is safe."""
@@ -123,7 +153,7 @@ def replay(
         if not control.is_new_batch(store, bdate, fact_table):
             reports.append(BatchReport(batch, bdate, "not_new"))
             continue
-        loads = run_batch(spark, store, registry, batch_entries, mode, sep, parallelism)
+        loads = run_batch(spark, store, registry, batch_entries, mode, sep, parallelism, check_records)
         missing = [r.table for r in loads if r.action == "missing_files"]
         reports.append(BatchReport(batch, bdate, "loaded", loads, missing))
     return reports

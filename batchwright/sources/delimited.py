@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 PART_GLOB = "part*"
+CORRUPT = "_corrupt_record"
 
 
 def read_delimited(
@@ -28,6 +30,35 @@ def read_delimited(
     return reader.csv(path)
 
 
+def record_check(
+    spark: SparkSession,
+    path: str,
+    schema: str | StructType,
+    sep: str = "|",
+    part_glob: str | None = PART_GLOB,
+) -> DataFrame:
+    """One row ``rows, bad_records, null_fields`` for a delimited folder (one
+    distributed aggregate: partial counts per task, one row to the driver).
+
+    A record is bad when Spark's CSV parser flags it in its default
+    (permissive) mode: a field that does not parse as its declared type, or
+    a line with fewer or more fields than the schema.  Loads keep such
+    records the way Spark reads them (NULL field, padding, extras dropped);
+    this only counts them.  ``null_fields`` counts NULL fields over all
+    rows (empty or unparsable).  It reads every column, which is also what
+    makes the parser convert every field, so column pruning cannot hide a
+    bad one."""
+    struct = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    with_corrupt = StructType(list(struct.fields) + [StructField(CORRUPT, StringType())])
+    df = read_delimited(spark, path, with_corrupt, sep=sep, part_glob=part_glob)
+    nulls = " + ".join("CAST(`" + c.replace("`", "``") + "` IS NULL AS BIGINT)" for c in struct.fieldNames())
+    return df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(CORRUPT).isNotNull()).alias("bad_records"),
+        F.sum(F.expr(nulls)).alias("null_fields"),
+    )
+
+
 def read_named_file(spark: SparkSession, base_dir: str, file_name: str, schema: str | StructType, sep: str = "|") -> DataFrame:
     """One-time load input: ``<base_dir>/<file_name>`` (e.g. ``customer.dat``)."""
     return read_delimited(spark, f"{base_dir.rstrip('/')}/{file_name}", schema, sep=sep, part_glob=None)
