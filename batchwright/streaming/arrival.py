@@ -3,8 +3,8 @@
 The batch loop is idempotent (already loaded batches are skipped), so the
 stream only has to notice that part files arrived.  A ``binaryFile`` stream
 over ``<root>/batch*/*`` lists new ``part*`` files (their content is never
-read: only ``path`` is selected); each micro-batch collects the distinct
-batch folder names (one row per batch) and runs :func:`replay`.  The stream's
+read: only ``path`` is selected); a micro-batch that saw any new file runs
+:func:`replay`, which decides per batch folder what is left to load.  The stream's
 checkpoint records which files were seen, so a restart does not redo work and
 a batch folder is handed over exactly once.
 
