@@ -121,13 +121,19 @@ def scd_load(store, spec: TableSpec, source: DataFrame, batch: str | dt.date, mo
     tagged = changed.withColumn("_null_key", F.lit(False)).unionByName(
         src.where(F.col(key).isNull()).withColumn("_null_key", F.lit(True))
     )
-    tagged, nobs = _observed(tagged, f"{spec.target}-changed", F.count_if(F.col("_null_key")).alias("null_keys"))
+    tagged, nobs = _observed(
+        tagged,
+        f"{spec.target}-changed",
+        F.count_if(F.col("_null_key")).alias("null_keys"),
+        F.count_if(~F.col("_null_key")).alias("changed"),
+    )
     path = f"{scratch_dir(store.spark, f'changed-{spec.target}')}/rows"
     tagged.where(~F.col("_null_key")).drop("_null_key").write.mode("overwrite").parquet(path)
-    null_keys = int(nobs.get.get("null_keys") or 0)
-    staged = store.spark.read.schema(changed.schema).parquet(path)
-    if staged.isEmpty():
+    counts = {k: int(v or 0) for k, v in nobs.get.items()}
+    null_keys = counts["null_keys"]
+    if counts["changed"] == 0:  # counted by the staging write: no extra job
         return LoadResult(spec.target, SCD, "no_change", bdate, {"inserted": 0, "null_keys": null_keys})
+    staged = store.spark.read.schema(changed.schema).parquet(path)
     out = scd2.scd2_compat(src, target, key, cols, bdate, changed=staged)
     m = _publish(
         store,

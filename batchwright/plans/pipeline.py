@@ -94,7 +94,7 @@ def run_batch(
     entries: list[BatchEntry],
     mode: str = STRICT,
     sep: str = "|",
-    parallelism: int = 4,
+    parallelism: int = 8,
     check_records: bool = False,
 ) -> list[LoadResult]:
     """Load every table folder of one batch (all entries share a batch).
@@ -137,7 +137,7 @@ def replay(
     fact_table: str,
     mode: str = STRICT,
     sep: str = "|",
-    parallelism: int = 4,
+    parallelism: int = 8,
     check_records: bool = False,
 ) -> list[BatchReport]:
     """Every batch under ``source_root`` in date order; already loaded
@@ -159,7 +159,7 @@ def replay(
     return reports
 
 
-def load_once(spark: SparkSession, store, registry: Registry, base_dir: str, sep: str = "|", parallelism: int = 4) -> list[LoadResult]:
+def load_once(spark: SparkSession, store, registry: Registry, base_dir: str, sep: str = "|", parallelism: int = 8) -> list[LoadResult]:
     """One-time load: each declared file, as it is, replaces its target
     (tables load concurrently, as in :func:`run_batch`)."""
     def one(spec):

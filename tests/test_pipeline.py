@@ -182,3 +182,18 @@ def test_sequential_and_concurrent_replays_agree(spark, batches, clean, ws):
     reports = replay(spark, store, driver_registry(), batches, "orders", parallelism=1)
     assert [x.table for x in reports[0].loads] == [x.table for x in clean[1][0].loads]
     assert _snapshot(store) == _snapshot(clean[0])
+
+
+@pytest.mark.parametrize("mode", ["strict", "compat"])
+def test_unchanged_batch_commits_nothing(spark, ws, mode):
+    from batchwright.operators.loads import first_load, scd_load
+
+    spec = driver_registry()["customer"]
+    base = derived.table(spark, SF, "customer")
+    store = LakeStore(spark, ws)
+    first_load(store, spec, base, derived.BATCH_DATES[0], mode)
+    before = sorted(tuple(r) for r in store.read("customer").collect())
+    res = scd_load(store, spec, base, derived.BATCH_DATES[1], mode)
+    assert res.action == "no_change" and res.metrics["inserted"] == 0
+    assert store.batch_dates("customer") == [derived.BATCH_DATES[0]]
+    assert sorted(tuple(r) for r in store.read("customer").collect()) == before
