@@ -27,7 +27,9 @@ from ..operators import control
 from ..operators.loads import LoadResult, first_load, full_load, incremental_load
 from ..operators.scd2 import STRICT
 from ..sources.delimited import read_delimited, read_named_file, record_check
-from ..sources.manifest import BatchEntry, entries_for, list_batches, manifest
+from ..functions.stamps import parse_batch_date
+from ..sources.manifest import BatchEntry, list_batches
+from ..sources.manifest import batch_entries as list_batch_entries
 from ..specs import APPEND, Registry, load_order
 
 
@@ -141,18 +143,22 @@ def replay(
     check_records: bool = False,
 ) -> list[BatchReport]:
     """Every batch under ``source_root`` in date order; already loaded
-    batches are skipped, so rerunning after a failure is safe."""
-    entries = manifest(spark, source_root)
-    registry.check_tables({e.table for e in entries})
+    batches are skipped, so rerunning after a failure is safe.
+
+    Only the batch folder names are listed up front (one listing, which
+    also validates every name).  A batch's table folders are listed only
+    once it is found to be new, so the cost of a run follows the batches it
+    loads, not every batch the landing area has ever held."""
     reports = []
     for batch in list_batches(spark, source_root):
-        batch_entries = entries_for(entries, batch)
-        bdate = batch_entries[0].batch_date if batch_entries else None
-        if bdate is None:
-            continue
+        bdate = parse_batch_date(batch)
         if not control.is_new_batch(store, bdate, fact_table):
             reports.append(BatchReport(batch, bdate, "not_new"))
             continue
+        batch_entries = list_batch_entries(spark, source_root, batch)
+        if not batch_entries:
+            continue
+        registry.check_tables(e.table for e in batch_entries)
         loads = run_batch(spark, store, registry, batch_entries, mode, sep, parallelism, check_records)
         missing = [r.table for r in loads if r.action == "missing_files"]
         reports.append(BatchReport(batch, bdate, "loaded", loads, missing))

@@ -197,3 +197,13 @@ def test_unchanged_batch_commits_nothing(spark, ws, mode):
     assert res.action == "no_change" and res.metrics["inserted"] == 0
     assert store.batch_dates("customer") == [derived.BATCH_DATES[0]]
     assert sorted(tuple(r) for r in store.read("customer").collect()) == before
+
+
+def test_rerun_lists_no_table_folders_of_loaded_batches(spark, batches, clean, monkeypatch):
+    from batchwright.plans import pipeline
+
+    listed = []
+    real = pipeline.list_batch_entries
+    monkeypatch.setattr(pipeline, "list_batch_entries", lambda s, root, b: listed.append(b) or real(s, root, b))
+    reports = replay(spark, clean[0], driver_registry(), batches, "orders")
+    assert [r.status for r in reports] == ["not_new"] * 3 and listed == []
