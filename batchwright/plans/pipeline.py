@@ -27,7 +27,7 @@ from ..operators import control
 from ..operators.loads import LoadResult, first_load, full_load, incremental_load
 from ..operators.scd2 import STRICT
 from ..sources.delimited import read_delimited, read_named_file, record_check
-from ..functions.stamps import parse_batch_date
+from ..functions.stamps import is_newer, parse_batch_date
 from ..sources.manifest import BatchEntry, list_batches
 from ..sources.manifest import batch_entries as list_batch_entries
 from ..specs import APPEND, Registry, load_order
@@ -150,9 +150,10 @@ def replay(
     once it is found to be new, so the cost of a run follows the batches it
     loads, not every batch the landing area has ever held."""
     reports = []
+    mark = control.high_water_mark(store, fact_table)  # re-read only after a load
     for batch in list_batches(spark, source_root):
         bdate = parse_batch_date(batch)
-        if not control.is_new_batch(store, bdate, fact_table):
+        if not is_newer(bdate, mark):
             reports.append(BatchReport(batch, bdate, "not_new"))
             continue
         batch_entries = list_batch_entries(spark, source_root, batch)
@@ -160,6 +161,7 @@ def replay(
             continue
         registry.check_tables(e.table for e in batch_entries)
         loads = run_batch(spark, store, registry, batch_entries, mode, sep, parallelism, check_records)
+        mark = control.high_water_mark(store, fact_table)
         missing = [r.table for r in loads if r.action == "missing_files"]
         reports.append(BatchReport(batch, bdate, "loaded", loads, missing))
     return reports
