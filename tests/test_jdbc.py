@@ -97,3 +97,11 @@ def test_publish_is_atomic(spark, monkeypatch):
     assert store.has_batch("customer", derived.BATCH_DATES[1])
     assert store.read("customer").where("end_date is null").count() == derived.batch_frame(spark, SF, "customer", 2).count()
     assert store.recover() == []
+
+
+def test_unreachable_database_is_an_error_not_an_empty_store(spark):
+    from batchwright.sinks import JdbcStore
+
+    store = JdbcStore(spark, "jdbc:derby:memory:batchwright_missing_db_never_created", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
+    with pytest.raises(Exception):
+        store.exists("orders")
