@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.stamps import parse_batch_date, with_batch_stamp, with_scd_columns
+from .. import fs
 from ..session import scratch_dir
 from ..specs import APPEND, FULL, SCD, TRUNCATE, TableSpec
 from . import scd2
@@ -127,23 +128,27 @@ def scd_load(store, spec: TableSpec, source: DataFrame, batch: str | dt.date, mo
         F.count_if(F.col("_null_key")).alias("null_keys"),
         F.count_if(~F.col("_null_key")).alias("changed"),
     )
-    path = f"{scratch_dir(store.spark, f'changed-{spec.target}')}/rows"
-    tagged.where(~F.col("_null_key")).drop("_null_key").write.mode("overwrite").parquet(path)
-    counts = {k: int(v or 0) for k, v in nobs.get.items()}
-    null_keys = counts["null_keys"]
-    if counts["changed"] == 0:  # counted by the staging write: no extra job
-        return LoadResult(spec.target, SCD, "no_change", bdate, {"inserted": 0, "null_keys": null_keys})
-    staged = store.spark.read.schema(changed.schema).parquet(path)
-    out = scd2.scd2_compat(src, target, key, cols, bdate, changed=staged)
-    m = _publish(
-        store,
-        spec,
-        out,
-        lake.SCD,
-        bdate,
-        False,
-        [_rows(), F.count_if(F.col("end_date").isNotNull()).alias("closed"), F.count_if(F.col("start_date") == F.lit(bdate)).alias("inserted")],
-    )
+    scratch = scratch_dir(store.spark, f"changed-{spec.target}")
+    try:
+        path = f"{scratch}/rows"
+        tagged.where(~F.col("_null_key")).drop("_null_key").write.mode("overwrite").parquet(path)
+        counts = {k: int(v or 0) for k, v in nobs.get.items()}
+        null_keys = counts["null_keys"]
+        if counts["changed"] == 0:  # counted by the staging write: no extra job
+            return LoadResult(spec.target, SCD, "no_change", bdate, {"inserted": 0, "null_keys": null_keys})
+        staged = store.spark.read.schema(changed.schema).parquet(path)
+        out = scd2.scd2_compat(src, target, key, cols, bdate, changed=staged)
+        m = _publish(
+            store,
+            spec,
+            out,
+            lake.SCD,
+            bdate,
+            False,
+            [_rows(), F.count_if(F.col("end_date").isNotNull()).alias("closed"), F.count_if(F.col("start_date") == F.lit(bdate)).alias("inserted")],
+        )
+    finally:
+        fs.delete(store.spark, scratch)  # the staged change set lives only for this load
     m["null_keys"] = null_keys
     return LoadResult(spec.target, SCD, "scd2_compat", bdate, m)
 

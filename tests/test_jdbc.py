@@ -105,3 +105,15 @@ def test_unreachable_database_is_an_error_not_an_empty_store(spark):
     store = JdbcStore(spark, "jdbc:derby:memory:batchwright_missing_db_never_created", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
     with pytest.raises(Exception):
         store.exists("orders")
+
+
+def test_staged_files_removed_once_published(spark):
+    from batchwright import fs
+
+    url = f"jdbc:derby:memory:bw_stage_{uuid.uuid4().hex[:8]};create=true"
+    store = JdbcStore(spark, url, {"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
+    spec = driver_registry()["nation"]
+    res = first_load(store, spec, derived.table(spark, SF, "nation"), derived.BATCH_DATES[0])
+    assert res.metrics["rows"] == 25
+    assert store.read("nation").count() == 25
+    assert not [e for e in fs.ls(spark, f"{store.stage_root}/nation") if fs.ls(spark, e.path)]

@@ -207,3 +207,17 @@ def test_rerun_lists_no_table_folders_of_loaded_batches(spark, batches, clean, m
     monkeypatch.setattr(pipeline, "list_batch_entries", lambda s, root, b: listed.append(b) or real(s, root, b))
     reports = replay(spark, clean[0], driver_registry(), batches, "orders")
     assert [r.status for r in reports] == ["not_new"] * 3 and listed == []
+
+
+def test_compat_merge_leaves_no_staged_change_set(spark, ws):
+    from batchwright import fs
+    from batchwright.operators.loads import first_load, scd_load
+    from batchwright.session import work_dir
+
+    spec = driver_registry()["customer"]
+    base = derived.table(spark, SF, "customer")
+    store = LakeStore(spark, ws)
+    first_load(store, spec, base, derived.BATCH_DATES[0], "compat")
+    res = scd_load(store, spec, derived.customer_batch(base, 2), derived.BATCH_DATES[1], "compat")
+    assert res.action == "scd2_compat"
+    assert not [e for e in fs.ls(spark, work_dir(spark)) if e.name.startswith("changed-customer")]
