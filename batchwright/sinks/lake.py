@@ -108,9 +108,17 @@ def _parse_record_name(name: str) -> tuple[int, dt.date | None] | None:
 class LakeStore:
     """Tables under one root folder (a shared file system or object store)."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, retain_versions: int | None = None):
+        """``retain_versions`` (off by default, so every version stays
+        readable) vacuums after each publish whatever the newest N versions
+        do not read.  A strict SCD merge writes a whole new open set, so
+        without it each batch keeps one more copy of the open set.  Use
+        N >= 2 when readers may still be on the previous version."""
+        if retain_versions is not None and retain_versions < 1:
+            raise ValueError("retain_versions must be at least 1")
         self.spark = spark
         self.root = root.rstrip("/")
+        self.retain_versions = retain_versions
 
     # ----------------------------------------------------------- metadata
     def table_path(self, table: str) -> str:
@@ -213,6 +221,8 @@ class LakeStore:
         read_from = head.read_from if (keep_history and head is not None) else pending.seq
         commit = Commit(pending.table, pending.seq, pending.kind, pending.batch_date, read_from, pending.schema, metrics or {})
         fs.write_text(self.spark, f"{self._commit_dir(pending.table)}/{_record_name(pending.seq, pending.batch_date)}", commit.to_json())
+        if self.retain_versions is not None:
+            self.vacuum(pending.table, self.retain_versions)
         return commit
 
     def discard(self, pending: Pending) -> None:

@@ -90,3 +90,22 @@ def test_self_derived_rewrite_keeps_rows(spark, ws):
 def test_missing_table(spark, ws):
     with pytest.raises(FileNotFoundError):
         LakeStore(spark, ws).read("nope")
+
+
+def test_retained_versions_vacuum_on_publish(spark, ws):
+    store = LakeStore(spark, ws, retain_versions=2)
+    schema = "k int, v string, start_date date, end_date date"
+    store.publish(store.stage("d", spark.createDataFrame([(1, "a", D1, None), (2, "b", D1, None)], schema), SCD, D1))
+    second = spark.createDataFrame([(1, "a", D1, D2), (1, "x", D2, None), (2, "b", D1, None)], schema)
+    store.publish(store.stage("d", second, SCD, D2), keep_history=True)
+    third = spark.createDataFrame([(1, "x", D2, D3), (1, "y", D3, None), (2, "b", D1, None)], schema)
+    store.publish(store.stage("d", third, SCD, D3), keep_history=True)
+    # the open set of commit 1 is gone; commits 2 and 3 stay whole
+    import os
+
+    local = ws.replace("file:", "", 1)
+    assert not os.path.exists(f"{local}/d/seq=1/end_date=__HIVE_DEFAULT_PARTITION__")
+    assert os.path.exists(f"{local}/d/seq=2/end_date=__HIVE_DEFAULT_PARTITION__")
+    assert _rows(store.read("d")) == [(1, "a", D1, D2), (1, "x", D2, D3), (1, "y", D3, None), (2, "b", D1, None)]
+    with pytest.raises(ValueError):
+        LakeStore(spark, ws, retain_versions=0)
