@@ -39,8 +39,11 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return path
 
 
-def local_session(app: str = "batchwright", cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
-    """Session for tests, the bench and the query entry points."""
+def local_session(app: str = "batchwright", cores: int = 8, shuffle_partitions: int = 8, event_log: str | None = None) -> SparkSession:
+    """Session for tests, the bench and the query entry points.
+
+    ``event_log`` (a folder) turns on Spark's event log there, the source of
+    stage and task times (the web UI stays off)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -54,6 +57,8 @@ def local_session(app: str = "batchwright", cores: int = 8, shuffle_partitions:
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="batchwright-wh-"))
         .config("spark.driver.extraJavaOptions", f"-Dderby.system.home={tempfile.mkdtemp(prefix='batchwright-derby-')}")
     )
+    if event_log:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

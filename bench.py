@@ -5,6 +5,8 @@ written once, untimed.  Each query then runs the library end to end into a
 fresh store (scan, stamp / merge, stage, publish) and materialises the
 loaded table with a no-op write.  The median of ``$BENCH_RUNS`` runs is
 reported per query; ``value`` is their sum.  Prints one JSON line.
+``$BENCH_EVENT_LOG`` (a folder) also writes Spark's event log there, for
+``tools/stage_times.py``.
 """
 
 from __future__ import annotations
@@ -33,7 +35,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = local_session("batchwright-bench", cores=cpus, shuffle_partitions=cpus * 2)
+    event_log = os.environ.get("BENCH_EVENT_LOG")  # a folder: Spark's event log for tools/stage_times.py
+    if event_log:
+        os.makedirs(event_log, exist_ok=True)
+    spark = local_session("batchwright-bench", cores=cpus, shuffle_partitions=cpus * 2, event_log=event_log)
     reg = driver_registry()
 
     t0 = time.time()
@@ -80,12 +85,14 @@ def main() -> None:
     }
     q_scd2_strict()  # warm-up (JIT, file listing caches)
     results = {}
+    windows = [("prep", int(t0 * 1000), int((t0 + prep) * 1000))]
     for name, fn in bench.items():
         times = []
         for _ in range(runs):
             t = time.time()
             fn()
             times.append(time.time() - t)
+            windows.append((name, int(t * 1000), int(time.time() * 1000)))
         results[name] = round(statistics.median(times), 3)
     print(
         json.dumps(
@@ -103,6 +110,9 @@ def main() -> None:
         )
     )
     spark.stop()
+    if event_log:  # query time windows, so stages can be attributed by submission time
+        with open(os.path.join(event_log, "windows.json"), "w") as f:
+            json.dump(windows, f)
 
 
 if __name__ == "__main__":
