@@ -38,6 +38,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from ..functions.stamps import date_lit, parse_batch_date, with_scd_columns
@@ -182,9 +183,48 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+_FIXED = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType)
+_VAR = (T.StringType, T.BinaryType)
+_ENTRY_BYTES = 32  # per row: hash-map slot and pointer, generously
+
+
+def broadcast_bytes_bound(df: DataFrame) -> int | None:
+    """An upper bound on the bytes a broadcast of ``df`` holds, measured by
+    one aggregate over ``df`` (row count and exact byte length of every
+    string / binary value).  Per row: null bits, one 8-byte word per
+    column, a hash entry, and each variable-length value padded to 8 bytes.
+    ``None`` for column types without such a bound (arrays, maps, structs,
+    wide decimals): those are never broadcast."""
+    fields = df.schema.fields
+    var = []
+    for f in fields:
+        t = f.dataType
+        if isinstance(t, _VAR):
+            var.append(f.name)
+        elif not (isinstance(t, _FIXED) or (isinstance(t, T.DecimalType) and t.precision <= 18)):
+            return None
+    lengths = [F.coalesce(F.octet_length(F.col(q(c))), F.lit(0)) for c in var]
+    if lengths:
+        agg = df.agg(F.count(F.lit(1)).alias("n"), F.sum(sum(lengths[1:], lengths[0])).alias("var"))
+    else:
+        agg = df.agg(F.count(F.lit(1)).alias("n"), F.lit(0).cast("long").alias("var"))
+    row = agg.first()  # one row
+    n, var_bytes = int(row["n"]), int(row["var"] or 0)
+    per_row = 8 * ((len(fields) + 63) // 64) + 8 * len(fields) + 8 * len(var) + _ENTRY_BYTES
+    return n * per_row + var_bytes
+
+
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
+    """Broadcast only with a proven bound.  Catalyst's estimate (file bytes
+    for file sources, unbounded for JDBC) first rules out anything that
+    cannot be small without running a job; a candidate is then measured by
+    :func:`broadcast_bytes_bound`, a cheap pass since its input is at most
+    ``limit`` bytes."""
     limit = broadcast_limit(df.sparkSession) if limit is None else limit
-    return limit >= 0 and estimated_bytes(df) <= limit
+    if limit < 0 or estimated_bytes(df) > limit:
+        return False
+    bound = broadcast_bytes_bound(df)
+    return bound is not None and bound <= limit
 
 
 def scd2_strict_changes(
@@ -206,7 +246,7 @@ def scd2_strict_changes(
     so a caller can count them in the same pass and filter them out.
 
     Two physical forms, same result.  When the source passes the broadcast
-    size check (``broadcast_source=None`` asks Catalyst's estimate), the open
+    size check (``broadcast_source=None`` runs :func:`fits_broadcast`), the open
     versions are streamed once against the broadcast source and never
     shuffled; the keys of new rows come from a second, key-only pass.
     Otherwise one full outer join on the key shuffles each side once.
@@ -218,12 +258,12 @@ def scd2_strict_changes(
     k = q(key)
     src = source.select(*base).where(f"{k} IS NOT NULL")
     cur = open_target.select(*cols)
-    if broadcast_source is None:
-        broadcast_source = fits_broadcast(src)
 
     # both sides renamed apart (t_*, s_*), each in one projection
     t = cur.where(f"{k} IS NOT NULL").selectExpr(*[f"{q(c)} AS {q('t_' + c)}" for c in cols], "true AS _t")
     s = src.selectExpr(*[f"{q(c)} AS {q('s_' + c)}" for c in base], "true AS _s")
+    if broadcast_source is None:  # measured on exactly what would be broadcast
+        broadcast_source = fits_broadcast(s)
     if broadcast_source:
         j = t.join(F.broadcast(s), t[f"t_{key}"] == s[f"s_{key}"], "left")
     else:
