@@ -137,7 +137,7 @@ def scd_load(store, spec: TableSpec, source: DataFrame, batch: str | dt.date, mo
         if counts["changed"] == 0:  # counted by the staging write: no extra job
             return LoadResult(spec.target, SCD, "no_change", bdate, {"inserted": 0, "null_keys": null_keys})
         staged = store.spark.read.schema(changed.schema).parquet(path)
-        out = scd2.scd2_compat(src, target, key, cols, bdate, changed=staged)
+        out = scd2.scd2_compat(src, target, key, cols, bdate, changed=staged, changed_count=counts["changed"])
         m = _publish(
             store,
             spec,

@@ -120,13 +120,27 @@ def scd2_compat(
     change_cols: Sequence[str],
     batch_date: str | dt.date,
     changed: DataFrame | None = None,
+    changed_count: int | None = None,
 ) -> DataFrame:
     """New target in compat mode.  ``changed`` may be passed pre-computed
-    (e.g. staged) from :func:`changed_rows`; an empty one means no change."""
+    (e.g. staged) from :func:`changed_rows`; an empty one means no change.
+
+    With ``changed_count`` (rows of ``changed``, e.g. counted by the staging
+    write) the distinct changed keys have a proven size bound: they are
+    broadcast when it fits the threshold, and otherwise joined by sort-merge
+    (AQE may still switch on measured shuffle sizes).  Without it Spark's
+    planner decides."""
     b = date_lit(batch_date)
     cols = target_columns(source.columns)
     new = changed if changed is not None else changed_rows(source, target, key, change_cols, COMPAT)
     hits = new.select(key).distinct().withColumn("_hit", F.lit(True))
+    if changed_count is not None:
+        limit = broadcast_limit(source.sparkSession)
+        per_key = 8 + 8 * 2 + _ENTRY_BYTES  # null bits, key and flag words, hash entry
+        if 0 <= limit and changed_count * per_key <= limit:
+            hits = F.broadcast(hits)
+        else:
+            hits = hits.hint("merge")
     rows = target.select(*cols).unionByName(with_scd_columns(new, batch_date).select(*cols))
     keyed = (
         rows.where(F.col(key).isNotNull())

@@ -143,3 +143,13 @@ def test_broadcast_bound_is_measured_not_estimated(spark, ws):
     assert scd2.estimated_bytes(back) <= limit  # dictionary-encoded on disk
     assert scd2.broadcast_bytes_bound(back) > limit
     assert not scd2.fits_broadcast(back, limit=limit)
+
+
+def test_compat_mark_join_broadcast_only_under_counted_bound(spark, ws, customer, open_set):
+    src = derived.customer_batch(customer, 2)
+    scd2.changed_rows(src, open_set, KEY, CHANGE, "compat").write.parquet(f"{ws}/changed")
+    changed = spark.read.parquet(f"{ws}/changed")  # staged, as the load does
+    small = plan(scd2.scd2_compat(src, open_set, KEY, CHANGE, B2, changed=changed, changed_count=10))
+    assert "BroadcastHashJoin" in small and "LeftOuter" in small
+    big = plan(scd2.scd2_compat(src, open_set, KEY, CHANGE, B2, changed=changed, changed_count=10**9))
+    assert "SortMergeJoin" in big and "BroadcastHashJoin" not in big
