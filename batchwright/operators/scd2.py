@@ -98,21 +98,51 @@ def changed_rows(
     key: str,
     change_cols: Sequence[str],
     mode: str = STRICT,
+    broadcast_source: bool | None = None,
 ) -> DataFrame:
     """Source rows that open a new version (NULL keys dropped).
 
     compat: keys not in :func:`unchanged_keys` (anti join, not an IN list).
     strict: rows with no open target version of the same key and tuple.
+    ``broadcast_source`` (compat; ``None`` measures it with
+    :func:`fits_broadcast`) picks the physical form, see :func:`_compat_changed`.
     """
     _check_mode(mode)
     src = source.where(F.col(key).isNotNull())
     if mode == COMPAT:
-        return src.join(unchanged_keys(source, target, key, change_cols), on=key, how="left_anti").select(*source.columns)
+        return _compat_changed(source, src, target, key, list(change_cols), broadcast_source)
     cur = target.where(F.col(END_DATE).isNull() & F.col(key).isNotNull()).select(key, *change_cols)
     cond = [src[key] == cur[key]] + [src[c].eqNullSafe(cur[c]) for c in change_cols]
     return src.join(cur, on=cond, how="left_anti").select(*source.columns)
 
 
+def _compat_changed(
+    source: DataFrame, src: DataFrame, target: DataFrame, key: str, cols: list[str], broadcast_source: bool | None
+) -> DataFrame:
+    """Compat change detection, in one of two physical forms.
+
+    Only unchanged keys that occur in the source can remove a source row, so
+    the target may first be cut to the source's keys.  With a source under a
+    proven broadcast bound, the target streams through two broadcast semi
+    joins (source keys, source change tuples) and is never shuffled; the
+    unchanged keys left are at most the source's keys, so they are
+    broadcast to the anti join after a small distinct.  Otherwise every
+    join is a sort-merge join (the hint keeps Spark from broadcasting on an
+    estimate): hot tuples collapse in the map-side distinct and AQE can split
+    skewed target partitions."""
+    if broadcast_source is None:
+        broadcast_source = fits_broadcast(source)
+    tuples = source.select(*cols).dropna(how="any")
+    cur = target.select(key, *cols).where(F.col(key).isNotNull())
+    if broadcast_source:
+        hit = cur.join(F.broadcast(src.select(key)), on=key, how="left_semi").join(F.broadcast(tuples), on=cols, how="left_semi")
+        unchanged = F.broadcast(hit.select(key).distinct())
+    else:
+        hit = cur.join(tuples.distinct().hint("merge"), on=cols, how="left_semi")
+        unchanged = hit.select(key).distinct().hint("merge")
+    return src.join(unchanged, on=key, how="left_anti").select(*source.columns)
+
+
 def scd2_compat(
     source: DataFrame,
     target: DataFrame,

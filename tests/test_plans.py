@@ -153,3 +153,16 @@ def test_compat_mark_join_broadcast_only_under_counted_bound(spark, ws, customer
     assert "BroadcastHashJoin" in small and "LeftOuter" in small
     big = plan(scd2.scd2_compat(src, open_set, KEY, CHANGE, B2, changed=changed, changed_count=10**9))
     assert "SortMergeJoin" in big and "BroadcastHashJoin" not in big
+
+
+def test_compat_change_detection_forms(customer, open_set):
+    # one branch (customer_batch is a union, which Catalyst splits the anti join over)
+    src = customer.withColumn("c_name", F.when(F.col(KEY) % 10 == 0, F.lit("changed")).otherwise(F.col("c_name")))
+    small = plan(scd2.changed_rows(src, open_set, KEY, CHANGE, "compat", broadcast_source=True), "formatted")
+    # the target streams through broadcast semi joins; the only shuffle is
+    # the distinct of the unchanged keys, which are at most the source's keys
+    assert _count(r"\(\d+\) BroadcastHashJoin", small) == 3
+    assert _count(r"\(\d+\) Exchange", small) == 1
+    assert "SortMergeJoin" not in small
+    big = plan(scd2.changed_rows(src, open_set, KEY, CHANGE, "compat", broadcast_source=False))
+    assert "BroadcastHashJoin" not in big and _count("SortMergeJoin", big) == 2

@@ -41,12 +41,12 @@ def _norm(rows):
 
 
 @SETTINGS
-@given(target=any_tgt, source=src_rows)
-def test_compat_join_form_equals_list_form(spark, target, source):
+@given(target=any_tgt, source=src_rows, broadcast=st.booleans())
+def test_compat_join_form_equals_list_form(spark, target, source, broadcast):
     tgt = [(k, a, b, B0, end) for k, a, b, end in target]
     t = spark.createDataFrame(tgt, TGT)
     s = spark.createDataFrame(source, SRC)
-    changed = scd2.changed_rows(s, t, "k", ["a", "b"], "compat")
+    changed = scd2.changed_rows(s, t, "k", ["a", "b"], "compat", broadcast_source=broadcast)
     want = compat_list_form(tgt, source)
     if want is None:
         assert changed.count() == 0

@@ -32,7 +32,7 @@ def _run(spark, target, source, mode, broadcast=None):
         inserted = changes.where(F.col("_op") == "insert").count()
         out = history.unionByName(changes.drop("_op"))
     else:
-        changed = scd2.changed_rows(s, t, "k", ["a", "b"], "compat")
+        changed = scd2.changed_rows(s, t, "k", ["a", "b"], "compat", broadcast_source=broadcast)
         inserted = changed.count()
         out = scd2.scd2_compat(s, t, "k", ["a", "b"], B, changed=changed)
     if inserted == 0:
@@ -100,11 +100,11 @@ CASES = {
 
 
 @pytest.mark.parametrize("name", sorted(CASES))
-@pytest.mark.parametrize("form", ["strict-shuffle", "strict-broadcast", "compat"])
+@pytest.mark.parametrize("form", ["strict-shuffle", "strict-broadcast", "compat-shuffle", "compat-broadcast"])
 def test_case(spark, name, form):
     target, source, strict_want, compat_want = CASES[name]
-    mode = "compat" if form == "compat" else "strict"
-    broadcast = {"strict-shuffle": False, "strict-broadcast": True}.get(form)
+    mode = "compat" if form.startswith("compat") else "strict"
+    broadcast = form.endswith("broadcast")
     got, inserted = _run(spark, target, source, mode, broadcast)
     want = compat_want if mode == "compat" else strict_want
     if want is None:
