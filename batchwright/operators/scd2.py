@@ -82,7 +82,9 @@ def unchanged_keys(source: DataFrame, target: DataFrame, key: str, change_cols:
     row carries its tuple).
     """
     cols = list(change_cols)
-    tuples = source.select(*cols).dropna(how="any").distinct()
+    # all target keys, so no bound follows from the source: sort-merge, not
+    # a broadcast chosen on an estimate
+    tuples = source.select(*cols).dropna(how="any").distinct().hint("merge")
     return (
         target.select(key, *cols)
         .where(F.col(key).isNotNull())
