@@ -113,7 +113,7 @@ def changed_rows(
     src = source.where(F.col(key).isNotNull())
     if mode == COMPAT:
         return _compat_changed(source, src, target, key, list(change_cols), broadcast_source)
-    cur = target.where(F.col(END_DATE).isNull() & F.col(key).isNotNull()).select(key, *change_cols)
+    cur = target.where(F.col(END_DATE).isNull() & F.col(key).isNotNull()).select(key, *change_cols).hint("merge")  # the open set: no proven bound
     cond = [src[key] == cur[key]] + [src[c].eqNullSafe(cur[c]) for c in change_cols]
     return src.join(cur, on=cond, how="left_anti").select(*source.columns)
 
