@@ -502,9 +502,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_scd2_strict(spark, SF_SMOKE)
 
 
+def _llm():
+    """(queries, oracles) of the training-data operators and the pipeline; none where those are deleted."""
+    try:
+        import corpus_pipeline
+        from batchwright.llm import queries as llm
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "batchwright.llm"):
+            raise
+        return {}, {}
+    oracles = llm.oracle_sql() | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return llm.queries() | {"pipeline": corpus_pipeline.run}, oracles
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return QUERIES | _llm()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return ORACLE | _llm()[1]
