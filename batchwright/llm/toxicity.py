@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType
+from pyspark.sql.types import BinaryType, DoubleType
 
 from .common import doc_columns, row_type
 
@@ -43,7 +43,7 @@ UNLABELLED = 16384
 FEATURES = 2048
 GRAM = 4
 EPOCHS = 100
-BATCH = 2048
+BATCH = 1024
 RATE = 0.05
 DECAY = 3e-4
 #: A gram is taken when so many rows of the sample hold it, and its share among
@@ -148,25 +148,32 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, positives: int = POS
         return None
     names = tuple(choose(rows, features))
 
-    @pandas_udf(ArrayType(IntegerType()))
+    @pandas_udf(BinaryType())
     def held(texts: pd.Series) -> pd.Series:
-        return pd.Series(list(present(texts, names)), dtype=object)
-
-    got = rows.select("p", held("text").alias("x")).toPandas()
-    x = np.zeros((len(got), len(names)), np.uint8)
-    for i, held_by in enumerate(got["x"]):
-        x[i, held_by] = 1
+        """A bit for each gram."""
+        out = []
+        for at in present(texts, names):
+            row = np.zeros(len(names), np.uint8)
+            row[at] = 1
+            out.append(np.packbits(row).tobytes())
+        return pd.Series(out, dtype=object)
+
+    got = rows.select("p", held("text").alias("x")).toPandas()  # at most about (positives + unlabelled) * features / 8 bytes
     p = got["p"].to_numpy(bool)
-    if not p.any() or p.all():
+    if not names or not p.any() or p.all():
         return None
-    weights, bias = train(x[p], x[~p], prior)
+    x = np.frombuffer(b"".join(got["x"]), np.uint8).reshape(len(got), -1)
+    weights, bias = train(x[p], x[~p], len(names), prior)
     return Model(names, weights, bias, prior)
 
 
-def train(pos: np.ndarray, unl: np.ndarray, prior: float, epochs: int = EPOCHS, seed: int = 1) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise the non-negative risk, by Adam on mini-batches."""
+def train(pos: np.ndarray, unl: np.ndarray, features: int, prior: float, epochs: int = EPOCHS, seed: int = 1) -> tuple[np.ndarray, float]:
+    """Weights and bias that minimise the non-negative risk, by Adam on mini-batches.
+
+    ``pos`` and ``unl`` hold a bit for each feature (``numpy.packbits`` by row)."""
+    rows = lambda bits: np.unpackbits(bits, axis=1, count=features).astype(np.float32)
     rng = np.random.default_rng(seed)
-    w = np.zeros(pos.shape[1] + 1)
+    w = np.zeros(features + 1, np.float32)
     w[-1] = math.log(prior / (1 - prior)) if prior < 1 else 0.0
     first, second, step = np.zeros_like(w), np.zeros_like(w), 0
     sigmoid = lambda f: 1 / (1 + np.exp(-np.clip(f, -40, 40)))
@@ -174,8 +181,8 @@ def train(pos: np.ndarray, unl: np.ndarray, prior: float, epochs: int = EPOCHS,
     for _ in range(max(epochs, 300 // rounds)):
         order = rng.permutation(len(unl))
         for part in np.array_split(order, rounds):
-            u = unl[part].astype(np.float32)
-            q = pos[rng.integers(0, len(pos), min(len(pos), BATCH))].astype(np.float32)
+            u = rows(unl[part])
+            q = rows(pos[rng.integers(0, len(pos), min(len(pos), BATCH))])
             fu, fp = u @ w[:-1] + w[-1], q @ w[:-1] + w[-1]
             clean = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
             du, dp = sigmoid(fu) / len(fu), prior * sigmoid(fp) / len(fp)

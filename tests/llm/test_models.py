@@ -109,7 +109,8 @@ def test_risk_is_corrected():
     """Trained from positives and a mixture only, the score separates the hidden classes."""
     rng = np.random.default_rng(1)
     draw = lambda toxic, n: (rng.random((n, 20)) < (np.where(np.arange(20) < 5, 0.6, 0.3) if toxic else np.where(np.arange(20) < 5, 0.02, 0.3))).astype(np.uint8)
-    w, b = toxicity.train(draw(True, 400), np.concatenate([draw(True, 300), draw(False, 2700)]), 0.1)
+    bits = lambda x: np.packbits(x, axis=1)
+    w, b = toxicity.train(bits(draw(True, 400)), bits(np.concatenate([draw(True, 300), draw(False, 2700)])), 20, 0.1)
     assert ((draw(True, 500) @ w + b) > 0).mean() > 0.75
     assert ((draw(False, 500) @ w + b) > 0).mean() < 0.05
 
