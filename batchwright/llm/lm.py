@@ -79,6 +79,23 @@ def _counted(seen: Counter) -> pd.DataFrame:
     return pd.DataFrame({"word": [w.decode("utf-8") for w in seen], "c": list(seen.values())})
 
 
+def most_frequent(vocab: DataFrame, head: int) -> pd.DataFrame:
+    """At most ``head`` words, none less frequent than one left out, the most frequent first.
+
+    The least count that fits is read off a histogram of at most a thousand steps
+    of counts, so nothing is sorted and no more than the result reaches the driver."""
+    step = F.floor(16 * F.log2(F.col("c").cast("double")))
+    sizes = vocab.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("step")).collect()
+    least, taken = None, 0
+    for s in sizes:
+        taken += s["n"]
+        if taken > head:
+            break
+        least = s["step"]
+    top = vocab.where(step >= least if least is not None else F.lit(False)).toPandas()
+    return top.sort_values(["c", "word"], ascending=[False, True])
+
+
 class Params:
     """Rows: one for each class (r, q, b), and a last one with the context weights c1, c2."""
 
@@ -245,7 +262,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     learn = base.where(~out).select("text")
     vocab = staged(learn.mapInPandas(count_words, COUNTS).groupBy("word").agg(F.sum("c").alias("c")), "lm-words")
     total, distinct = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = vocab.orderBy(F.desc("c"), "word").limit(head).toPandas()
+    top = most_frequent(vocab, head)
     end = int(top.loc[top["word"] == END_WORD, "c"].sum())
     if not end:  # only when the head is smaller than the number of words more frequent than documents
         end = int(vocab.where(F.col("word") == END_WORD).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0])
