@@ -251,7 +251,7 @@ def q_jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_jdbc_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders b1, b2, then b2 again (a retry) appended to Derby: the retry
+    """orders b1, b2, b2 again (a retry) and b3 appended to Derby: the retry
     replaces the batch's rows instead of doubling them."""
     url = f"jdbc:derby:memory:bw{uuid.uuid4().hex[:10]};create=true"
     opts = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
@@ -260,9 +260,52 @@ def q_jdbc_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     first_load(store, spec, derived.batch_frame(spark, sf_dir, "orders", 1), derived.BATCH_DATES[0])
     append_load(store, spec, derived.batch_frame(spark, sf_dir, "orders", 2), derived.BATCH_DATES[1])
     append_load(store, spec, derived.batch_frame(spark, sf_dir, "orders", 2), derived.BATCH_DATES[1])
+    append_load(store, spec, derived.batch_frame(spark, sf_dir, "orders", 3), derived.BATCH_DATES[2])
     return store.read("orders")
 
 
+def q_replay_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer: b1 with a fact, then an unchanged and a changed batch without
+    one, replayed twice: the second run changes nothing."""
+    ws = _ws(spark, "rerun")
+    root = f"{ws}/src"
+    derived.write_batch_frame(derived.batch_frame(spark, sf_dir, "orders", 1), root, 1, "orders")
+    for n, content in ((1, 1), (2, 1), (3, 2)):
+        derived.write_batch_frame(derived.batch_frame(spark, sf_dir, "customer", content), root, n, "customer")
+    store = LakeStore(spark, f"{ws}/lake")
+    for _ in range(2):
+        replay(spark, store, _reg(), root, DRIVER_FACT_TABLE)
+    return store.read("customer")
+
+
+def q_nested_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer b1 with its part files two folders further down."""
+    ws = _ws(spark, "nested")
+    derived.write_batch_frame(derived.batch_frame(spark, sf_dir, "customer", 1), f"{ws}/src", 1, "customer/x/y")
+    store = LakeStore(spark, f"{ws}/lake")
+    replay(spark, store, _reg(), f"{ws}/src", DRIVER_FACT_TABLE)
+    return store.read("customer")
+
+
+def _shuffled(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    """customer b1 then b2 with broadcasting off, so the merge shuffles."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        return _loaded(spark, sf_dir, ("customer",), (1, 2), mode=mode, label=f"shuffled-{mode}").read("customer")
+    finally:
+        spark.conf.set(key, before)
+
+
+def q_scd2_strict_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shuffled(spark, sf_dir, scd2.STRICT)
+
+
+def q_scd2_compat_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shuffled(spark, sf_dir, scd2.COMPAT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_delimited_scan": q_delimited_scan,
     "q_full_load": q_full_load,
@@ -283,6 +326,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_replay": q_replay,
     "q_jdbc_roundtrip": q_jdbc_roundtrip,
     "q_jdbc_append": q_jdbc_append,
+    "q_replay_rerun": q_replay_rerun,
+    "q_nested_parts": q_nested_parts,
+    "q_scd2_strict_shuffled": q_scd2_strict_shuffled,
+    "q_scd2_compat_shuffled": q_scd2_compat_shuffled,
 }
 
 
@@ -310,7 +357,7 @@ def _c_batch(n: int, nulls: bool = False) -> str:
         seg = "CASE WHEN c_custkey % 20 = 0 THEN c_mktsegment WHEN c_custkey % 10 = 0 THEN 'CHANGED' ELSE c_mktsegment END"
     sql = (
         f"SELECT c_custkey, c_name, c_nationkey, c_acctbal, {seg} AS c_mktsegment FROM {base} b "
-        f"UNION ALL SELECT c_custkey + 1000000 AS c_custkey, 'New#' || CAST(c_custkey + 1000000 AS VARCHAR) AS c_name, "
+        f"UNION ALL SELECT -1 - c_custkey AS c_custkey, 'New#' || CAST(-1 - c_custkey AS VARCHAR) AS c_name, "
         f"c_nationkey, c_acctbal, c_mktsegment FROM {base} b WHERE c_custkey < 7"
     )
     if nulls:
@@ -492,7 +539,13 @@ ORACLE: dict[str, str] = {
     "q_record_check": _record_check_sql(),
     "q_replay": _replay_sql(),
     "q_jdbc_roundtrip": _scd_sql("strict", 2),
-    "q_jdbc_append": f"SELECT {O_COLS}, {O_STAMP} AS batched_at FROM orders WHERE CAST(o_orderdate AS DATE) <= DATE '1998-12-31'",
+    "q_jdbc_append": f"SELECT {O_COLS}, {O_STAMP} AS batched_at FROM orders",
+}
+ORACLE |= {
+    "q_replay_rerun": ORACLE["q_scd2_strict"].replace(B2, B3),
+    "q_nested_parts": ORACLE["q_first_load_scd"],
+    "q_scd2_strict_shuffled": ORACLE["q_scd2_strict"],
+    "q_scd2_compat_shuffled": ORACLE["q_scd2_compat"],
 }
 
 

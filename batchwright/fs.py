@@ -8,6 +8,7 @@ No row data passes through these helpers.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from fnmatch import fnmatchcase
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +54,20 @@ def glob(spark: SparkSession, pattern: str) -> list[Entry]:
     return sorted((_entry(s) for s in found), key=lambda e: e.path)
 
 
+def any_file(spark: SparkSession, folder: str, pattern: str) -> bool:
+    """Whether a file named like ``pattern`` lies anywhere below ``folder``, in
+    no hidden folder (``_`` or ``.``); the walk ends at the first one."""
+    fs, p = _fs(spark, folder)
+    if not fs.exists(p):
+        return False
+    base, found = fs.makeQualified(p).toString(), fs.listFiles(p, True)
+    while found.hasNext():
+        below = found.next().getPath().toString()[len(base) :].strip("/").split("/")
+        if fnmatchcase(below[-1], pattern) and not any(x.startswith(("_", ".")) for x in below):
+            return True
+    return False
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Create or replace a small UTF-8 file (commit records, markers)."""
     fs, p = _fs(spark, path)

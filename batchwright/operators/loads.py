@@ -90,7 +90,7 @@ def append_load(store, spec: TableSpec, source: DataFrame, batch: str | dt.date)
 
 
 def scd_load(store, spec: TableSpec, source: DataFrame, batch: str | dt.date, mode: str = scd2.STRICT) -> LoadResult:
-    """SCD2 merge of one batch; no commit when nothing changed."""
+    """SCD2 merge of one batch; one that changes nothing is recorded with the same rows."""
     bdate = parse_batch_date(batch)
     key, cols = spec.primary_key, list(spec.change_columns)
     src = source.select(*spec.columns)
@@ -109,7 +109,8 @@ def scd_load(store, spec: TableSpec, source: DataFrame, batch: str | dt.date, mo
         pending = store.stage(spec.target, changes, lake.SCD, bdate, keep_history=True)
         m = {k: int(v or 0) for k, v in obs.get.items()}
         if m["inserted"] == 0:
-            store.discard(pending)
+            # the same rows under the new batch's date, so a rerun knows this batch
+            store.publish(pending, keep_history=True, metrics=m)
             return LoadResult(spec.target, SCD, "no_change", bdate, m)
         store.publish(pending, keep_history=True, metrics=m)
         return LoadResult(spec.target, SCD, "scd2_strict", bdate, m)
@@ -135,6 +136,7 @@ def scd_load(store, spec: TableSpec, source: DataFrame, batch: str | dt.date, mo
         counts = {k: int(v or 0) for k, v in nobs.get.items()}
         null_keys = counts["null_keys"]
         if counts["changed"] == 0:  # counted by the staging write: no extra job
+            _publish(store, spec, target, lake.SCD, bdate, False, [_rows()])  # records the batch
             return LoadResult(spec.target, SCD, "no_change", bdate, {"inserted": 0, "null_keys": null_keys})
         staged = store.spark.read.schema(changed.schema).parquet(path)
         out = scd2.scd2_compat(src, target, key, cols, bdate, changed=staged, changed_count=counts["changed"])

@@ -341,9 +341,9 @@ def scd2_strict_changes(
     parts = [merged, cur.where(f"{k} IS NULL").selectExpr("*", f"'{OP_KEEP}' AS {OP}")]
     stamp = [f"{b} AS {START_DATE}", f"CAST(NULL AS DATE) AS {END_DATE}"]
     if broadcast_source:
-        # keys of the open set that the batch touches: at most one per source
-        # row, so this side is bounded by the (already broadcast) source
-        seen = cur.selectExpr(f"{k} AS _k").join(F.broadcast(src.selectExpr(f"{k} AS _k")), "_k", "left_semi")
+        # distinct keys of the open set that the batch touches: at most one per
+        # source row, so this side is bounded by the (already broadcast) source
+        seen = cur.selectExpr(f"{k} AS _k").join(F.broadcast(src.selectExpr(f"{k} AS _k")), "_k", "left_semi").distinct()
         fresh = src.join(F.broadcast(seen), src[key] == seen["_k"], "left_anti")
         parts.append(fresh.selectExpr(*[q(c) for c in base], *stamp, f"'{OP_INSERT}' AS {OP}"))
     if keep_null_keys:

@@ -4,7 +4,7 @@ Every batch is a pure expression over a whole input table, so its size
 follows the table's.  Batches b1..b3 are dated 2022-11-01..03:
 
 * customer (SCD): b1 as is; b2 sets ``c_mktsegment`` to ``CHANGED`` on keys
-  divisible by 10 and adds copies of keys below 7 as new keys (+1,000,000,
+  divisible by 10 and adds copies of keys below 7 as new keys (-1 - key,
   ``c_name`` = ``New#<key>``); b3 is b2 with the original segment back on
   keys divisible by 20.
 * supplier (SCD): b1 as is; b2 adds 100 to ``s_acctbal`` on keys divisible
@@ -28,7 +28,6 @@ from ..sources.delimited import write_delimited
 from .registry import DRIVER_SCHEMAS
 
 BATCH_DATES = (dt.date(2022, 11, 1), dt.date(2022, 11, 2), dt.date(2022, 11, 3))
-NEW_KEY_OFFSET = 1_000_000
 
 
 def batch_name(n: int) -> str:
@@ -52,7 +51,7 @@ def customer_batch(base: DataFrame, n: int) -> DataFrame:
     if n == 3:
         seg = F.when(_divisible("c_custkey", 20), F.col("c_mktsegment")).otherwise(seg)
     changed = base.withColumn("c_mktsegment", seg)
-    new_key = F.col("c_custkey") + F.lit(NEW_KEY_OFFSET)
+    new_key = F.lit(-1) - F.col("c_custkey")  # cannot meet a key of the table
     added = base.where(F.col("c_custkey") < 7).select(
         new_key.alias("c_custkey"),
         F.concat(F.lit("New#"), new_key.cast("string")).alias("c_name"),

@@ -5,8 +5,11 @@ Per batch the decisions are
 * the batch is skipped when its date is not after the fact table's
   high-water mark (dates compared as dates; no mark means new);
 * per table: a table with no version yet gets a first load, a table that
-  already holds this batch is skipped (a rerun after a crash), anything else
-  gets its strategy's incremental load;
+  already holds this batch is skipped (a rerun after a crash), as is one that
+  holds a newer batch (appended tables excepted); anything else gets its
+  strategy's incremental load;
+* while a table folder of a batch has no part file, the fact waits and no
+  later batch is loaded;
 * dimensions load before the appended fact, so the fact's mark moves only
   after every other table of the batch is in; the dimensions of one batch
   load concurrently.
@@ -16,7 +19,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -30,7 +33,7 @@ from ..sources.delimited import read_delimited, read_named_file, record_check
 from ..functions.stamps import is_newer, parse_batch_date
 from ..sources.manifest import BatchEntry, list_batches
 from ..sources.manifest import batch_entries as list_batch_entries
-from ..specs import APPEND, Registry, load_order
+from ..specs import APPEND, Registry, TableSpec, load_order
 
 
 @dataclass
@@ -62,6 +65,10 @@ def _load_table(spark: SparkSession, store, spec, entry: BatchEntry, mode: str,
         return LoadResult(spec.target, spec.load, "missing_files", entry.batch_date)
     if store.has_batch(spec.target, entry.batch_date):
         return LoadResult(spec.target, spec.load, "already_loaded", entry.batch_date)
+    mark = store.batch_mark(spec.target)
+    if spec.load != APPEND and mark is not None and entry.batch_date < mark:
+        # merged over newer state an old batch would corrupt the history
+        return LoadResult(spec.target, spec.load, "older_than_table", entry.batch_date)
     started = time.perf_counter()
     source = read_delimited(spark, entry.path, spec.schema, sep=sep)
     if not store.exists(spec.target):
@@ -125,7 +132,11 @@ def run_batch(
         for r in check_batch(spark, registry, entries, sep).collect():  # one row per table
             checked[r["table_name"]] = {"source_rows": r["rows"], "bad_records": r["bad_records"], "null_fields": r["null_fields"]}
     results = _concurrently([lambda s=s: _load_table(spark, store, s, by_table[s.name], mode, sep) for s in dims], parallelism)
-    results += [_load_table(spark, store, s, by_table[s.name], mode, sep) for s in facts]
+    if any(r.action == "missing_files" for r in results):
+        # files may still arrive; the fact's mark must not pass this batch before
+        results += [LoadResult(s.target, s.load, "waiting", by_table[s.name].batch_date) for s in facts]
+    else:
+        results += [_load_table(spark, store, s, by_table[s.name], mode, sep) for s in facts]
     for spec, r in zip(dims + facts, results):
         r.metrics.update(checked.get(spec.name, {}))
     return results
@@ -163,11 +174,13 @@ def replay(
         loads = run_batch(spark, store, registry, batch_entries, mode, sep, parallelism, check_records)
         mark = control.high_water_mark(store, fact_table)
         missing = [r.table for r in loads if r.action == "missing_files"]
-        reports.append(BatchReport(batch, bdate, "loaded", loads, missing))
+        reports.append(BatchReport(batch, bdate, "incomplete" if missing else "loaded", loads, missing))
+        if missing:
+            break  # later batches wait for this one's files
     return reports
 
 
-def load_once(spark: SparkSession, store, registry: Registry, base_dir: str, sep: str = "|", parallelism: int = 8) -> list[LoadResult]:
+def load_once(spark: SparkSession, store, registry: Iterable[TableSpec], base_dir: str, sep: str = "|", parallelism: int = 8) -> list[LoadResult]:
     """One-time load: each declared file, as it is, replaces its target
     (tables load concurrently, as in :func:`run_batch`)."""
     def one(spec):
@@ -178,10 +191,12 @@ def load_once(spark: SparkSession, store, registry: Registry, base_dir: str, sep
 
 
 def bootstrap(spark: SparkSession, store, registry: Registry, base_dir: str, sep: str = "|") -> bool:
-    """Run the one-time load only when none of its targets exists yet.
+    """One-time load of the targets that do not exist yet (all, or what an
+    earlier run did not reach).
 
     Returns True when it loaded."""
-    if control.any_present(store, [s.target for s in registry]):
-        return False
-    load_once(spark, store, registry, base_dir, sep)
-    return True
+    present = control.tables_present(store, [s.target for s in registry])
+    absent = [s for s in registry if not present[s.target]]
+    if absent:
+        load_once(spark, store, absent, base_dir, sep)
+    return bool(absent)

@@ -8,6 +8,7 @@ when that setting is absent, as in local tests.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,6 +27,8 @@ def work_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if not current:
         configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = configured or tempfile.mkdtemp(prefix="batchwright-ckpt-")
         sc.setCheckpointDir(base)
         current = sc.getCheckpointDir()

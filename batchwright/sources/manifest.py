@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fs
-from ..functions.stamps import BATCH_PREFIX, batch_date_col, parse_batch_date
+from ..functions.stamps import BATCH_PREFIX, BatchNameError, batch_date_col, parse_batch_date
 from .delimited import PART_GLOB
 
 
@@ -40,15 +40,20 @@ def list_batches(spark: SparkSession, root: str) -> list[str]:
     anything is loaded.
     """
     names = [e.name for e in fs.ls(spark, root) if e.is_dir and e.name.startswith(BATCH_PREFIX)]
-    return sorted(names, key=lambda n: (parse_batch_date(n), n))
+    names.sort(key=lambda n: (parse_batch_date(n), n))
+    for a, b in zip(names, names[1:]):
+        if parse_batch_date(a) == parse_batch_date(b):
+            # commits know a batch by its date, so the second one would never load
+            raise BatchNameError(f"{a!r} and {b!r} have the same batch date")
+    return names
 
 
 def _count_parts(spark: SparkSession, folder: str) -> int:
     direct = fs.glob(spark, f"{folder}/{PART_GLOB}")
     if direct:
         return sum(1 for e in direct if not e.is_dir)
-    nested = fs.glob(spark, f"{folder}/*/{PART_GLOB}")
-    return sum(1 for e in nested if not e.is_dir)
+    # deeper down, one file is enough to know that there is something to load
+    return int(fs.any_file(spark, folder, PART_GLOB))
 
 
 def batch_entries(spark: SparkSession, root: str, batch: str) -> list[BatchEntry]:

@@ -60,7 +60,8 @@ def watch(
 ) -> StreamingQuery:
     """Start the stream.  ``once`` processes what is there and stops
     (``availableNow``); otherwise it polls every ``interval``."""
-    checkpoint = checkpoint or f"{work_dir(spark)}/arrivals-{re.sub(r'[^A-Za-z0-9]+', '_', root)[-60:]}"
+    if not checkpoint:
+        raise ValueError("watch needs a checkpoint folder that outlives the application")
 
     def on_batch(df: DataFrame, epoch_id: int) -> None:
         if df.select("batch").distinct().limit(1).count() == 0:
