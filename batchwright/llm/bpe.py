@@ -3,10 +3,13 @@
 Each match of the pre-token pattern is encoded on its own.  Its bytes form a
 doubly linked list; every neighbouring pair that is a token stands in the bucket
 of that token's rank, by list position.  A three-level bitmap over the ranks
-gives the least rank with find-first-set; the leftmost position of its bucket is
-merged, pairs that the merge changed become stale and are skipped when met.  Each
-merge costs a constant number of queue steps, so a pre-token of any length takes
-about linear time.
+gives the least rank with find-first-set; the positions of its bucket are merged
+from left to right, and those whose pair has changed since are stale and skipped.
+Should a merge make a pair of a lesser rank, that rank is served first and the
+rest of the bucket waits.  Each merge costs a constant number of queue steps, so
+a pre-token of any length takes about linear time.  Many pre-tokens share one
+queue: their lists lie behind each other with a gap between them that no pair
+spans, so finding a rank is paid once for all of them.
 
 Ranks are read where their file lies on each executor.  Frequent chunks are kept
 encoded in a bounded cache per Python worker.
@@ -19,7 +22,6 @@ and text are not read.
 from __future__ import annotations
 
 import base64
-from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -40,37 +42,28 @@ class RankQueue:
         self.top = 0
         self.buckets: dict[int, list[int]] = {}
 
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        word = rank >> 6
-        if not self.low[word]:
-            block = rank >> 12
-            if not self.mid[block]:
-                self.top |= 1 << block
-            self.mid[block] |= 1 << (word & 63)
-        self.low[word] |= 1 << (rank & 63)
+    def open(self, rank: int, positions: list[int]) -> None:
+        """A bucket for a rank that has none."""
+        self.buckets[rank] = positions
+        self.low[rank >> 6] |= 1 << (rank & 63)
+        self.mid[rank >> 12] |= 1 << (rank >> 6 & 63)
+        self.top |= 1 << (rank >> 12)
 
-    def pop(self) -> tuple[int, int]:
-        """Least rank and its leftmost position; the queue must not be empty (``top``)."""
+    def pop(self) -> tuple[int, list[int]]:
+        """Least rank and its positions in order; the queue must not be empty (``top``)."""
         block = (self.top & -self.top).bit_length() - 1
         bits = self.mid[block]
         word = (block << 6) + (bits & -bits).bit_length() - 1
         bits = self.low[word]
         rank = (word << 6) + (bits & -bits).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[word] &= self.low[word] - 1
-            if not self.low[word]:
-                self.mid[block] &= self.mid[block] - 1
-                if not self.mid[block]:
-                    self.top &= self.top - 1
-        return rank, position
+        self.low[word] &= bits - 1
+        if not self.low[word]:
+            self.mid[block] &= self.mid[block] - 1
+            if not self.mid[block]:
+                self.top &= self.top - 1
+        bucket = self.buckets.pop(rank)
+        bucket.sort()
+        return rank, bucket
 
 
 class ByteBpe:
@@ -80,52 +73,78 @@ class ByteBpe:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         self.tokens = {i: t for t, i in self.ranks.items()}
-        self.queue = RankQueue(max(self.ranks.values()))  # empty between pieces
-        self.encode_text = ChunkEncoder(pattern, self._piece, limit=800_000)
-
-    def merge(self, data: bytes) -> list[int]:
-        """Ids of one pre-token's bytes."""
-        ranks, queue, n = self.ranks, self.queue, len(data)
-        whole = ranks.get(data)
-        if whole is not None:
-            return [whole]
-        end = list(range(1, n + 1))  # end[i]: where the symbol that starts at i ends; 0 once merged away
-        before = list(range(-1, n))  # before[i]: start of the symbol before the one that starts at i
-        push, get = queue.push, ranks.get
-        for i in range(n - 1):
-            rank = get(data[i : i + 2])
-            if rank is not None:
-                push(rank, i)
+        self.queue = RankQueue(max(self.ranks.values()))  # empty between calls
+        self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
+        self.double = np.full(1 << 16, -1, np.int64)  # rank of two bytes
+        for t, i in self.ranks.items():
+            if len(t) == 2:
+                self.double[t[0] << 8 | t[1]] = i
+        self.encode_texts = ChunkEncoder(pattern, self._pieces, limit=1_000_000, piece_limit=100_000)
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each pre-token, little-endian unsigned 32-bit."""
+        data = b"\0".join(pieces) + b"\0"
+        n, raw = len(data), np.frombuffer(data, np.uint8).astype(np.int64)
+        gaps = np.cumsum([len(p) + 1 for p in pieces]) - 1
+        ends = np.arange(1, n + 1)
+        ends[gaps] = 0
+        first = np.append(self.double[raw[:-1] << 8 | raw[1:]], -1)
+        first[gaps] = first[gaps - 1] = -1
+        ids = self.single[raw].tolist()
+        end = ends.tolist()  # end[i]: where the symbol that starts at i ends; 0 once merged away and in gaps
+        before = list(range(-1, n - 1))  # before[i]: start of the symbol (or gap) before the one that starts at i
+        pair = first.tolist()  # pair[i]: rank of the symbol at i with the next one; negative without a token
+        queue, get = self.queue, self.ranks.get
+        bucket_of, opened = queue.buckets.get, queue.open
+        order = np.argsort(first, kind="stable")[int((first < 0).sum()) :]
+        ranks, begin = np.unique(first[order], return_index=True)
+        for rank, positions in zip(ranks.tolist(), np.split(order, begin[1:])):
+            opened(rank, positions.tolist())
         while queue.top:
-            rank, i = queue.pop()
-            j = end[i]
-            if not j or j >= n:
-                continue
-            k = end[j]
-            if get(data[i:k]) != rank:
-                continue  # stale: one of the two symbols has grown
-            end[i], end[j], before[k] = k, 0, i
-            if k < n:
-                r = get(data[i : end[k]])
-                if r is not None:
-                    push(r, i)
-            h = before[i]
-            if h >= 0:
-                r = get(data[h:k])
-                if r is not None:
-                    push(r, h)
-        out, i = [], 0
-        while i < n:
-            out.append(ranks[data[i : end[i]]])
-            i = end[i]
+            rank, bucket = queue.pop()
+            for at, i in enumerate(bucket):
+                if pair[i] != rank:
+                    continue  # stale: one of the two symbols has changed
+                j = end[i]
+                k = end[j]
+                end[i], end[j], before[k], ids[i], pair[j] = k, 0, i, rank, -1
+                lesser = False
+                stop, h = end[k], before[i]
+                r = pair[i] = get(data[i:stop], -1) if stop else -1
+                if r >= 0:
+                    if (held := bucket_of(r)) is not None:
+                        held.append(i)
+                    else:
+                        opened(r, [i])
+                        lesser = r < rank
+                if end[h]:
+                    r = pair[h] = get(data[h:k], -1)
+                    if r >= 0:
+                        if (held := bucket_of(r)) is not None:
+                            held.append(h)
+                        else:
+                            opened(r, [h])
+                            lesser = lesser or r < rank
+                if lesser and at + 1 < len(bucket):
+                    opened(rank, bucket[at + 1 :])
+                    break
+        kept = np.array(end) != 0
+        out = np.array(ids, "<u4")[kept].tobytes()
+        stops = (4 * np.cumsum(kept)[gaps]).tolist()
+        return [out[i:j] for i, j in zip([0, *stops], stops)]
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        data = [p.encode("utf-8") for p in pieces]
+        out = [None if (rank := self.ranks.get(d)) is None else rank.to_bytes(4, "little") for d in data]
+        rest = [k for k, ids in enumerate(out) if ids is None]
+        if rest:
+            for k, ids in zip(rest, self.merge([data[k] for k in rest])):
+                out[k] = ids
         return out
 
-    def _piece(self, piece: str) -> bytes:
-        return np.array(self.merge(piece.encode("utf-8")), "<u4").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        """Ids of a text as little-endian unsigned 32-bit integers."""
-        return self.encode_text(text)
+    def encode(self, texts) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        return self.encode_texts(texts)
 
     def decode(self, ids: bytes) -> bytes:
         """Bytes of encoded ids."""
@@ -146,7 +165,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     @pandas_udf("binary")
     def run(texts: pd.Series) -> pd.Series:
         own = coder(path, pattern)
-        return pd.Series([own.encode(t) for t in texts], dtype=object)
+        return pd.Series(own.encode(texts), dtype=object)
 
     return doc_columns(docs, id_col, text_col).select("doc_id", run("text").alias("ids"))
 

@@ -103,52 +103,68 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     )
 
 
-class Pieces(dict):
-    """Bounded cache from a text piece to bytes made of it, ``make(piece)``.
-
-    At ``limit`` entries it starts afresh, so memory stays bounded while the
-    frequent pieces come back at once."""
-
-    def __init__(self, make, limit: int):
-        super().__init__()
-        self.make, self.limit = make, limit
-
-    def __missing__(self, piece):
-        if len(self) >= self.limit:
-            self.clear()
-        out = self[piece] = self.make(piece)
-        return out
-
-
 class ChunkEncoder:
-    """Encodes whole texts through a cache of space-delimited chunks.
+    """Encodes whole texts through bounded caches of space-delimited chunks.
 
     A single space before a visible character always starts a new match of the
-    pre-token pattern, so a text may be cut there and each chunk (the space and
-    what follows) encoded on its own.  Texts where a space is followed by other
-    white space take the plain way, match by match.  ``encode_piece`` gives the
-    encoded bytes of one match.
+    pre-token pattern, so a text is cut there and each chunk (the space and what
+    follows) encoded on its own.  ``encode_pieces`` turns a list of matches into
+    the encoded bytes of each; it gets all matches of a block of texts that the
+    caches do not hold at once.  A block has about ``block`` characters, or is one
+    longer text.  A cache that holds ``limit`` chunks or ``piece_limit`` matches after a block
+    starts afresh.
     """
 
-    def __init__(self, pattern: str, encode_piece, limit: int = 1_200_000):
+    def __init__(self, pattern: str, encode_pieces, limit: int = 1_200_000, piece_limit: int = 300_000, block: int = 1_000_000):
         self.find = regex.compile(whitespace_pattern(pattern)).findall
         self.white = regex.compile(f"[{WHITE}]").match
-        self.pieces = Pieces(encode_piece, limit // 4)
-        self.chunks = Pieces(self._chunk, limit)
-
-    def _chunk(self, word: str):
-        if not word or self.white(word):
-            return None
-        return self._plain(" " + word)
-
-    def _plain(self, text: str) -> bytes:
-        pieces = self.pieces
-        return b"".join([pieces[p] for p in self.find(text)])
-
-    def __call__(self, text: str) -> bytes:
-        first, *rest = text.split(" ")
-        chunks = self.chunks
-        out = [chunks[w] for w in rest]
-        if None in out:
-            return self._plain(text)
-        return self._plain(first) + b"".join(out)
+        self.cut = regex.compile(f" (?=[^{WHITE}])").split
+        self.encode_pieces, self.limit, self.piece_limit, self.block = encode_pieces, limit, piece_limit, block
+        self.pieces: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
+
+    def _look_up(self, rest: list[str]) -> tuple[list, list[str]]:
+        """What the cache holds of each chunk (None: nothing), and the chunks that it lacks."""
+        found = list(map(self.chunks.get, rest))
+        return found, [w for w, x in zip(rest, found) if x is None] if None in found else []
+
+    def _learn(self, chunks: set[str], firsts: list[str]) -> list[bytes]:
+        """Caches the encoded ``chunks``; the encoded ``firsts``."""
+        find, pieces = self.find, self.pieces
+        begun, found = [find(x) for x in firsts], {w: find(" " + w) for w in chunks}
+        new = list({p for group in (begun, found.values()) for x in group for p in x if p not in pieces})
+        pieces.update(zip(new, self.encode_pieces(new)))
+        self.chunks.update((w, b"".join([pieces[p] for p in x])) for w, x in found.items())
+        return [b"".join([pieces[p] for p in x]) for x in begun]
+
+    def _block(self, texts: list[str]) -> list[bytes]:
+        white, firsts, rows, missing = self.white, [], [], set()
+        for text in texts:
+            first, *rest = text.split(" ")
+            found, lacks = self._look_up(rest)
+            if any(not w or white(w) for w in lacks):
+                first, *rest = self.cut(text)
+                found, lacks = self._look_up(rest)
+            missing.update(lacks)
+            firsts.append(first)
+            rows.append((rest, found) if lacks else (None, b"".join(found)))
+        begun, chunks = self._learn(missing, firsts), self.chunks
+        out = [
+            first + (found if rest is None else b"".join([chunks[w] if x is None else x for w, x in zip(rest, found)]))
+            for first, (rest, found) in zip(begun, rows)
+        ]
+        for cache, limit in ((self.chunks, self.limit), (self.pieces, self.piece_limit)):
+            if len(cache) >= limit:
+                cache.clear()
+        return out
+
+    def __call__(self, texts) -> list[bytes]:
+        """Encoded bytes of each text."""
+        out, block, size = [], [], 0
+        for text in texts:
+            block.append(text)
+            size += len(text)
+            if size >= self.block:
+                out += self._block(block)
+                block, size = [], 0
+        return out + self._block(block) if block else out

@@ -43,7 +43,7 @@ _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
 def encoder(path: str, pattern: str) -> ChunkEncoder:
-    """This worker's encoder for a tokenizer file: text to little-endian 32-bit ids."""
+    """This worker's encoder for a tokenizer file: texts to little-endian 32-bit ids."""
     if path not in _ENCODERS:
         from tokenizers import Tokenizer
 
@@ -55,7 +55,7 @@ def encoder(path: str, pattern: str) -> ChunkEncoder:
             letters = piece.encode("utf-8").decode("latin-1").translate(table)
             return np.array([t.id for t in model.tokenize(letters)], "<u4").tobytes()
 
-        _ENCODERS[path] = ChunkEncoder(pattern, encode)
+        _ENCODERS[path] = ChunkEncoder(pattern, lambda pieces: [encode(p) for p in pieces])
     return _ENCODERS[path]
 
 
@@ -87,7 +87,7 @@ def pieces(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     @pandas_udf(PIECE)
     def cut_texts(texts: pd.Series) -> pd.Series:
         encode = encoder(path, pattern)
-        return pd.Series([cut(encode(t) + end, capacity) for t in texts], dtype=object)
+        return pd.Series([cut(ids + end, capacity) for ids in encode(texts)], dtype=object)
 
     return doc_columns(docs, id_col, text_col).select("doc_id", F.explode(cut_texts("text")).alias("p")).select("doc_id", "p.*")
 

@@ -153,8 +153,8 @@ PIECES = ["", " ", "  a", "a  ", "\n\n x", "don't we'll", "a" * 3000, "ab" * 200
 
 def test_bpe_like_the_library(spark, documents, odd, empty, reference):
     coder = bpe.coder(public_tokenizers.path(queries.BPE_RANKS), public_tokenizers.PATTERN)
-    for t in [*PIECES, *[t or "" for _, t in ODD], *texts_of(documents).values()]:
-        ids = coder.encode(t)
+    texts = [*PIECES, *[t or "" for _, t in ODD], *texts_of(documents).values()]
+    for t, ids in zip(texts, coder.encode(texts), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == reference.encode_ordinary(t)
         assert coder.decode(ids) == t.encode()
     path, pattern = public_tokenizers.path(queries.BPE_RANKS), public_tokenizers.PATTERN
