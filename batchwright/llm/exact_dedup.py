@@ -71,13 +71,18 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``docs`` without the rows that :func:`exact_dedup` drops, one row of each text.
 
     Only groups of two or more rows are looked up; all columns stay as they are.
+    The copies in the largest groups, at most :data:`CANDIDATES` of them, go map-side;
+    what is left is joined in a shuffle, at every size.
     """
     info = exact_dedup(docs, id_col, text_col).where("group_size > 1")
-    dups = staged(info.groupBy("digest").agg(F.first("keep_id").alias("keep_id"), F.first("keep_rows").alias("keep_rows")), "duplicates")
+    dups = staged(info.groupBy("digest").agg(F.first("keep_id").alias("keep_id"), F.first("keep_rows").alias("keep_rows"), F.count(F.lit(1)).alias("n")), "duplicates")
+    heavy = staged(dups.orderBy(F.desc("n"), "digest").limit(CANDIDATES), "duplicates-heavy")
+    heavy = heavy.select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep"), F.lit(True).alias("__heavy"))
     marked = docs.withColumn("__digest", digest(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
     info = dups.select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep"), F.col("keep_rows").alias("__n"))
-    marked = marked.join(info, "__digest", "left")
     stays = F.col(id_col).eqNullSafe(F.col("__keep"))
+    marked = marked.join(F.broadcast(heavy), "__digest", "left").where(F.col("__heavy").isNull() | stays).drop("__keep", "__heavy")
+    marked = marked.join(info.hint("merge"), "__digest", "left")
     single = marked.where(F.col("__n").isNull() | (stays & (F.col("__n") == 1)))
     if not dups.where("keep_rows > 1").isEmpty():
         single = single.unionByName(marked.where(stays & (F.col("__n") > 1)).dropDuplicates(["__digest"]))
