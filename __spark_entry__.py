@@ -19,6 +19,7 @@ from batchwright.functions.stamps import batch_date_col
 from batchwright.operators import control, scd2
 from batchwright.operators.loads import append_load, first_load, scd_load
 from batchwright.plans import DRIVER_FACT_TABLE, bootstrap, derived, driver_basic_registry, driver_registry, load_once, replay
+from batchwright.plans.catalog import replay_with_views
 from batchwright.plans.pipeline import check_batch
 from batchwright.session import scratch_dir
 from batchwright.sinks import JdbcStore, LakeStore
@@ -306,6 +307,28 @@ def q_scd2_compat_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shuffled(spark, sf_dir, scd2.COMPAT)
 
 
+def q_scd2_nochange(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer b1 and the same rows again as b2, in both modes: no version changes."""
+    out = [
+        _scd_run(spark, sf_dir, lambda base, n: derived.customer_batch(base, 1), (1, 2), m, f"nochange-{m}").withColumn("mode", F.lit(m))
+        for m in (scd2.STRICT, scd2.COMPAT)
+    ]
+    return out[0].unionByName(out[1])
+
+
+def q_catalog_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer by its catalog name after b1 (nothing closed yet) and after b2."""
+    ws = _ws(spark, "views")
+    store, out, db = LakeStore(spark, f"{ws}/lake"), [], f"bw_{uuid.uuid4().hex[:10]}"
+    spark.sql(f"CREATE DATABASE {db}")
+    for n in (1, 2):
+        derived.write_batches(spark, sf_dir, f"{ws}/src", tables=("customer",), batches=(n,))
+        replay_with_views(spark, store, _reg(), f"{ws}/src", DRIVER_FACT_TABLE, database=db)
+        view = spark.table(f"{db}.customer")
+        out.append(view.select("*", F.typeof("end_date").alias("end_date_type"), F.lit(n).alias("after_batch")))
+    return out[0].unionByName(out[1])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_delimited_scan": q_delimited_scan,
     "q_full_load": q_full_load,
@@ -330,6 +353,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_nested_parts": q_nested_parts,
     "q_scd2_strict_shuffled": q_scd2_strict_shuffled,
     "q_scd2_compat_shuffled": q_scd2_compat_shuffled,
+    "q_scd2_nochange": q_scd2_nochange,
+    "q_catalog_views": q_catalog_views,
 }
 
 
@@ -546,6 +571,10 @@ ORACLE |= {
     "q_nested_parts": ORACLE["q_first_load_scd"],
     "q_scd2_strict_shuffled": ORACLE["q_scd2_strict"],
     "q_scd2_compat_shuffled": ORACLE["q_scd2_compat"],
+    "q_scd2_nochange": " UNION ALL ".join(f"SELECT *, '{m}' AS mode FROM ({ORACLE['q_first_load_scd']}) x" for m in ("strict", "compat")),
+    "q_catalog_views": " UNION ALL ".join(
+        f"SELECT *, 'date' AS end_date_type, {n} AS after_batch FROM ({ORACLE[q]}) x" for n, q in ((1, "q_first_load_scd"), (2, "q_scd2_strict"))
+    ),
 }
 
 

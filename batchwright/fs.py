@@ -7,11 +7,16 @@ No row data passes through these helpers.
 
 from __future__ import annotations
 
+import threading
+import uuid
 from dataclasses import dataclass
 from fnmatch import fnmatchcase
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
+_CREATING = threading.Lock()
+
 
 @dataclass(frozen=True)
 class Entry:
@@ -78,6 +83,30 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file whole, unless it exists; whether this call did.
+
+    The text is written beside ``path`` and renamed without overwriting, which
+    is atomic where the file system's rename is (HDFS).  The lock covers the
+    threads of one application on file systems where it is not."""
+    fs, p = _fs(spark, path)
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    draft = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex[:12]}")
+    write_text(spark, draft.toString(), text)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    with _CREATING:
+        try:
+            context.rename(fs.makeQualified(draft), fs.makeQualified(p), options)
+            return True
+        except Py4JJavaError as e:
+            if not e.java_exception.getClass().getName().endswith("FileAlreadyExistsException"):
+                raise
+            return False
+        finally:
+            fs.delete(draft, False)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
     jvm = spark.sparkContext._jvm

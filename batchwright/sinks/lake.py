@@ -3,19 +3,22 @@
 Layout of one table::
 
     <root>/<table>/seq=<n>/...                 data written by commit n
-    <root>/<table>/_commits/<n>_<date>.json    commit record, written last
+    <root>/<table>/_claims/<n>                 taken by the attempt that writes seq=<n>
+    <root>/<table>/_commits/<version>.json     commit record, written last
 
 A commit's data folder is written first and the record after it, so a crash
-leaves at most an unreferenced folder that the retry overwrites; readers only
-follow records.  Three kinds of commit:
+leaves at most an unreferenced folder; readers only follow records.  Every
+attempt claims a ``seq`` of its own, so writers never share a folder, and a
+version's record is created without overwriting, so of several writers on one
+version exactly one wins and the others raise.  Three kinds of commit:
 
 * ``snapshot``: ``seq=<n>`` holds the whole table (full and truncate loads).
 * ``append``: ``seq=<n>`` holds the rows added by one batch; the table is
-  every commit from ``read_from`` to the newest.
+  every published ``seq`` of the newest record.
 * ``scd``: ``seq=<n>`` is partitioned by ``end_date``.  Its NULL partition is
   the complete set of open versions; its dated partition holds the versions
   closed by this commit.  The table is the newest open set plus the closed
-  partitions of commits ``read_from..n``.  A strict merge therefore rewrites
+  partitions of every published ``seq``.  A strict merge therefore rewrites
   only the open versions; closed history is written once and never again.
 
 Nothing is overwritten in place: a table derived from itself is written to a
@@ -47,10 +50,18 @@ class Commit:
     seq: int
     kind: str
     batch_date: dt.date | None
-    read_from: int
     schema: StructType
+    version: int
+    #: data folders that make up the table, oldest first
+    seqs: tuple[int, ...]
+    #: batch dates of this and all earlier versions
+    dates: tuple[dt.date, ...] = ()
     metrics: dict = field(default_factory=dict)
 
+    @property
+    def read_from(self) -> int:
+        return self.seqs[0]
+
     def to_json(self) -> str:
         return json.dumps(
             {
@@ -58,7 +69,9 @@ class Commit:
                 "seq": self.seq,
                 "kind": self.kind,
                 "batch_date": self.batch_date.isoformat() if self.batch_date else None,
-                "read_from": self.read_from,
+                "version": self.version,
+                "seqs": list(self.seqs),
+                "dates": [d.isoformat() for d in self.dates],
                 "schema": json.loads(self.schema.json()),
                 "metrics": self.metrics,
             },
@@ -73,8 +86,10 @@ class Commit:
             seq=int(d["seq"]),
             kind=d["kind"],
             batch_date=dt.date.fromisoformat(d["batch_date"]) if d["batch_date"] else None,
-            read_from=int(d["read_from"]),
             schema=StructType.fromJson(d["schema"]),
+            version=int(d["version"]),
+            seqs=tuple(d["seqs"]),
+            dates=tuple(dt.date.fromisoformat(x) for x in d["dates"]),
             metrics=d.get("metrics", {}),
         )
 
@@ -89,20 +104,8 @@ class Pending:
     batch_date: dt.date | None
     path: str
     schema: StructType
-
-
-def _record_name(seq: int, batch_date: dt.date | None) -> str:
-    return f"{seq:010d}_{batch_date.isoformat() if batch_date else 'none'}.json"
-
-
-def _parse_record_name(name: str) -> tuple[int, dt.date | None] | None:
-    if not name.endswith(".json"):
-        return None
-    stem = name[:-5]
-    seq, _, date = stem.partition("_")
-    if not seq.isdigit():
-        return None
-    return int(seq), (None if date in ("", "none") else dt.date.fromisoformat(date))
+    #: version that the data was made from (0: none)
+    base: int = 0
 
 
 class LakeStore:
@@ -127,19 +130,28 @@ class LakeStore:
     def _commit_dir(self, table: str) -> str:
         return f"{self.table_path(table)}/_commits"
 
-    def _records(self, table: str) -> list[tuple[int, dt.date | None, str]]:
-        out = []
-        for e in fs.ls(self.spark, self._commit_dir(table)):
-            parsed = _parse_record_name(e.name)
-            if parsed:
-                out.append((parsed[0], parsed[1], e.path))
-        return sorted(out)
+    def _records(self, table: str) -> list[tuple[int, str]]:
+        found = fs.ls(self.spark, self._commit_dir(table))
+        return sorted((int(e.name[:-5]), e.path) for e in found if e.name.endswith(".json") and e.name[:-5].isdigit())
+
+    def _record_path(self, table: str, version: int) -> str:
+        return f"{self._commit_dir(table)}/{version:010d}.json"
+
+    def _claim(self, table: str) -> tuple[int, Commit | None]:
+        """A ``seq`` that no other attempt has or gets, and the head it builds on."""
+        folder = f"{self.table_path(table)}/_claims"
+        while True:
+            head = self.head(table)
+            taken = [int(e.name) for e in fs.ls(self.spark, folder) if e.name.isdigit()]
+            seq = 1 + max([head.seq if head else 0, *taken])
+            if fs.create_new(self.spark, f"{folder}/{seq:010d}", ""):
+                return seq, head
 
     def head(self, table: str) -> Commit | None:
         records = self._records(table)
         if not records:
             return None
-        return Commit.from_json(fs.read_text(self.spark, records[-1][2]))
+        return Commit.from_json(fs.read_text(self.spark, records[-1][1]))
 
     def exists(self, table: str) -> bool:
         return bool(self._records(table))
@@ -148,7 +160,8 @@ class LakeStore:
         return [e.name for e in fs.ls(self.spark, self.root) if e.is_dir and self.exists(e.name)]
 
     def batch_dates(self, table: str) -> list[dt.date]:
-        return sorted({d for _, d, _ in self._records(table) if d is not None})
+        head = self.head(table)
+        return sorted(set(head.dates)) if head else []
 
     def has_batch(self, table: str, batch_date: dt.date) -> bool:
         return batch_date in self.batch_dates(table)
@@ -171,8 +184,7 @@ class LakeStore:
         cols = head.schema.fieldNames()
         if head.kind == SNAPSHOT:
             return self._scan(head, [head.seq]).select(*cols)
-        seqs = list(range(head.read_from, head.seq + 1))
-        df = self._scan(head, seqs)
+        df = self._scan(head, list(head.seqs))
         if head.kind == SCD:
             df = df.where((F.col(SEQ) == head.seq) | F.col(END_DATE).isNotNull())
         return df.select(*cols)
@@ -197,8 +209,7 @@ class LakeStore:
     # ------------------------------------------------------------- writes
     def stage(self, table: str, df: DataFrame, kind: str, batch_date: dt.date | None, keep_history: bool = False) -> Pending:
         """Write ``df`` as the data of the next commit (not yet visible)."""
-        head = self.head(table)
-        seq = head.seq + 1 if head else 1
+        seq, head = self._claim(table)
         path = f"{self.table_path(table)}/{SEQ}={seq}"
         if "_op" in df.columns:  # merge bookkeeping, not data
             df = df.drop("_op")
@@ -206,21 +217,33 @@ class LakeStore:
         if kind == SCD:
             writer = writer.partitionBy(END_DATE)
         writer.parquet(path)
-        return Pending(table, seq, kind, batch_date, path, df.schema)
+        return Pending(table, seq, kind, batch_date, path, df.schema, head.version if head else 0)
 
     def publish(self, pending: Pending, keep_history: bool = False, metrics: dict | None = None) -> Commit:
         """Make staged data the table's newest version.
 
         ``keep_history`` (append and strict SCD) keeps reading the earlier
         commits from the current ``read_from``; otherwise the new commit
-        replaces everything before it.
+        replaces everything before it.  Raises when another writer has
+        published since the data was staged.
         """
-        head = self.head(pending.table)
-        if head is not None and head.seq + 1 != pending.seq:
-            raise RuntimeError(f"{pending.table}: commit {pending.seq} is stale; head is {head.seq}")
-        read_from = head.read_from if (keep_history and head is not None) else pending.seq
-        commit = Commit(pending.table, pending.seq, pending.kind, pending.batch_date, read_from, pending.schema, metrics or {})
-        fs.write_text(self.spark, f"{self._commit_dir(pending.table)}/{_record_name(pending.seq, pending.batch_date)}", commit.to_json())
+        head, version = self.head(pending.table), pending.base + 1
+        stale = f"{pending.table}: staged on version {pending.base}, which is no longer the newest"
+        if (head.version if head else 0) != pending.base:
+            raise RuntimeError(stale)
+        commit = Commit(
+            pending.table,
+            pending.seq,
+            pending.kind,
+            pending.batch_date,
+            pending.schema,
+            version,
+            (*(head.seqs if head and keep_history else ()), pending.seq),
+            (*(head.dates if head else ()), *([pending.batch_date] if pending.batch_date else [])),
+            metrics or {},
+        )
+        if not fs.create_new(self.spark, self._record_path(pending.table, version), commit.to_json()):
+            raise RuntimeError(stale)
         if self.retain_versions is not None:
             self.vacuum(pending.table, self.retain_versions)
         return commit
@@ -234,8 +257,8 @@ class LakeStore:
         if head is None:
             return []
         records = self._records(table)
-        keep_from = records[-retain][0] if len(records) >= retain else records[0][0]
-        floor = min(Commit.from_json(fs.read_text(self.spark, p)).read_from for s, _, p in records if s >= keep_from)
+        kept = [Commit.from_json(fs.read_text(self.spark, p)) for _, p in records[-retain:]]
+        keep_from, floor = kept[0].seq, min(c.read_from for c in kept)
         removed = []
         for e in fs.ls(self.spark, self.table_path(table)):
             if not e.name.startswith(f"{SEQ}="):

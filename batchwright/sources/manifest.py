@@ -91,7 +91,8 @@ def manifest_frame(spark: SparkSession, root: str, sep: str = "|") -> DataFrame:
         .option("recursiveFileLookup", "true")
         .csv(f"{root.rstrip('/')}/{BATCH_PREFIX}*/*")
     )
-    path = F.col("_metadata.file_path")
+    # URL-encoded, but for the plus sign, which stands for itself
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     # the batch folder is the one right below the root, wherever the root is
     pattern = ".*/" + re.escape(root.rstrip("/").rsplit("/", 1)[-1]) + r"/(batch[^/]*)/([^/]+)/"
     located = scan.select(

@@ -1,7 +1,7 @@
 import uuid
 
 from batchwright.plans import derived, driver_basic_registry, driver_registry, replay
-from batchwright.plans.catalog import bootstrap_database, register
+from batchwright.plans.catalog import bootstrap_database, register, replay_with_views
 from batchwright.sinks import LakeStore
 
 from .conftest import SF
@@ -29,3 +29,13 @@ def test_bootstrap_database_once(spark, ws):
     assert bootstrap_database(spark, store, reg, f"{ws}/src", db)
     assert not bootstrap_database(spark, store, reg, f"{ws}/src", db)
     assert spark.table(f"{db}.customers").count() == spark.read.parquet(f"{SF}/customer.parquet").count()
+
+
+def test_views_follow_replay_with_stable_types(spark, ws):
+    root, store = f"{ws}/src", LakeStore(spark, f"{ws}/lake")
+    for n in (1, 2):
+        derived.write_batches(spark, SF, root, tables=("customer",), batches=(n,))
+        replay_with_views(spark, store, driver_registry(), root, "orders")
+        view = spark.table("customer")
+        assert view.dtypes == store.read("customer").dtypes
+        assert _rows(view) == _rows(store.read("customer"))

@@ -83,3 +83,11 @@ def test_is_newer_compares_dates():
     assert not is_newer("batch_2022-11-01T235959", mark)  # same day with a time: not new
     assert not is_newer("batch_2022-10-31", mark)
     assert is_newer("batch_2022-10-31", None)  # no mark yet: new
+
+
+def test_manifest_frame_decodes_paths(spark, ws):
+    """A root and a batch name with characters that file URLs encode."""
+    root = os.path.join(_local(ws), "land ing+1")
+    _part(root, "batch_2022-11-01 1000", "customer", "part-00000", "1|a\n2|b\n")
+    got = [tuple(r) for r in manifest_frame(spark, root).collect()]
+    assert got == [("batch_2022-11-01 1000", dt.date(2022, 11, 1), "customer", 2)]

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from batchwright.plans.catalog import view_sql
 from batchwright.sinks import LakeStore
 from batchwright.sinks.lake import APPEND, SCD, SNAPSHOT
 
@@ -109,3 +110,38 @@ def test_retained_versions_vacuum_on_publish(spark, ws):
     assert _rows(store.read("d")) == [(1, "a", D1, D2), (1, "x", D2, D3), (1, "y", D3, None), (2, "b", D1, None)]
     with pytest.raises(ValueError):
         LakeStore(spark, ws, retain_versions=0)
+
+
+def test_one_of_two_writers_wins(spark, ws):
+    """Two writers on one version: separate folders, one record, one error."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    store = LakeStore(spark, ws)
+    store.publish(store.stage("t", spark.createDataFrame([(0,)], "k int"), APPEND, D1))
+    pending = [store.stage("t", spark.createDataFrame([(i,)], "k int"), APPEND, D2) for i in (1, 2)]
+    assert len({p.path for p in pending}) == 2
+
+    def publish(p):
+        try:
+            return store.publish(p, keep_history=True)
+        except RuntimeError as e:
+            return e
+
+    with ThreadPoolExecutor(2) as pool:
+        done = list(pool.map(publish, pending))
+    won = [i for i, r in enumerate(done, 1) if not isinstance(r, Exception)]
+    assert len(won) == 1
+    assert _rows(store.read("t")) == [(0,), (won[0],)]
+    assert store.batch_dates("t") == [D1, D2]
+    # the next version skips the loser's folder, in reads and in the view text
+    store.publish(store.stage("t", spark.createDataFrame([(3,)], "k int"), APPEND, D3), keep_history=True)
+    assert _rows(store.read("t")) == [(0,), (won[0],), (3,)] == _rows(spark.sql(view_sql(store, "t")))
+
+
+def test_record_is_created_once(spark, ws):
+    from batchwright import fs
+
+    assert fs.create_new(spark, f"{ws}/r.json", "one")
+    assert not fs.create_new(spark, f"{ws}/r.json", "two")
+    assert fs.read_text(spark, f"{ws}/r.json") == "one"
+    assert [e.name for e in fs.ls(spark, ws) if not e.name.endswith(".crc")] == ["r.json"]
