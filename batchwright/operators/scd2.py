@@ -190,6 +190,11 @@ def q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _duplicate_error(key: str) -> str:
+    """SQL that fails the job, naming the key."""
+    return f"raise_error(concat('scd2 strict: duplicate source key {key}=', CAST({q(key)} AS STRING)))"
+
+
 def duplicate_key_guard(source: DataFrame, key: str, schema: StructType) -> DataFrame:
     """Zero rows of ``schema``; evaluating it fails the job when a non-NULL
     key occurs twice in ``source`` (strict mode).
@@ -200,13 +205,12 @@ def duplicate_key_guard(source: DataFrame, key: str, schema: StructType) -> Data
     of rows, and the error is raised without buffering that group.  Only the
     key column is read for it."""
     k = q(key)
-    msg = f"concat('scd2 strict: duplicate source key {key}=', CAST({k} AS STRING))"
     return (
         source.select(key)
         .where(f"{k} IS NOT NULL")
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .where(f"CASE WHEN _n > 1 THEN raise_error({msg}) ELSE false END")
+        .where(f"CASE WHEN _n > 1 THEN {_duplicate_error(key)} ELSE false END")
         .selectExpr(*[f"CAST(NULL AS {f.dataType.simpleString()}) AS {q(f.name)}" for f in schema.fields])
     )
 
@@ -341,15 +345,26 @@ def scd2_strict_changes(
     parts = [merged, cur.where(f"{k} IS NULL").selectExpr("*", f"'{OP_KEEP}' AS {OP}")]
     stamp = [f"{b} AS {START_DATE}", f"CAST(NULL AS DATE) AS {END_DATE}"]
     if broadcast_source:
-        # distinct keys of the open set that the batch touches: at most one per
-        # source row, so this side is bounded by the (already broadcast) source
-        seen = cur.selectExpr(f"{k} AS _k").join(F.broadcast(src.selectExpr(f"{k} AS _k")), "_k", "left_semi").distinct()
-        fresh = src.join(F.broadcast(seen), src[key] == seen["_k"], "left_anti")
+        # keys of the open set that the batch touches, one row each: bounded by
+        # the (already broadcast) source.  The same keyed counts, combined
+        # map-side, hold the duplicate check, so only keys are shuffled, once.
+        # A left join, as an anti join is planned once per branch of a union.
+        keys = src.select(key)
+        touched = cur.select(key).join(F.broadcast(keys), key, "left_semi")
+        counts = (
+            keys.selectExpr(k, "1L AS _new", "0L AS _old")
+            .union(touched.selectExpr(k, "0L AS _new", "1L AS _old"))
+            .groupBy(key)
+            .agg(F.sum("_new").alias("_new"), F.max("_old").alias("_old"))
+        )
+        known = f"CASE WHEN _new > 1 THEN {_duplicate_error(key)} ELSE _old > 0 END" if check_duplicates else "_old > 0"
+        seen = counts.where(known).selectExpr(f"{k} AS _k")
+        fresh = src.join(F.broadcast(seen), src[key] == seen["_k"], "left").where("_k IS NULL")
         parts.append(fresh.selectExpr(*[q(c) for c in base], *stamp, f"'{OP_INSERT}' AS {OP}"))
     if keep_null_keys:
         dropped = source.where(f"{k} IS NULL")
         parts.append(dropped.selectExpr(*[q(c) for c in base], *stamp, f"'{OP_NULL_KEY}' AS {OP}"))
-    if check_duplicates:
+    if check_duplicates and not broadcast_source:
         parts.append(duplicate_key_guard(src, key, parts[0].schema))
     out = parts[0]
     for p in parts[1:]:
