@@ -185,6 +185,31 @@ def test_every_long_common_run_is_found(spark, documents):
     assert want <= got
 
 
+def test_runs_that_no_representative_of_a_seed_holds(spark):
+    """Two texts share 60 words; the first and the last rows of each seed hold 35 of them."""
+    rng = random.Random(4)
+    run = words(rng, 60)
+    middles = [run[:35], run[25:], run, run, run[:35], run[25:]]
+    texts = [(d, " ".join(words(rng, 30) + m + words(rng, 30))) for d, m in enumerate(middles)]
+    got = substring.substring_dedup(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)).collect()
+    assert {r["doc_id"]: (r["partner_id"], r["n_words"], r["identity"]) for r in got} == {2: (3, 60, 1.0), 3: (2, 60, 1.0)}
+    for r in got:
+        assert texts[r["doc_id"]][1][r["start"] : r["end"]] == " ".join(run)
+
+
+def test_equal_runs_outside_the_best_chain(spark):
+    """A run that the alignment of its chain cuts off is a passage too."""
+    rng = random.Random(6)
+    first, second = words(rng, 50), words(rng, 50)
+    texts = [(d, " ".join(words(rng, 40) + first + words(rng, 32) + second + words(rng, 40))) for d in range(2)]
+    got = substring.substring_dedup(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    for d, t in texts:
+        spans = [(r["start"], r["end"]) for r in got if r["doc_id"] == d]
+        for part in (first, second):
+            at = t.index(" ".join(part))
+            assert any(a <= at and at + len(" ".join(part)) <= b for a, b in spans)
+
+
 def test_substring_odd_rows(odd, empty):
     got = substring.substring_dedup(odd, least=50).collect()
     assert not [r for r in got if r["doc_id"] in (1, 2, 3, 4, 9, 10)]
