@@ -62,6 +62,36 @@ def test_quality_bands():
     assert not quality.bands(prose[:8000] + noise, press)[2]  # half of it in odd chunks
 
 
+@pytest.mark.parametrize("n", [400, 1000, 4000, 24_000, 100_000])
+def test_quality_rejects_junk(documents, n):
+    """Base64, random letters and hex, alone and as most of a document; prose of that length stays."""
+    press = zstandard.ZstdCompressor(level=quality.LEVEL, write_content_size=False).compress
+    rng = np.random.default_rng(n)
+    letters = lambda k: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), k)).encode()
+    prose = "\n".join(t for t in texts_of(documents).values() if 1000 < len(t) < 30_000).encode()
+    assert quality.bands(prose[:n], press)[2]
+    lines = base64.encodebytes(rng.bytes(n))[:n]
+    assert not quality.bands(lines, press)[2]
+    if n >= 4000:
+        assert not quality.bands(letters(n), press)[2]
+        assert not quality.bands(prose[: n * 2 // 5] + lines[: n * 3 // 5], press)[2]
+        mixed = b"\n".join(x for i in range(0, n // 2, 77) for x in (lines[i : i + 76], prose[i // 2 : i // 2 + 50]))
+        assert not quality.bands(mixed, press)[2]
+    if n >= 24_000:
+        assert not quality.bands(rng.bytes(n).hex().encode()[:n], press)[2]
+
+
+def test_quality_keeps_other_scripts():
+    """Chinese characters drawn by Zipf's law have lower ratios than Latin prose."""
+    press = zstandard.ZstdCompressor(level=quality.LEVEL, write_content_size=False).compress
+    rng = np.random.default_rng(2)
+    share = 1 / np.arange(1, 3001)
+    chars = rng.permutation(np.arange(0x4E00, 0x4E00 + 3000))
+    for n in (100, 300, 700, 2000):
+        data = "".join(map(chr, rng.choice(chars, n, p=share / share.sum()))).encode()
+        assert quality.bands(data, press)[2]
+
+
 def test_quality_keeps_prose(documents):
     rows = quality.quality(documents).where("NOT base_failed").collect()
     assert sum(r["kept"] for r in rows) >= 0.98 * len(rows)
