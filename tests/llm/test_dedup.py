@@ -197,6 +197,28 @@ def test_runs_that_no_representative_of_a_seed_holds(spark):
         assert texts[r["doc_id"]][1][r["start"] : r["end"]] == " ".join(run)
 
 
+def test_passages_of_long_words_are_whole(spark):
+    """The text that an alignment sees is bounded in words, not in characters."""
+    rng = random.Random(8)
+    long = lambda n: ["".join(rng.choices("abcdefghijkl", k=90)) for _ in range(n)]
+    texts, where = [], {}
+    for d in range(0, 20, 2):
+        run = long(52)
+        for i in (d, d + 1):
+            before = long(rng.randint(5, 40))
+            texts.append((i, " ".join(before + run + long(30))))
+            where[i] = (len(" ".join(before)) + 1, len(" ".join(before + run)))
+    got = substring.substring_dedup(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["start"], r["end"]) for r in got} == where
+
+
+def test_least_in_windows():
+    h = np.random.default_rng(1).integers(0, 9, 300).astype(np.uint64)
+    for window in (1, 2, 5, 20, 43):
+        views = np.lib.stride_tricks.sliding_window_view(h, window)
+        assert (substring.least_in(h, window) == views.argmin(axis=1) + np.arange(len(views))).all()
+
+
 def test_equal_runs_outside_the_best_chain(spark):
     """A run that the alignment of its chain cuts off is a passage too."""
     rng = random.Random(6)
