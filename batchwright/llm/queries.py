@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, lm, packing, quality, secrets, simhash, substring, toxicity, urls
+from . import bpe, exact_dedup, lm, merkle, packing, quality, secrets, simhash, substring, topk, toxicity, urls, vector_codes
+from .queries_sql import OP8_SQL, OP11_SQL, op12_sql, op13_sql
+
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 PACK_TOKENIZER = "byte_bpe_50k.json"
 
@@ -66,20 +68,30 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.substring_dedup(_documents(spark, sf_dir))
 
 
-def queries() -> dict:
-    found = [op1_simhash_dedup, op2_lm_scoring, op3_byte_bpe, op4_toxicity, op5_url_filter, op6_secret_scan, op7_best_fit_packing, op8_exact_dedup, op9_quality_rules, op10_substring_dedup]
-    return {f.__name__: f for f in found}
+def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(_embeddings(spark, sf_dir), lambda vec_id: vec_id % 50 == 0, k=5)
+
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    received = {"text": F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))}
+    out = merkle.merkle_manifest(_documents(spark, sf_dir), received=received, proofs=False)
+    return out.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
-OP8_SQL = r"""
-WITH d AS (
-  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
-)
-SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
-       doc_id IS NOT DISTINCT FROM min(doc_id) OVER g AS kept, text_sha256
-FROM d WINDOW g AS (PARTITION BY text_sha256)
-"""
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.vector_codes(_embeddings(spark, sf_dir), parts=16, entries=64, rounds=2)
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(vector_codes.book_digest(books)).alias("codebooks_sha256"))
+
+
+def queries() -> dict:
+    found = [op1_simhash_dedup, op2_lm_scoring, op3_byte_bpe, op4_toxicity, op5_url_filter, op6_secret_scan, op7_best_fit_packing, op8_exact_dedup, op9_quality_rules, op10_substring_dedup, op11_exact_top_k, op12_merkle_manifest, op13_vector_codes]
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict:
-    return {"op8_exact_dedup": OP8_SQL}
+    return {"op8_exact_dedup": OP8_SQL, "op11_exact_top_k": OP11_SQL, "op12_merkle_manifest": op12_sql(), "op13_vector_codes": op13_sql()}
