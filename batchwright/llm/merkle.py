@@ -6,7 +6,7 @@ nodes becomes their hash until one node is left.
 
 Places come from a range shuffle by (tree, id) and a running count over its
 partitions, so a tree that holds a third of all rows is spread like any other.
-The tree is cut into superblocks of ``ARITY ** LEVELS`` consecutive nodes:
+The tree is cut into superblocks of ``ARITY ** height`` consecutive nodes:
 
 * up: each superblock is reduced to its top node; these are the next, far smaller
   level, until every tree has one node;
@@ -32,8 +32,7 @@ from pyspark.sql import types as T
 from .common import ship, staged
 
 ARITY, LEVELS = 3, 7
-SUPERBLOCK = ARITY**LEVELS
-#: Nodes a bucket on average.
+#: Nodes a bucket on average (whole superblocks).
 BUCKET = 4096
 
 
@@ -59,12 +58,12 @@ def depth(n: int) -> int:
     return levels
 
 
-def reduced(nodes: list[str], total: int) -> list[list[str]]:
+def reduced(nodes: list[str], total: int, height: int) -> list[list[str]]:
     """The levels of one superblock of a tree of ``total`` nodes, its own nodes first.
 
-    A lone superblock ends at the tree's root, others at their ``LEVELS``-th level."""
+    A lone superblock ends at the tree's root, others ``height`` levels up."""
     levels = [nodes]
-    for _ in range(depth(total) if total <= SUPERBLOCK else LEVELS):
+    for _ in range(min(depth(total), height)):
         nodes = [_hash("".join(nodes[i : i + ARITY])) for i in range(0, len(nodes), ARITY)]
         levels.append(nodes)
     return levels
@@ -119,31 +118,31 @@ def _superblocks(df: pd.DataFrame):
         yield tree, block, int(rows["n"].iloc[0]), rows
 
 
-def climb(nodes: DataFrame, buckets: int) -> DataFrame:
+def climb(nodes: DataFrame, buckets: int, height: int) -> DataFrame:
     """The next level: ``tree, i, n, node``, one node per superblock."""
 
     def tops(df: pd.DataFrame) -> pd.DataFrame:
         out = [
-            (tree, block, max(-(-total // SUPERBLOCK), 1), reduced(rows["node"].tolist(), total)[-1][0])
+            (tree, block, -(-total // ARITY**height), reduced(rows["node"].tolist(), total, height)[-1][0])
             for tree, block, total, rows in _superblocks(df)
         ]
         return pd.DataFrame(out, columns=["tree", "i", "n", "node"])
 
-    keyed = bucketed(nodes.select("tree", "i", "n", "node"), buckets, F.expr(f"i div {SUPERBLOCK}"))
+    keyed = bucketed(nodes.select("tree", "i", "n", "node"), buckets, F.expr(f"i div {ARITY**height}"))
     return keyed.groupBy("bucket").applyInPandas(tops, "tree string, i long, n long, node string")
 
 
-def tower(leaves: DataFrame, count: int, largest: int) -> list[tuple[DataFrame, int]]:
+def tower(leaves: DataFrame, count: int, largest: int, height: int) -> list[tuple[DataFrame, int]]:
     """The levels of all trees and their buckets, up to one node a tree."""
     levels = [(leaves, max(1, count // BUCKET))]
     while largest > 1:
-        nodes = staged(climb(*levels[-1]), "merkle-level")
+        nodes = staged(climb(*levels[-1], height), "merkle-level")
         levels.append((nodes, max(1, nodes.count() // BUCKET)))
-        largest = -(-largest // SUPERBLOCK)
+        largest = -(-largest // ARITY**height)
     return levels
 
 
-def descend(nodes: DataFrame, buckets: int, outer: DataFrame, finish, result: str) -> DataFrame:
+def descend(nodes: DataFrame, buckets: int, outer: DataFrame, height: int, finish, result: str) -> DataFrame:
     """Cogroups a level's nodes with the outer path of their superblock.
 
     ``outer`` has ``tree, i`` (of the superblock), ``path, subroot, root``.  ``finish``
@@ -153,11 +152,11 @@ def descend(nodes: DataFrame, buckets: int, outer: DataFrame, finish, result: st
         above = {(r.tree, r.block): r for r in right.itertuples(index=False)}
         out = []
         for tree, block, total, rows in _superblocks(left):
-            out += finish(rows, reduced(rows["node"].tolist(), total), above[tree, block])
+            out += finish(rows, reduced(rows["node"].tolist(), total, height), above[tree, block])
         return pd.DataFrame(out, columns=names)
 
     names = [f.split()[0] for f in result.split(",")]
-    mine = bucketed(nodes, buckets, F.expr(f"i div {SUPERBLOCK}")).groupBy("bucket")
+    mine = bucketed(nodes, buckets, F.expr(f"i div {ARITY**height}")).groupBy("bucket")
     theirs = bucketed(outer, buckets, F.col("i")).groupBy("bucket")
     return mine.cogroup(theirs).applyInPandas(join, result)
 
@@ -173,10 +172,10 @@ def _paths(rows: pd.DataFrame, levels: list[list[str]], above) -> list[tuple]:
     return out
 
 
-def outer_paths(levels: list[tuple[DataFrame, int]], top: DataFrame) -> DataFrame:
+def outer_paths(levels: list[tuple[DataFrame, int]], top: DataFrame, height: int) -> DataFrame:
     """Paths of the nodes of the second level, which is what the first one's superblocks need."""
     for nodes, buckets in reversed(levels[1:]):
-        top = staged(descend(nodes, buckets, top, _paths, PATHS), "merkle-paths")
+        top = staged(descend(nodes, buckets, top, height, _paths, PATHS), "merkle-paths")
     return top
 
 
@@ -204,6 +203,7 @@ def merkle_manifest(
     id_col: str = "doc_id",
     tree_col: str = "source",
     proofs: bool = True,
+    height: int = LEVELS,
 ) -> DataFrame:
     """One row per row of ``docs``: ``id, leaf, subroot, root, proof, proof_sha256,
     folded_root, verified``.
@@ -212,7 +212,8 @@ def merkle_manifest(
     arrived (default: unchanged); ``folded_root`` is folded from the leaf of the
     received row and the original siblings.  ``proof`` lists the siblings left and
     right of the way to the root, ``left|right`` a level, levels divided by ``/``
-    (null unless ``proofs``: it is many times as long as the rest).
+    (null unless ``proofs``: it is many times as long as the rest).  ``height`` sets
+    the superblocks' size, not the result.
 
     A null id comes first in its tree and hashes as ``-``, as does any null; a
     null ``tree_col`` is a tree of its own, the first.  Rows with equal ids are in
@@ -235,20 +236,20 @@ def merkle_manifest(
     sizes = leaves.agg(F.count(F.lit(1)).alias("rows"), F.max("n").alias("largest")).first()
     if not sizes["rows"]:
         return _result(spark.createDataFrame([], LEAVES), docs.schema[id_col].dataType)
-    levels = tower(leaves, sizes["rows"], sizes["largest"])
+    levels = tower(leaves, sizes["rows"], sizes["largest"], height)
     roots = levels[-1][0].select(F.lit("").alias("tree"), F.col("tree").alias("of"), "node")
     forest = staged(ranked(roots, ["of"]), "merkle-roots")
     trees = forest.count()
-    above = tower(forest, trees, trees)
+    above = tower(forest, trees, trees, height)
     crown = above[-1][0].select("tree", "i", F.lit("").alias("path"), F.lit("").alias("subroot"), F.col("node").alias("root"))
-    crown = outer_paths(above, crown)
+    crown = outer_paths(above, crown, height)
 
     def of_trees(rows: pd.DataFrame, levels: list[list[str]], outer) -> list[tuple]:
         paths = _paths(rows, levels, outer)
         return [(of, 0, p[2], node, p[4]) for of, node, p in zip(rows["of"], rows["node"], paths)]
 
-    top = staged(descend(forest, above[0][1], crown, of_trees, PATHS), "merkle-paths")
-    proven = descend(leaves, levels[0][1], outer_paths(levels, top), partial(_proofs, proofs), LEAVES)
+    top = staged(descend(forest, above[0][1], crown, height, of_trees, PATHS), "merkle-paths")
+    proven = descend(leaves, levels[0][1], outer_paths(levels, top, height), height, partial(_proofs, proofs), LEAVES)
     return _result(proven, docs.schema[id_col].dataType)
 
 
