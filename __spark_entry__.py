@@ -21,10 +21,12 @@ from batchwright.operators.loads import append_load, first_load, scd_load
 from batchwright.plans import DRIVER_FACT_TABLE, bootstrap, derived, driver_basic_registry, driver_registry, load_once, replay
 from batchwright.plans.catalog import replay_with_views
 from batchwright.plans.pipeline import check_batch
+from batchwright.plans.registry import DRIVER_SCHEMAS
 from batchwright.session import scratch_dir
-from batchwright.sinks import JdbcStore, LakeStore
+from batchwright.sinks import JdbcStore, LakeStore, PartitionedStore
 from batchwright.sources import manifest_frame, read_delimited, read_jdbc
-from batchwright.sources.manifest import entries_for, manifest
+from batchwright.sources.delimited import write_delimited
+from batchwright.sources.manifest import entries_for, manifest, manifest_scan
 
 SF_SMOKE = "/root/testdata/sf0.001"
 B1, B2, B3 = (d.isoformat() for d in derived.BATCH_DATES)
@@ -329,6 +331,75 @@ def q_catalog_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out[0].unionByName(out[1])
 
 
+def _partitioned(spark: SparkSession, sf_dir: str, tables: tuple[str, ...], label: str, builder=None) -> PartitionedStore:
+    """Batches 1 to 3 of ``tables`` (customer by ``builder``) replayed into a partitioned store."""
+    ws = _ws(spark, label)
+    for n in (1, 2, 3):
+        for t in tables:
+            rows = builder(derived.table(spark, sf_dir, t), n) if builder else derived.batch_frame(spark, sf_dir, t, n)
+            derived.write_batch_frame(rows, f"{ws}/src", n, t)
+    store = PartitionedStore(spark, f"{ws}/lake", buckets=8)
+    replay(spark, store, _reg(), f"{ws}/src", DRIVER_FACT_TABLE)
+    return store
+
+
+def q_scd2_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer b1 to b3, strict, merged bucket by bucket: open and closed versions."""
+    return _partitioned(spark, sf_dir, ("customer",), "bucketed").read("customer")
+
+
+def q_scd2_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer with NULLs in change columns and keys: the digest probe decides as ``<=>`` does."""
+    return _partitioned(spark, sf_dir, ("customer",), "digest", derived.customer_nulls_batch).read("customer")
+
+
+def q_append_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem b1 to b3 into date partitions, b2 twice: the retry replaces its own rows."""
+    store = _partitioned(spark, sf_dir, ("lineitem",), "lineitem")
+    append_load(store, _reg()["lineitem"], derived.batch_frame(spark, sf_dir, "lineitem", 2), derived.BATCH_DATES[1])
+    return store.read("lineitem")
+
+
+def q_manifest_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part files by a metadata scan: at the top, in a folder called ``part*``, further down,
+    and beside files that are no input."""
+    root = f"{_ws(spark, 'manifest-scan')}/src"
+    places = {"customer": "customer", "part": "part/part-group=1", "supplier": "supplier/x/y"}
+    for t, place in places.items():
+        write_delimited(derived.table(spark, sf_dir, t).repartition(3), f"{root}/{derived.batch_name(1)}/{place}")
+    write_delimited(derived.table(spark, sf_dir, "region").repartition(1), f"{root}/{derived.batch_name(1)}/customer/_old")
+    write_delimited(derived.table(spark, sf_dir, "nation").repartition(1), f"{root}/{derived.batch_name(2)}T120000/nation/part-x/part-y")
+    found = manifest_scan(spark, root)
+    listed = {(e.batch, e.table) for e in manifest(spark, root) if e.n_parts}
+    scanned = {(r["batch"], r["table_name"]) for r in found.collect()}  # one row a table folder
+    return found.select("batch", "batch_date", "table_name", "n_parts", (F.col("bytes") > 0).alias("has_bytes"), F.lit(listed == scanned).alias("as_listed"))
+
+
+def q_replay_part_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer b1 whose files lie in a folder called ``part*``, replayed."""
+    ws = _ws(spark, "part-folder")
+    derived.write_batch_frame(derived.batch_frame(spark, sf_dir, "customer", 1), f"{ws}/src", 1, "customer/part-group=1")
+    store = LakeStore(spark, f"{ws}/lake")
+    replay(spark, store, _reg(), f"{ws}/src", DRIVER_FACT_TABLE)
+    return store.read("customer")
+
+
+def q_replay_same_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer and orders b1, then b2 as a second batch of the same day, replayed twice:
+    it loads once, into both stores alike."""
+    ws, day = _ws(spark, "same-day"), derived.batch_name(1)
+    for n, folder in ((1, day), (2, f"{day}T120000")):
+        for t in ("customer", "orders"):
+            write_delimited(derived.batch_frame(spark, sf_dir, t, n), f"{ws}/src/{folder}/{t}")
+    out = []
+    for name, store in (("lake", LakeStore(spark, f"{ws}/lake")), ("partitioned", PartitionedStore(spark, f"{ws}/partitioned", buckets=8))):
+        for _ in range(2):
+            replay(spark, store, _reg(), f"{ws}/src", DRIVER_FACT_TABLE)
+        orders = store.read("orders").groupBy("batched_at").agg(F.count(F.lit(1)).alias("n_orders"))
+        out.append(store.read("customer").join(orders, F.col("start_date") == F.col("batched_at"), "left").drop("batched_at").withColumn("store", F.lit(name)))
+    return out[0].unionByName(out[1])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_delimited_scan": q_delimited_scan,
     "q_full_load": q_full_load,
@@ -355,6 +426,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_scd2_compat_shuffled": q_scd2_compat_shuffled,
     "q_scd2_nochange": q_scd2_nochange,
     "q_catalog_views": q_catalog_views,
+    "q_scd2_bucketed": q_scd2_bucketed,
+    "q_scd2_digest": q_scd2_digest,
+    "q_append_lineitem": q_append_lineitem,
+    "q_manifest_scan": q_manifest_scan,
+    "q_replay_part_folder": q_replay_part_folder,
+    "q_replay_same_day": q_replay_same_day,
 }
 
 
@@ -578,6 +655,32 @@ ORACLE |= {
 }
 
 
+def _lineitem_sql() -> str:
+    cols = ", ".join(c if c != "l_shipdate" else "CAST(l_shipdate AS DATE) AS l_shipdate" for c in (x.strip().split(" ")[0] for x in DRIVER_SCHEMAS["lineitem"].split(",")))
+    return f"SELECT {cols}, {O_STAMP.replace('o_orderdate', 'l_shipdate')} AS batched_at FROM lineitem"
+
+
+def _same_day_sql() -> str:
+    ctes = [f"s1 AS ({_c_batch(1)})", f"s2 AS ({_c_batch(2)})", f"t1 AS ({_first('s1', C_COLS, B1)})"]
+    ctes.append(f"t2 AS ({_strict('t1', 's2', 'c_custkey', C_COLS, ['c_name', 'c_mktsegment'], B1)})")
+    ctes.append(f"o AS (SELECT count(*) AS n_orders FROM orders WHERE {O_STAMP} <> DATE '{B3}')")
+    return _with(ctes, "SELECT t2.*, n_orders, store FROM t2, o, (VALUES ('lake'), ('partitioned')) v(store)")
+
+
+ORACLE |= {
+    "q_scd2_bucketed": _scd_sql("strict", 3),
+    "q_scd2_digest": _scd_sql("strict", 3, nulls=True),
+    "q_append_lineitem": _lineitem_sql(),
+    "q_manifest_scan": (
+        f"SELECT 'batch_{B1}' AS batch, DATE '{B1}' AS batch_date, t AS table_name, CAST(3 AS BIGINT) AS n_parts, true AS has_bytes, true AS as_listed "
+        "FROM (VALUES ('customer'), ('part'), ('supplier')) v(t) "
+        f"UNION ALL SELECT 'batch_{B2}T120000', DATE '{B2}', 'nation', CAST(1 AS BIGINT), true, true"
+    ),
+    "q_replay_part_folder": ORACLE["q_first_load_scd"],
+    "q_replay_same_day": _same_day_sql(),
+}
+
+
 # ------------------------------------------------------------------ contract
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: customer b1 first load then b2 strict SCD2 merge, sf0.001."""

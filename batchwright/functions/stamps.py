@@ -1,9 +1,13 @@
 """Batch dates and the columns the loads stamp onto rows.
 
 Batch folders are named ``batch_<date>[<suffix>]``; the batch date is the
-second ``_``-separated token.  Only a ``yyyy-mm-dd`` prefix is accepted, an
-optional time part after ``T`` or a space is ignored.  Anything else is an
-error rather than a silently wrong date.
+second ``_``-separated token.  Only a ``yyyy-mm-dd`` prefix is accepted, with an
+optional time part after ``T`` or a space.  Anything else is an error rather than
+a silently wrong date.
+
+Rows are stamped with the date.  A batch is known by its date and whatever follows
+it in the name (:class:`BatchDate`), in the order of that text, so several batches
+of one day load one after the other.
 """
 
 from __future__ import annotations
@@ -17,13 +21,33 @@ from pyspark.sql import functions as F
 from ..specs import BATCHED_AT, END_DATE, START_DATE
 
 BATCH_PREFIX = "batch"
-_DATE = re.compile(r"^(\d{4})-(\d{2})-(\d{2})(?:[T ].*)?$")
+_DATE = re.compile(r"^(\d{4})-(\d{2})-(\d{2})(?:[T ].*)?$", re.DOTALL)
 
 
 class BatchNameError(ValueError):
     """A batch folder name does not carry a readable date."""
 
 
+class BatchDate(dt.date):
+    """The date of a batch, which also knows the batch: ``token`` is the folder's
+    name after ``batch_``, such as ``2022-11-01T120000``.  Equal to any equal date."""
+
+    token: str
+
+    def __new__(cls, year: int, month: int, day: int, token: str | None = None):
+        self = super().__new__(cls, year, month, day)
+        self.token = token or self.isoformat()
+        return self
+
+    def __reduce__(self):
+        return BatchDate, (self.year, self.month, self.day, self.token)
+
+
+def token_of(batch_date: dt.date) -> str:
+    """What a batch is known by; it orders batches by date, time and name."""
+    return getattr(batch_date, "token", batch_date.isoformat())
+
+
 def batch_token(batch: str) -> str:
     parts = batch.split("_")
     if len(parts) < 2 or not parts[0].startswith(BATCH_PREFIX):
@@ -37,12 +61,12 @@ def parse_batch_date(batch: str | dt.date) -> dt.date:
         return batch.date()
     if isinstance(batch, dt.date):
         return batch
-    token = batch_token(batch) if batch.startswith(BATCH_PREFIX) else batch
+    token = batch_token(batch) if batch.startswith(BATCH_PREFIX) else batch.split("_")[0]
     m = _DATE.match(token)
     if not m:
         raise BatchNameError(f"{batch!r}: {token!r} is not a yyyy-mm-dd date")
     try:
-        return dt.date(int(m[1]), int(m[2]), int(m[3]))
+        return BatchDate(int(m[1]), int(m[2]), int(m[3]), batch.split("_", 1)[1] if batch.startswith(BATCH_PREFIX) else batch)
     except ValueError as exc:
         raise BatchNameError(f"{batch!r}: {exc}") from None
 
@@ -69,9 +93,11 @@ def with_scd_columns(df: DataFrame, batch: str | dt.date) -> DataFrame:
 
 
 def is_newer(batch: str | dt.date, mark: dt.date | None) -> bool:
-    """True when the batch date is after the high-water mark (no mark: new).
+    """True when the batch is after the high-water mark (no mark: new).
 
-    Both sides are dates, so a time suffix on the folder name does not make a
-    batch of the same day look newer.
+    A mark that knows its batch is compared as one (date, time, name); a plain
+    date as a date, so then a time suffix does not make a batch of that day new.
     """
-    return mark is None or parse_batch_date(batch) > mark
+    if mark is None or not isinstance(mark, BatchDate):
+        return mark is None or parse_batch_date(batch) > mark
+    return token_of(parse_batch_date(batch)) > mark.token

@@ -17,7 +17,7 @@ from ..functions.stamps import parse_batch_date, with_batch_stamp, with_scd_colu
 from .. import fs
 from ..session import scratch_dir
 from ..specs import APPEND, FULL, SCD, TRUNCATE, TableSpec
-from . import scd2
+from . import bucketed, scd2
 from ..sinks import lake
 
 
@@ -61,7 +61,9 @@ def first_load(store, spec: TableSpec, source: DataFrame, batch: str | dt.date,
     key twice in the first batch fails the load, as it would in a merge."""
     bdate = parse_batch_date(batch)
     src = source.select(*spec.columns)
-    if spec.load == SCD:
+    if spec.load == SCD and mode == scd2.STRICT and bucketed.applies(store, spec):
+        m = bucketed.first_load(store, spec, src, bdate)
+    elif spec.load == SCD:
         df = with_scd_columns(src, bdate)
         if mode == scd2.STRICT:
             df = df.union(scd2.duplicate_key_guard(src, spec.primary_key, df.schema))
@@ -94,6 +96,9 @@ def scd_load(store, spec: TableSpec, source: DataFrame, batch: str | dt.date, mo
     bdate = parse_batch_date(batch)
     key, cols = spec.primary_key, list(spec.change_columns)
     src = source.select(*spec.columns)
+    if mode == scd2.STRICT and bucketed.applies(store, spec):
+        m = bucketed.merge(store, spec, src, bdate)
+        return LoadResult(spec.target, SCD, "scd2_strict" if m["inserted"] else "no_change", bdate, m)
     if mode == scd2.STRICT:
         changes = scd2.scd2_strict_changes(src, store.read_open(spec.target), key, cols, bdate, keep_null_keys=True)
         changes, obs = _observed(

@@ -22,8 +22,9 @@ Source rows with a NULL key are dropped in both modes (count them with
 
 Scale notes.  Strict runs as one full outer join on the key between the
 source and the open versions only; each side is shuffled once and closed
-history is not read.  Its duplicate-key check is a map-side-combined count
-per key in the same job, so a hot key is never gathered into one task.
+history is not read.  Its duplicate-key check is an aggregate per key, combined
+map-side, that the join reads the source through: a key that a batch repeats
+reaches the join as one row, if at all.
 Compat joins the target with the *distinct* source tuples (left semi, so no
 fan-out; hot tuples collapse in the map-side distinct, and skewed target
 partitions can be split by AQE), then marks rows with a join against the
@@ -169,10 +170,10 @@ def scd2_compat(
     if changed_count is not None:
         limit = broadcast_limit(source.sparkSession)
         per_key = 8 + 8 * 2 + _ENTRY_BYTES  # null bits, key and flag words, hash entry
-        if 0 <= limit and changed_count * per_key <= limit:
-            hits = F.broadcast(hits)
-        else:
-            hits = hits.hint("merge")
+        small = 0 <= limit and changed_count * per_key <= limit
+        if small and not isinstance(new.schema[key].dataType, _FIXED):  # a key without a fixed width is measured
+            small = fits_broadcast(new.select(key), limit - changed_count * 8)
+        hits = F.broadcast(hits) if small else hits.hint("merge")
     rows = target.select(*cols).unionByName(with_scd_columns(new, batch_date).select(*cols))
     keyed = (
         rows.where(F.col(key).isNotNull())
@@ -215,6 +216,21 @@ def duplicate_key_guard(source: DataFrame, key: str, schema: StructType) -> Data
     )
 
 
+def one_row_per_key(source: DataFrame, key: str, count: str | None = None) -> DataFrame:
+    """``source`` with one row a key; a non-NULL key that occurs twice fails the job.
+
+    An aggregate per key combined map-side: of a key repeated any number of times
+    each task hands on one row, so no shuffle partition and no later join holds
+    more.  NULL keys become one row, counted in ``count`` if that column is named."""
+    k, n = q(key), q(count or "_n")
+    rest = [c for c in source.columns if c != key]
+    row = "any_value(struct(" + ", ".join(q(c) for c in rest) + "))" if rest else "any_value(named_struct('_', 0))"
+    one = source.groupBy(key).agg(F.count(F.lit(1)).alias(count or "_n"), F.expr(row).alias("_row"))
+    one = one.where(f"CASE WHEN {k} IS NOT NULL AND {n} > 1 THEN {_duplicate_error(key)} ELSE true END")
+    columns = [k if c == key else f"_row.{q(c)} AS {q(c)}" for c in source.columns]
+    return one.selectExpr(*columns, *([n] if count else []))
+
+
 def broadcast_limit(spark) -> int:
     """Bytes under which a join side may be broadcast (Spark's own setting;
     -1 disables broadcasting)."""
@@ -317,6 +333,8 @@ def scd2_strict_changes(
     if broadcast_source:
         j = t.join(F.broadcast(s), t[f"t_{key}"] == s[f"s_{key}"], "left")
     else:
+        if check_duplicates:  # the check, and one row a key before the join
+            s = one_row_per_key(src, key).selectExpr(*[f"{q(c)} AS {q('s_' + c)}" for c in base], "true AS _s")
         j = t.join(s, t[f"t_{key}"] == s[f"s_{key}"], "full_outer")
 
     # each joined row yields its target version (kept or closed) and, when
@@ -364,8 +382,6 @@ def scd2_strict_changes(
     if keep_null_keys:
         dropped = source.where(f"{k} IS NULL")
         parts.append(dropped.selectExpr(*[q(c) for c in base], *stamp, f"'{OP_NULL_KEY}' AS {OP}"))
-    if check_duplicates and not broadcast_source:
-        parts.append(duplicate_key_guard(src, key, parts[0].schema))
     out = parts[0]
     for p in parts[1:]:
         out = out.union(p)  # all parts share the column order of ``cols + [_op]``

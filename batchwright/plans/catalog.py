@@ -17,6 +17,7 @@ from collections.abc import Iterable
 from pyspark.sql import SparkSession
 
 from ..sinks.lake import SCD, SNAPSHOT, LakeStore
+from ..sinks.partitioned import PartitionedStore
 from ..specs import END_DATE, Registry
 from .pipeline import BatchReport, load_once, replay
 
@@ -48,10 +49,14 @@ def register(spark: SparkSession, store: LakeStore, tables: Iterable[str] | None
     database is given, otherwise persistent views in ``database``."""
     names = list(tables) if tables is not None else store.tables()
     done = []
+    if database and isinstance(store, PartitionedStore):
+        raise ValueError("a PartitionedStore's tables are named by temporary views only (no database)")
     for t in names:
         if not store.exists(t):
             continue
-        if database:
+        if isinstance(store, PartitionedStore):
+            store.read(t).createOrReplaceTempView(t)
+        elif database:
             spark.sql(f"CREATE OR REPLACE VIEW {_ident(database)}.{_ident(t)} AS {view_sql(store, t)}")
         else:
             spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {_ident(t)} AS {view_sql(store, t)}")
@@ -72,10 +77,14 @@ def replay_with_views(
 
 def bootstrap_database(spark: SparkSession, store: LakeStore, registry: Registry, base_dir: str, database: str, sep: str = "|") -> bool:
     """Run the one-time load only when ``database`` does not exist yet;
-    then create it and name the loaded tables in it.  True when it loaded."""
-    if spark.catalog.databaseExists(database):
-        return False
-    load_once(spark, store, registry, base_dir, sep)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(database)}")
-    register(spark, store, [s.target for s in registry], database)
-    return True
+    then create it and name the loaded tables in it.  True when it loaded.
+
+    In a database that is there, tables of the store without a name in it (an
+    earlier run crashed before naming them) are named."""
+    present = spark.catalog.databaseExists(database)
+    if not present:
+        load_once(spark, store, registry, base_dir, sep)
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(database)}")
+    names = [s.target for s in registry]
+    register(spark, store, [t for t in names if not (present and spark.catalog.tableExists(f"{_ident(database)}.{_ident(t)}"))], database)
+    return not present

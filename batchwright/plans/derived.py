@@ -10,7 +10,8 @@ follows the table's.  Batches b1..b3 are dated 2022-11-01..03:
 * supplier (SCD): b1 as is; b2 adds 100 to ``s_acctbal`` on keys divisible
   by 4; b3 is b2 and also moves keys divisible by 6 to the next nation.
 * part (truncate): b1 all, b2 ``p_size > 10``, b3 ``p_size > 20``.
-* orders (append): split by ``o_orderdate``: before 1997, 1997-1998, from 1999.
+* orders (append): split by ``o_orderdate``: before 1997, 1997-1998, from 1999
+  or without a date; lineitem (append) likewise by ``l_shipdate``.
 * nation, region (truncate): as is in every batch.
 
 :func:`customer_malformed_batch` writes unparsable fields for the
@@ -111,7 +112,11 @@ def orders_batch(base: DataFrame, n: int) -> DataFrame:
         return base.where(d < F.lit(dt.date(1997, 1, 1)))
     if n == 2:
         return base.where((d >= F.lit(dt.date(1997, 1, 1))) & (d <= F.lit(dt.date(1998, 12, 31))))
-    return base.where(d >= F.lit(dt.date(1999, 1, 1)))
+    return base.where((d >= F.lit(dt.date(1999, 1, 1))) | d.isNull())
+
+
+def lineitem_batch(base: DataFrame, n: int) -> DataFrame:
+    return orders_batch(base.withColumn("o_orderdate", F.col("l_shipdate")), n).drop("o_orderdate")
 
 
 BUILDERS = {
@@ -119,6 +124,7 @@ BUILDERS = {
     "supplier": supplier_batch,
     "part": part_batch,
     "orders": orders_batch,
+    "lineitem": lineitem_batch,
     "nation": lambda base, n: base,
     "region": lambda base, n: base,
 }

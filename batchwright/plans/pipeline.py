@@ -2,8 +2,8 @@
 
 Per batch the decisions are
 
-* the batch is skipped when its date is not after the fact table's
-  high-water mark (dates compared as dates; no mark means new);
+* the batch is skipped when it is not after the fact table's high-water mark,
+  by date, then by the rest of its name (no mark means new);
 * per table: a table with no version yet gets a first load, a table that
   already holds this batch is skipped (a rerun after a crash), as is one that
   holds a newer batch (appended tables excepted); anything else gets its
@@ -30,7 +30,7 @@ from ..operators import control
 from ..operators.loads import LoadResult, first_load, full_load, incremental_load
 from ..operators.scd2 import STRICT
 from ..sources.delimited import read_delimited, read_named_file, record_check
-from ..functions.stamps import is_newer, parse_batch_date
+from ..functions.stamps import is_newer, parse_batch_date, token_of
 from ..sources.manifest import BatchEntry, list_batches
 from ..sources.manifest import batch_entries as list_batch_entries
 from ..specs import APPEND, Registry, TableSpec, load_order
@@ -66,7 +66,7 @@ def _load_table(spark: SparkSession, store, spec, entry: BatchEntry, mode: str,
     if store.has_batch(spec.target, entry.batch_date):
         return LoadResult(spec.target, spec.load, "already_loaded", entry.batch_date)
     mark = store.batch_mark(spec.target)
-    if spec.load != APPEND and mark is not None and entry.batch_date < mark:
+    if spec.load != APPEND and mark is not None and token_of(entry.batch_date) < token_of(mark):
         # merged over newer state an old batch would corrupt the history
         return LoadResult(spec.target, spec.load, "older_than_table", entry.batch_date)
     started = time.perf_counter()
@@ -162,7 +162,7 @@ def replay(
     loads, not every batch the landing area has ever held."""
     reports = []
     mark = control.high_water_mark(store, fact_table)  # re-read only after a load
-    for batch in list_batches(spark, source_root):
+    for batch in list_batches(spark, source_root, same_day=getattr(store, "same_day", True)):
         bdate = parse_batch_date(batch)
         if not is_newer(bdate, mark):
             reports.append(BatchReport(batch, bdate, "not_new"))

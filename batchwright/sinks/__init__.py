@@ -1,4 +1,5 @@
 from .jdbc import JdbcStore
 from .lake import APPEND, SCD, SNAPSHOT, Commit, LakeStore, Pending
+from .partitioned import PartitionedStore
 
-__all__ = ["APPEND", "SCD", "SNAPSHOT", "Commit", "JdbcStore", "LakeStore", "Pending"]
+__all__ = ["APPEND", "SCD", "SNAPSHOT", "Commit", "JdbcStore", "LakeStore", "PartitionedStore", "Pending"]

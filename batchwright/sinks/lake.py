@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from .. import fs
+from ..functions.stamps import parse_batch_date, token_of
 from ..specs import END_DATE
 
 SNAPSHOT = "snapshot"
@@ -54,9 +55,11 @@ class Commit:
     version: int
     #: data folders that make up the table, oldest first
     seqs: tuple[int, ...]
-    #: batch dates of this and all earlier versions
+    #: batches of this and all earlier versions (dates that know their batch)
     dates: tuple[dt.date, ...] = ()
     metrics: dict = field(default_factory=dict)
+    #: of a bucketed table, the data folder that holds each bucket's open rows (0: none)
+    open_seqs: tuple[int, ...] = ()
 
     @property
     def read_from(self) -> int:
@@ -68,12 +71,13 @@ class Commit:
                 "table": self.table,
                 "seq": self.seq,
                 "kind": self.kind,
-                "batch_date": self.batch_date.isoformat() if self.batch_date else None,
+                "batch_date": token_of(self.batch_date) if self.batch_date else None,
                 "version": self.version,
                 "seqs": list(self.seqs),
-                "dates": [d.isoformat() for d in self.dates],
+                "dates": [token_of(d) for d in self.dates],
                 "schema": json.loads(self.schema.json()),
                 "metrics": self.metrics,
+                **({"open_seqs": list(self.open_seqs)} if self.open_seqs else {}),
             },
             sort_keys=True,
         )
@@ -85,12 +89,13 @@ class Commit:
             table=d["table"],
             seq=int(d["seq"]),
             kind=d["kind"],
-            batch_date=dt.date.fromisoformat(d["batch_date"]) if d["batch_date"] else None,
+            batch_date=parse_batch_date(d["batch_date"]) if d["batch_date"] else None,
             schema=StructType.fromJson(d["schema"]),
             version=int(d["version"]),
             seqs=tuple(d["seqs"]),
-            dates=tuple(dt.date.fromisoformat(x) for x in d["dates"]),
+            dates=tuple(parse_batch_date(x) for x in d["dates"]),
             metrics=d.get("metrics", {}),
+            open_seqs=tuple(d.get("open_seqs", ())),
         )
 
 
@@ -106,6 +111,8 @@ class Pending:
     schema: StructType
     #: version that the data was made from (0: none)
     base: int = 0
+    #: of a bucketed table, the folder of each bucket after this commit
+    open_seqs: tuple[int, ...] = ()
 
 
 class LakeStore:
@@ -161,13 +168,13 @@ class LakeStore:
 
     def batch_dates(self, table: str) -> list[dt.date]:
         head = self.head(table)
-        return sorted(set(head.dates)) if head else []
+        return [d for _, d in sorted({token_of(d): d for d in head.dates}.items())] if head else []
 
     def has_batch(self, table: str, batch_date: dt.date) -> bool:
-        return batch_date in self.batch_dates(table)
+        return token_of(batch_date) in map(token_of, self.batch_dates(table))
 
     def batch_mark(self, table: str) -> dt.date | None:
-        """Newest batch date committed to ``table`` (from records, no scan)."""
+        """Newest batch committed to ``table`` (from records, no scan)."""
         dates = self.batch_dates(table)
         return dates[-1] if dates else None
 
@@ -238,9 +245,10 @@ class LakeStore:
             pending.batch_date,
             pending.schema,
             version,
-            (*(head.seqs if head and keep_history else ()), pending.seq),
+            (*(head.seqs if head and keep_history else ()), *([pending.seq] if pending.path else [])),
             (*(head.dates if head else ()), *([pending.batch_date] if pending.batch_date else [])),
             metrics or {},
+            pending.open_seqs,
         )
         if not fs.create_new(self.spark, self._record_path(pending.table, version), commit.to_json()):
             raise RuntimeError(stale)

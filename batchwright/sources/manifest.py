@@ -1,10 +1,13 @@
 """Batch discovery: ``<root>/batch_<date>/<table>/part-*``.
 
-Two forms of the same manifest:
+Three forms of the same manifest:
 
 * :func:`manifest` lists folders through Hadoop's FileSystem on the driver.
   It touches metadata only (one entry per batch and table) and is what the
   control loop uses.
+* :func:`manifest_scan` lists every file in a Spark scan, their contents pruned;
+  the listing of many folders is itself a distributed job.  The loop uses it
+  where a landing area holds more files than a driver should walk through.
 * :func:`manifest_frame` is a Spark scan over every part file of every batch
   that counts records per batch and table from ``_metadata.file_path``; the
   work is spread over the cluster and grows with the data.
@@ -16,11 +19,11 @@ import datetime as dt
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fs
-from ..functions.stamps import BATCH_PREFIX, BatchNameError, batch_date_col, parse_batch_date
+from ..functions.stamps import BATCH_PREFIX, BatchNameError, batch_date_col, parse_batch_date, token_of
 from .delimited import PART_GLOB
 
 
@@ -33,27 +36,29 @@ class BatchEntry:
     n_parts: int
 
 
-def list_batches(spark: SparkSession, root: str) -> list[str]:
-    """Child folders of ``root`` whose names start with ``batch``, by date.
+def list_batches(spark: SparkSession, root: str, same_day: bool = True) -> list[str]:
+    """Child folders of ``root`` whose names start with ``batch``, in load order:
+    by date, then by the rest of the name.
 
     Every name must carry a readable date; otherwise this raises before
-    anything is loaded.
+    anything is loaded, as do two names of one batch and, unless ``same_day``,
+    two batches of one day.
     """
     names = [e.name for e in fs.ls(spark, root) if e.is_dir and e.name.startswith(BATCH_PREFIX)]
-    names.sort(key=lambda n: (parse_batch_date(n), n))
+    known = token_of if same_day else (lambda d: d.isoformat())
+    names.sort(key=lambda n: token_of(parse_batch_date(n)))
     for a, b in zip(names, names[1:]):
-        if parse_batch_date(a) == parse_batch_date(b):
-            # commits know a batch by its date, so the second one would never load
-            raise BatchNameError(f"{a!r} and {b!r} have the same batch date")
+        if known(parse_batch_date(a)) == known(parse_batch_date(b)):
+            # commits could not tell them apart, so the second one would never load
+            raise BatchNameError(f"{a!r} and {b!r} are the same batch to this store")
     return names
 
 
 def _count_parts(spark: SparkSession, folder: str) -> int:
-    direct = fs.glob(spark, f"{folder}/{PART_GLOB}")
-    if direct:
-        return sum(1 for e in direct if not e.is_dir)
-    # deeper down, one file is enough to know that there is something to load
-    return int(fs.any_file(spark, folder, PART_GLOB))
+    direct = sum(1 for e in fs.glob(spark, f"{folder}/{PART_GLOB}") if not e.is_dir)
+    # deeper down (in folders of any name, also ``part*``) one file is enough to
+    # know that there is something to load
+    return direct or int(fs.any_file(spark, folder, PART_GLOB))
 
 
 def batch_entries(spark: SparkSession, root: str, batch: str) -> list[BatchEntry]:
@@ -77,6 +82,34 @@ def entries_for(entries: list[BatchEntry], batch: str) -> list[BatchEntry]:
     return [e for e in entries if e.batch == batch]
 
 
+def _located(root: str, path: Column) -> list[Column]:
+    """``batch, table_name`` of a decoded file path: the batch folder is the one
+    right below the root, wherever the root is."""
+    pattern = ".*/" + re.escape(root.rstrip("/").rsplit("/", 1)[-1]) + r"/(batch[^/]*)/([^/]+)/"
+    return [F.regexp_extract(path, pattern, 1).alias("batch"), F.regexp_extract(path, pattern, 2).alias("table_name")]
+
+
+def manifest_scan(spark: SparkSession, root: str) -> DataFrame:
+    """``batch, batch_date, table_name, n_parts, bytes, newest`` of every table folder
+    that holds part files, at any depth and in folders of any name.
+
+    One scan of file metadata: paths, lengths and times are columns of the
+    ``binaryFile`` source, whose content is not read.  Hidden files and folders
+    (``_``, ``.``) are no input."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", PART_GLOB)
+        .option("recursiveFileLookup", "true")
+        .load(f"{root.rstrip('/')}/{BATCH_PREFIX}*/*")
+    )
+    found = files.select(*_located(root, F.col("path")), "length", "modificationTime")
+    return (
+        found.groupBy("batch", "table_name")
+        .agg(F.count(F.lit(1)).alias("n_parts"), F.sum("length").alias("bytes"), F.max("modificationTime").alias("newest"))
+        .select("batch", batch_date_col("batch").alias("batch_date"), "table_name", "n_parts", "bytes", "newest")
+    )
+
+
 def manifest_frame(spark: SparkSession, root: str, sep: str = "|") -> DataFrame:
     """Records per batch and table, computed by one distributed scan.
 
@@ -93,14 +126,8 @@ def manifest_frame(spark: SparkSession, root: str, sep: str = "|") -> DataFrame:
     )
     # URL-encoded, but for the plus sign, which stands for itself
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    # the batch folder is the one right below the root, wherever the root is
-    pattern = ".*/" + re.escape(root.rstrip("/").rsplit("/", 1)[-1]) + r"/(batch[^/]*)/([^/]+)/"
-    located = scan.select(
-        F.regexp_extract(path, pattern, 1).alias("batch"),
-        F.regexp_extract(path, pattern, 2).alias("table_name"),
-    )
     return (
-        located.groupBy("batch", "table_name")
+        scan.select(*_located(root, path)).groupBy("batch", "table_name")
         .agg(F.count(F.lit(1)).alias("n_records"))
         .select("batch", batch_date_col("batch").alias("batch_date"), "table_name", "n_records")
     )
