@@ -9,7 +9,9 @@ Should a merge make a pair of a lesser rank, that rank is served first and the
 rest of the bucket waits.  Each merge costs a constant number of queue steps, so
 a pre-token of any length takes about linear time.  Many pre-tokens share one
 queue: their lists lie behind each other with a gap between them that no pair
-spans, so finding a rank is paid once for all of them.
+spans, so finding a rank is paid once for all of them.  The lists are arrays: a
+bucket of many positions is merged in one go, unless two of its pairs overlap or a
+merge makes a pair of a lesser rank; then, as in small buckets, one after another.
 
 Ranks are read where their file lies on each executor.  Frequent chunks are kept
 encoded in a bounded cache per Python worker.
@@ -32,6 +34,9 @@ from .common import ChunkEncoder, doc_columns
 
 _ENCODERS: dict[str, "ByteBpe"] = {}
 
+#: Positions from which a bucket is merged in one go, and characters of the texts that share a queue.
+WIDE, BLOCK = 40, 4_000_000
+
 
 class RankQueue:
     """Buckets of positions by rank, under a three-level bitmap of 64-bit words."""
@@ -72,14 +77,73 @@ class ByteBpe:
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-        self.tokens = {i: t for t, i in self.ranks.items()}
+        self.tokens = [b""] * (max(self.ranks.values()) + 1)
+        for t, i in self.ranks.items():
+            self.tokens[i] = t
         self.queue = RankQueue(max(self.ranks.values()))  # empty between calls
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         self.double = np.full(1 << 16, -1, np.int64)  # rank of two bytes
         for t, i in self.ranks.items():
             if len(t) == 2:
                 self.double[t[0] << 8 | t[1]] = i
-        self.encode_texts = ChunkEncoder(pattern, self._pieces, limit=1_000_000, piece_limit=100_000)
+        self.encode_texts = ChunkEncoder(pattern, self._pieces, limit=500_000, piece_limit=100_000, block=BLOCK)
+        splits = [  # every way in which two tokens make a token: left id, right id, rank
+            (a << 32 | b, i) for t, i in self.ranks.items() for c in range(1, len(t)) if (a := self.ranks.get(t[:c])) is not None and (b := self.ranks.get(t[c:])) is not None
+        ]
+        splits.sort()
+        self.split_keys, self.split_ranks = (np.array(x, np.int64) for x in zip(*[*splits, (1 << 62, -1)]))
+        self.blob = np.frombuffer(b"".join(self.tokens), np.uint8)
+        self.sizes = np.array([len(t) for t in self.tokens], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def _joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the token that two symbols make; -1 for none."""
+        keys = left << 32 | right
+        at = np.searchsorted(self.split_keys, keys)
+        return np.where(self.split_keys[at] == keys, self.split_ranks[at], -1)
+
+    def _merge_wide(self, rank: int, bucket: list[int], ids: np.ndarray, end: np.ndarray, before: np.ndarray, pair: np.ndarray) -> bool:
+        """Merge a whole bucket; False, and nothing done, where order matters."""
+        i = np.unique(np.array(bucket, np.int64))
+        i = i[pair[i] == rank]  # the others are stale
+        if not len(i):
+            return True
+        j = end[i]
+        k = end[j]
+        if (j[:-1] == i[1:]).any():
+            return False  # two pairs share a symbol
+        nextto = np.append(k[:-1] == i[1:], False)  # the symbol behind is merged too
+        stop, id_behind = end[k], ids[k]
+        live = stop != 0
+        behind = np.full(len(i), -1, np.int64)
+        behind[live] = self._joined(np.full(int(live.sum()), rank), np.where(nextto, rank, id_behind)[live])
+        early = self._joined(np.full(int(nextto.sum()), rank), id_behind[nextto])  # pairs that would stand until then
+        h = before[i]
+        h[1:][nextto[:-1]] = i[:-1][nextto[:-1]]
+        left = (end[h] != 0) & ~np.append(False, nextto[:-1])  # those are the pair behind the one before
+        h = h[left]
+        ahead = self._joined(ids[h], np.full(len(h), rank))
+        made = np.concatenate([behind, ahead])
+        if ((made >= 0) & (made < rank)).any() or ((early >= 0) & (early < rank)).any():
+            return False
+        end[i], end[j], before[k], ids[i], pair[j] = k, 0, i, rank, -1
+        pair[h] = ahead
+        pair[i] = behind
+        places = np.concatenate([i, h])
+        found = made >= 0
+        self._open_all(made[found], places[found])
+        return True
+
+    def _open_all(self, ranks: np.ndarray, places: np.ndarray) -> None:
+        """Puts places into the buckets of their ranks."""
+        order = np.argsort(ranks, kind="stable")
+        values, begin = np.unique(ranks[order], return_index=True)
+        places, bucket_of, opened = places[order].tolist(), self.queue.buckets.get, self.queue.open
+        for r, a, b in zip(values.tolist(), begin.tolist(), [*begin.tolist()[1:], len(places)]):
+            if (held := bucket_of(r)) is not None:
+                held += places[a:b]
+            else:
+                opened(r, places[a:b])
 
     def merge(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of each pre-token, little-endian unsigned 32-bit."""
@@ -90,18 +154,20 @@ class ByteBpe:
         ends[gaps] = 0
         first = np.append(self.double[raw[:-1] << 8 | raw[1:]], -1)
         first[gaps] = first[gaps - 1] = -1
-        ids = self.single[raw].tolist()
-        end = ends.tolist()  # end[i]: where the symbol that starts at i ends; 0 once merged away and in gaps
-        before = list(range(-1, n - 1))  # before[i]: start of the symbol (or gap) before the one that starts at i
-        pair = first.tolist()  # pair[i]: rank of the symbol at i with the next one; negative without a token
+        symbols = self.single[raw]
+        befores = np.arange(-1, n - 1)
         queue, get = self.queue, self.ranks.get
         bucket_of, opened = queue.buckets.get, queue.open
-        order = np.argsort(first, kind="stable")[int((first < 0).sum()) :]
-        ranks, begin = np.unique(first[order], return_index=True)
-        for rank, positions in zip(ranks.tolist(), np.split(order, begin[1:])):
-            opened(rank, positions.tolist())
+        found = np.flatnonzero(first >= 0)
+        self._open_all(first[found], found)
+        ids = memoryview(symbols)
+        end = memoryview(ends)  # end[i]: where the symbol that starts at i ends; 0 once merged away and in gaps
+        before = memoryview(befores)  # before[i]: start of the symbol (or gap) before the one that starts at i
+        pair = memoryview(first)  # pair[i]: rank of the symbol at i with the next one; negative without a token
         while queue.top:
             rank, bucket = queue.pop()
+            if len(bucket) >= WIDE and self._merge_wide(rank, bucket, symbols, ends, befores, first):
+                continue
             for at, i in enumerate(bucket):
                 if pair[i] != rank:
                     continue  # stale: one of the two symbols has changed
@@ -128,8 +194,8 @@ class ByteBpe:
                 if lesser and at + 1 < len(bucket):
                     opened(rank, bucket[at + 1 :])
                     break
-        kept = np.array(end) != 0
-        out = np.array(ids, "<u4")[kept].tobytes()
+        kept = ends != 0
+        out = symbols.astype("<u4")[kept].tobytes()
         stops = (4 * np.cumsum(kept)[gaps]).tolist()
         return [out[i:j] for i, j in zip([0, *stops], stops)]
 
@@ -148,8 +214,10 @@ class ByteBpe:
 
     def decode(self, ids: bytes) -> bytes:
         """Bytes of encoded ids."""
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        i = np.frombuffer(ids, "<u4").astype(np.int64)
+        sizes = self.sizes[i]
+        stops = np.cumsum(sizes)
+        return self.blob[np.repeat(self.starts[i] - stops + sizes, sizes) + np.arange(stops[-1] if len(i) else 0)].tobytes()
 
 
 def coder(path: str, pattern: str) -> ByteBpe:
