@@ -205,7 +205,8 @@ def best_fit_packing(docs: DataFrame, path: str, pattern: str, id_col: str = "do
         out["offset"] = out.groupby("sequence_id")["length"].cumsum() - out["length"]
         return out[[f.name for f in schema.fields]]
 
-    dealt = rest.withColumn("__shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)))
+    # dealt by row, so repeated rows and null ids spread like any others
+    dealt = rest.withColumn("__shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
     packed = dealt.groupBy("__shard").applyInPandas(fill, schema)
     full = cutted.where(F.col("length") == capacity).select(
         "*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset")

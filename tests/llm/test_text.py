@@ -12,6 +12,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 import zstandard
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from batchwright.llm import bpe, packing, quality, queries, secrets
@@ -263,3 +264,12 @@ def test_local_search_improves():
         assert len(live) <= len(plain.items)
     # three bins of best fit become two by exchange
     assert len(packing.pack([6, 5, 5, 4, 4, 3, 3, 3, 3], 12)) == 3
+
+
+def test_packing_deals_repeated_rows(spark):
+    """Equal rows and null ids spread over the shards like any others."""
+    docs = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("one and the same text of some words").alias("text"))
+    out = packing.best_fit_packing(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, shard=100)
+    shards = out.groupBy(F.shiftright("sequence_id", 32).alias("shard")).count().collect()
+    assert len(shards) == 40 and max(r["count"] for r in shards) < 300
+    assert sum(r["count"] for r in shards) == 4000
