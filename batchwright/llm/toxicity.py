@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import BinaryType, DoubleType
 
-from .common import doc_columns, row_type
+from .common import doc_columns, row_type, staged
 
 POSITIVES = 8192
 UNLABELLED = 16384
@@ -99,7 +99,10 @@ class Model:
 
 
 def sample(docs: DataFrame, labels: DataFrame, positives: int, unlabelled: int, folds: int) -> tuple[DataFrame, float]:
-    """Training rows ``(text, p)``, ``p`` true for confirmed toxic ones, and the class prior."""
+    """Training rows ``(text, p)``, ``p`` true for confirmed toxic ones, and the class prior.
+
+    About ``positives`` and ``unlabelled`` rows, however often ids or rows repeat:
+    rows equal in id and text count once, and of ids with many texts a share is drawn."""
     known = labels.where(remainder(F.col("doc_id"), folds) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     share = known.agg(F.count("toxic"), F.sum("toxic")).first()
     if not share[1]:
@@ -108,8 +111,11 @@ def sample(docs: DataFrame, labels: DataFrame, positives: int, unlabelled: int,
     toxic = known.where("toxic = 1").where(spot < int(min(1.0, positives / share[1]) * (1 << 30))).select("doc_id")
     train = docs.where(remainder(F.col("doc_id"), folds) != 0)
     rows = train.count()
-    some = train.where(spot < int(min(1.0, unlabelled / max(1, rows)) * (1 << 30)))
-    found = train.join(F.broadcast(toxic), "doc_id")  # at most about `positives` ids
+    spot = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    share_of = lambda bound, n: spot < int(min(1.0, bound / max(1, n)) * (1 << 30))
+    some = train.where(share_of(unlabelled, rows)).dropDuplicates(["doc_id", "text"])
+    found = staged(train.join(F.broadcast(toxic), "doc_id").dropDuplicates(["doc_id", "text"]), "toxicity-confirmed")  # at most about `positives` ids
+    found = found.where(share_of(2 * positives, found.count()))
     return found.select("text", F.lit(True).alias("p")).unionByName(some.select("text", F.lit(False).alias("p"))), share[1] / share[0]
 
 

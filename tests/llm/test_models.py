@@ -176,3 +176,15 @@ def test_links_spread_distrust(spark):
     got = {r["page_id"]: r for r in urls.url_filter(spark.createDataFrame(rows, "page_id long, url string, html string"), queries.URL_RULES).collect()}
     assert {i: r["verdict"] for i, r in got.items()} == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow"}
     assert got[2]["distrust"] > 0 and got[4]["trust"] > 0
+
+
+def test_toxicity_sample_is_bounded_by_rows(spark):
+    """One toxic id with 50,000 equal rows, one with 20,000 texts, and a repeated clean row."""
+    same = spark.range(50_000).select(F.lit(1).cast("long").alias("doc_id"), F.lit("you fool").alias("text"))
+    many = spark.range(20_000).select(F.lit(3).cast("long").alias("doc_id"), F.concat(F.lit("you fool "), "id").alias("text"))
+    clean = spark.range(50_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("good day").alias("text"))
+    docs = same.unionByName(many).unionByName(clean)
+    labels = spark.createDataFrame([(1, 1), (3, 1), (7, 0)], "doc_id long, toxic int")
+    rows, prior = toxicity.sample(docs, labels, positives=300, unlabelled=300, folds=5)
+    counted = {r["p"]: r["count"] for r in rows.groupBy("p").count().collect()}
+    assert 0 < counted[True] < 900 and counted.get(False, 0) < 900 and prior == 2 / 3
