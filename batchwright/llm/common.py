@@ -68,6 +68,17 @@ def doc_columns(docs: DataFrame, id_col: str, text_col: str, empty_nulls: bool =
     return docs.select(F.col(id_col).alias("doc_id"), (F.coalesce(text, F.lit("")) if empty_nulls else text).alias("text"))
 
 
+def aside(docs: DataFrame, *names: str) -> tuple[DataFrame, list[str | None]]:
+    """``docs`` with its columns named by place, so that no helper column clashes with
+    one of them, and what ``names`` are called there (None: no such column).
+
+    ``out.select(*that.columns).toDF(*docs.columns)`` gives the names back."""
+    at: dict[str, str] = {}
+    for i, c in enumerate(docs.columns):
+        at.setdefault(c, f"c{i}")
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]), [at.get(n) for n in names]
+
+
 def whitespace_pattern(pattern: str) -> str:
     """``pattern`` with ``\\s`` and ``\\S`` spelled out as :data:`WHITE`."""
     return pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\S", f"[^{WHITE}]").replace(r"\s", f"[{WHITE}]")

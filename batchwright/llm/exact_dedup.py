@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_columns, staged
+from .common import aside, doc_columns, staged
 
 COUNTERS = 1024
 CANDIDATES = 256
@@ -74,6 +74,8 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     The copies in the largest groups, at most :data:`CANDIDATES` of them, go map-side;
     what is left is joined in a shuffle, at every size.
     """
+    names = docs.columns
+    docs, (id_col, text_col) = aside(docs, id_col, text_col)
     info = exact_dedup(docs, id_col, text_col).where("group_size > 1")
     dups = staged(info.groupBy("digest").agg(F.first("keep_id").alias("keep_id"), F.first("keep_rows").alias("keep_rows"), F.count(F.lit(1)).alias("n")), "duplicates")
     heavy = staged(dups.orderBy(F.desc("n"), "digest").limit(CANDIDATES), "duplicates-heavy")
@@ -86,4 +88,4 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     single = marked.where(F.col("__n").isNull() | (stays & (F.col("__n") == 1)))
     if not dups.where("keep_rows > 1").isEmpty():
         single = single.unionByName(marked.where(stays & (F.col("__n") > 1)).dropDuplicates(["__digest"]))
-    return single.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return single.select(*docs.columns).toDF(*names)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
-from .common import doc_columns, row_type, ship
+from .common import aside, doc_columns, row_type, ship
 
 KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(
@@ -217,6 +217,8 @@ def redacted(texts: pd.Series) -> pd.Series:
 def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """``docs`` with secrets masked in the text; a length column, if there, follows the new text."""
     ship(docs.sparkSession)
+    names = docs.columns
+    docs, (text_col, length_col) = aside(docs, text_col, length_col)
     out = docs.withColumn("__text", redacted(F.col(text_col).cast("string")))
     changed = ~F.col("__text").eqNullSafe(F.col(text_col))
     cols = []
@@ -224,7 +226,7 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str = "n
         if c == text_col:
             cols.append(F.col("__text").alias(c))
         elif c == length_col:
-            cols.append(F.when(changed, F.length("__text")).otherwise(F.col(f"`{c}`")).cast(docs.schema[c].dataType).alias(c))
+            cols.append(F.when(changed, F.length("__text")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c))
         else:
-            cols.append(F.col(f"`{c}`"))
-    return out.select(*cols)
+            cols.append(F.col(c))
+    return out.select(*cols).toDF(*names)

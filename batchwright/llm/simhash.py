@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import components, doc_columns, ship, staged
+from .common import aside, components, doc_columns, ship, staged
 
 SEED = 42
 DISTANCE = 3
@@ -141,6 +141,8 @@ def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Where several rows of a group share that id, one of them stays."""
     ship(docs.sparkSession)
+    names = docs.columns
+    docs, (id_col, text_col) = aside(docs, id_col, text_col)
     prints = staged(docs.withColumn("__fp", fingerprints(shingle)(F.col(text_col).cast("string"))), "simhash-docs")
     known = groups(prints.select(F.col(id_col).alias("doc_id"), F.col("__fp").alias("fp")), distance)
     known = staged(known.select(F.col("fp").alias("__fp"), F.col("root").alias("__root"), F.col("component_id").alias("__keep")), "simhash-groups")
@@ -151,4 +153,4 @@ def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         stays = stays.join(twice, "__root", "left_anti").unionByName(
             stays.join(twice, "__root", "left_semi").dropDuplicates(["__root"]), allowMissingColumns=True
         )
-    return stays.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return stays.select(*docs.columns).toDF(*names)

@@ -16,7 +16,8 @@ ODD = [
     (8, "lorem ipsum dolor sit amet " * 4000), (9, "x" * 50_000), (10, " " * 3000 + "\n" * 3000), (11, "password = Tr0ub4dor&3xyzzy99 and token: abcdefghijkl0123"),
 ]
 
-CLASHING = ["digest", "keep_id", "keep_rows", "fp", "root", "component_id", "row", "h", "word", "n", "s", "piece", "length", "kept", "score", "count"]
+CLASHING = ["digest", "keep_id", "keep_rows", "fp", "root", "component_id", "row", "h", "word", "n", "s", "piece", "length", "kept", "score", "count",
+            "__keep", "__heavy", "__n", "__root", "__digest", "__fp", "__text", "__shard", "c0", "c1"]
 
 
 @pytest.fixture(scope="session")

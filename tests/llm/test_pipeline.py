@@ -42,6 +42,15 @@ def test_odd_rows(spark, odd, empty, name, stage):
     assert stage(spark, odd, SF).count() >= 1
 
 
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES[:-1])
+def test_clashing_columns_come_back(spark, odd, name, stage):
+    """Columns named like the stages' helpers keep their place and values."""
+    out = stage(spark, odd, SF)
+    assert out.columns == odd.columns
+    extra = [c for c in odd.columns if c not in ("doc_id", "text", "lang", "source", "n_chars")]
+    assert all(r[c] == c for r in out.collect() for c in extra)
+
+
 def test_repeated_rows_leave_one(spark, documents):
     twice = documents.unionByName(documents).withColumn("extra", F.lit(1))
     for name, stage in corpus_pipeline.STAGES[1:3]:
