@@ -375,6 +375,12 @@ def q_manifest_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("batch", "batch_date", "table_name", "n_parts", (F.col("bytes") > 0).alias("has_bytes"), F.lit(listed == scanned).alias("as_listed"))
 
 
+def q_unchanged_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """q_unchanged_keys with a Bloom filter of the source's tuples on the target scan."""
+    target, source = _customer_b1_target_and_b2(spark, sf_dir, "bloom")
+    return scd2.unchanged_keys(source, target, "c_custkey", ["c_name", "c_mktsegment"], bloom=True)
+
+
 def q_replay_part_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer b1 whose files lie in a folder called ``part*``, replayed."""
     ws = _ws(spark, "part-folder")
@@ -430,6 +436,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_scd2_digest": q_scd2_digest,
     "q_append_lineitem": q_append_lineitem,
     "q_manifest_scan": q_manifest_scan,
+    "q_unchanged_bloom": q_unchanged_bloom,
     "q_replay_part_folder": q_replay_part_folder,
     "q_replay_same_day": q_replay_same_day,
 }
@@ -676,6 +683,7 @@ ORACLE |= {
         "FROM (VALUES ('customer'), ('part'), ('supplier')) v(t) "
         f"UNION ALL SELECT 'batch_{B2}T120000', DATE '{B2}', 'nation', CAST(1 AS BIGINT), true, true"
     ),
+    "q_unchanged_bloom": ORACLE["q_unchanged_keys"],
     "q_replay_part_folder": ORACLE["q_first_load_scd"],
     "q_replay_same_day": _same_day_sql(),
 }

@@ -44,6 +44,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.stamps import date_lit, parse_batch_date, with_scd_columns
 from ..specs import END_DATE, START_DATE
+from .bloom import prefilter, without_nulls
 
 STRICT = "strict"
 COMPAT = "compat"
@@ -75,21 +76,24 @@ def null_key_count(source: DataFrame, key: str) -> Column:
 
 
 # ---------------------------------------------------------------- compat
-def unchanged_keys(source: DataFrame, target: DataFrame, key: str, change_cols: Sequence[str]) -> DataFrame:
+def unchanged_keys(source: DataFrame, target: DataFrame, key: str, change_cols: Sequence[str], bloom: bool = False) -> DataFrame:
     """Distinct target keys whose change tuple occurs anywhere in the source.
 
     Plain ``=`` on each change column: a NULL on either side never matches.
     The key itself is not compared (a key is "unchanged" if *another* source
-    row carries its tuple).
+    row carries its tuple).  ``bloom``: target rows first pass a Bloom filter of
+    the source's tuples, under the broadcast bound, so that rows that cannot match
+    are not shuffled; the semi join removes the few that pass by chance.
     """
     cols = list(change_cols)
     # all target keys, so no bound follows from the source: sort-merge, not
     # a broadcast chosen on an estimate
-    tuples = source.select(*cols).dropna(how="any").distinct().hint("merge")
+    tuples = without_nulls(source.select(*cols), cols).distinct().hint("merge")
+    keyed = target.select(key, *cols).where(F.col(key).isNotNull())
+    if bloom:
+        keyed = prefilter(keyed, source.select(*cols), cols, broadcast_limit(source.sparkSession))
     return (
-        target.select(key, *cols)
-        .where(F.col(key).isNotNull())
-        .join(tuples, on=cols, how="left_semi")
+        keyed.join(tuples, on=cols, how="left_semi")
         .select(key)
         .distinct()
     )
@@ -135,7 +139,7 @@ def _compat_changed(
     skewed target partitions."""
     if broadcast_source is None:
         broadcast_source = fits_broadcast(source)
-    tuples = source.select(*cols).dropna(how="any")
+    tuples = without_nulls(source.select(*cols), cols)
     cur = target.select(key, *cols).where(F.col(key).isNotNull())
     if broadcast_source:
         hit = cur.join(F.broadcast(src.select(key)), on=key, how="left_semi").join(F.broadcast(tuples), on=cols, how="left_semi")
