@@ -71,6 +71,37 @@ class RankQueue:
         return rank, bucket
 
 
+class AgingEncoder(ChunkEncoder):
+    """A :class:`ChunkEncoder` whose caches have two generations.
+
+    A younger generation at its limit becomes the older one, and what that one held is
+    forgotten; what is found in the older one moves to the younger, so entries in use stay."""
+
+    def __init__(self, *args, **limits):
+        super().__init__(*args, **limits)
+        self.old_pieces: dict[str, bytes] = {}
+        self.old_chunks: dict[str, bytes] = {}
+
+    def _learn(self, chunks: set[str], firsts: list[str]) -> list[bytes]:
+        find, pieces, old_pieces = self.find, self.pieces, self.old_pieces
+        known = self.old_chunks.keys() & chunks
+        self.chunks.update((w, self.old_chunks[w]) for w in known)
+        begun, found = [find(x) for x in firsts], {w: find(" " + w) for w in chunks - known}
+        new = {p for group in (begun, found.values()) for x in group for p in x if p not in pieces}
+        known = old_pieces.keys() & new
+        pieces.update((p, old_pieces[p]) for p in known)
+        new = list(new - known)
+        pieces.update(zip(new, self.encode_pieces(new)))
+        self.chunks.update((w, b"".join([pieces[p] for p in x])) for w, x in found.items())
+        return [b"".join([pieces[p] for p in x]) for x in begun]
+
+    def _trim(self) -> None:
+        if len(self.chunks) >= self.limit:
+            self.chunks, self.old_chunks = {}, self.chunks
+        if len(self.pieces) >= self.piece_limit:
+            self.pieces, self.old_pieces = {}, self.pieces
+
+
 class ByteBpe:
     """Encoder and decoder for one file of ranks (base64 token, rank a line)."""
 
@@ -86,7 +117,7 @@ class ByteBpe:
         for t, i in self.ranks.items():
             if len(t) == 2:
                 self.double[t[0] << 8 | t[1]] = i
-        self.encode_texts = ChunkEncoder(pattern, self._pieces, limit=500_000, piece_limit=100_000, block=BLOCK)
+        self.encode_texts = AgingEncoder(pattern, self._pieces, limit=500_000, piece_limit=100_000, block=BLOCK)
         splits = [  # every way in which two tokens make a token: left id, right id, rank
             (a << 32 | b, i) for t, i in self.ranks.items() for c in range(1, len(t)) if (a := self.ranks.get(t[:c])) is not None and (b := self.ranks.get(t[c:])) is not None
         ]

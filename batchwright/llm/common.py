@@ -122,24 +122,17 @@ class ChunkEncoder:
     follows) encoded on its own.  ``encode_pieces`` turns a list of matches into
     the encoded bytes of each; it gets all matches of a block of texts that the
     caches do not hold at once.  A block has about ``block`` characters, or is one
-    longer text.
-
-    A cache has two generations.  Once the younger one holds ``limit`` chunks (or
-    ``piece_limit`` matches) after a block, it becomes the older one, and what the
-    older one held is forgotten; what is found in the older one moves to the
-    younger.  So entries in use stay, and neither generation outgrows its limit by
-    more than a block.
+    longer text.  A cache that holds ``limit`` chunks or ``piece_limit`` matches after a block
+    starts afresh.
     """
 
-    def __init__(self, pattern: str, encode_pieces, limit: int = 600_000, piece_limit: int = 150_000, block: int = 1_000_000):
+    def __init__(self, pattern: str, encode_pieces, limit: int = 1_200_000, piece_limit: int = 300_000, block: int = 1_000_000):
         self.find = regex.compile(whitespace_pattern(pattern)).findall
         self.white = regex.compile(f"[{WHITE}]").match
         self.cut = regex.compile(f" (?=[^{WHITE}])").split
         self.encode_pieces, self.limit, self.piece_limit, self.block = encode_pieces, limit, piece_limit, block
         self.pieces: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
-        self.old_pieces: dict[str, bytes] = {}
-        self.old_chunks: dict[str, bytes] = {}
 
     def _look_up(self, rest: list[str]) -> tuple[list, list[str]]:
         """What the cache holds of each chunk (None: nothing), and the chunks that it lacks."""
@@ -148,14 +141,9 @@ class ChunkEncoder:
 
     def _learn(self, chunks: set[str], firsts: list[str]) -> list[bytes]:
         """Caches the encoded ``chunks``; the encoded ``firsts``."""
-        find, pieces, old_pieces = self.find, self.pieces, self.old_pieces
-        known = self.old_chunks.keys() & chunks
-        self.chunks.update((w, self.old_chunks[w]) for w in known)
-        begun, found = [find(x) for x in firsts], {w: find(" " + w) for w in chunks - known}
-        new = {p for group in (begun, found.values()) for x in group for p in x if p not in pieces}
-        known = old_pieces.keys() & new
-        pieces.update((p, old_pieces[p]) for p in known)
-        new = list(new - known)
+        find, pieces = self.find, self.pieces
+        begun, found = [find(x) for x in firsts], {w: find(" " + w) for w in chunks}
+        new = list({p for group in (begun, found.values()) for x in group for p in x if p not in pieces})
         pieces.update(zip(new, self.encode_pieces(new)))
         self.chunks.update((w, b"".join([pieces[p] for p in x])) for w, x in found.items())
         return [b"".join([pieces[p] for p in x]) for x in begun]
@@ -176,12 +164,14 @@ class ChunkEncoder:
             first + (found if rest is None else b"".join([chunks[w] if x is None else x for w, x in zip(rest, found)]))
             for first, (rest, found) in zip(begun, rows)
         ]
-        if len(self.chunks) >= self.limit:
-            self.chunks, self.old_chunks = {}, self.chunks
-        if len(self.pieces) >= self.piece_limit:
-            self.pieces, self.old_pieces = {}, self.pieces
+        self._trim()
         return out
 
+    def _trim(self) -> None:
+        for cache, limit in ((self.chunks, self.limit), (self.pieces, self.piece_limit)):
+            if len(cache) >= limit:
+                cache.clear()
+
     def __call__(self, texts) -> list[bytes]:
         """Encoded bytes of each text."""
         out, block, size = [], [], 0
