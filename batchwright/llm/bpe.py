@@ -82,18 +82,15 @@ class AgingEncoder(ChunkEncoder):
         self.old_pieces: dict[str, bytes] = {}
         self.old_chunks: dict[str, bytes] = {}
 
+    def _encode_new(self, new: list[str]) -> None:
+        known = self.old_pieces.keys() & new
+        self.pieces.update((p, self.old_pieces[p]) for p in known)
+        super()._encode_new([p for p in new if p not in known])
+
     def _learn(self, chunks: set[str], firsts: list[str]) -> list[bytes]:
-        find, pieces, old_pieces = self.find, self.pieces, self.old_pieces
         known = self.old_chunks.keys() & chunks
         self.chunks.update((w, self.old_chunks[w]) for w in known)
-        begun, found = [find(x) for x in firsts], {w: find(" " + w) for w in chunks - known}
-        new = {p for group in (begun, found.values()) for x in group for p in x if p not in pieces}
-        known = old_pieces.keys() & new
-        pieces.update((p, old_pieces[p]) for p in known)
-        new = list(new - known)
-        pieces.update(zip(new, self.encode_pieces(new)))
-        self.chunks.update((w, b"".join([pieces[p] for p in x])) for w, x in found.items())
-        return [b"".join([pieces[p] for p in x]) for x in begun]
+        return super()._learn(chunks - known, firsts)
 
     def _trim(self) -> None:
         if len(self.chunks) >= self.limit:
@@ -108,6 +105,7 @@ class ByteBpe:
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+        self.whole = {t: i.to_bytes(4, "little") for t, i in self.ranks.items()}  # ids of a pre-token that is a token
         self.tokens = [b""] * (max(self.ranks.values()) + 1)
         for t, i in self.ranks.items():
             self.tokens[i] = t
@@ -135,7 +133,8 @@ class ByteBpe:
 
     def _merge_wide(self, rank: int, bucket: list[int], ids: np.ndarray, end: np.ndarray, before: np.ndarray, pair: np.ndarray) -> bool:
         """Merge a whole bucket; False, and nothing done, where order matters."""
-        i = np.unique(np.array(bucket, np.int64))
+        i = np.array(bucket, np.int64)
+        i = i[np.append(True, i[1:] != i[:-1])]
         i = i[pair[i] == rank]  # the others are stale
         if not len(i):
             return True
@@ -232,7 +231,7 @@ class ByteBpe:
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         data = [p.encode("utf-8") for p in pieces]
-        out = [None if (rank := self.ranks.get(d)) is None else rank.to_bytes(4, "little") for d in data]
+        out = list(map(self.whole.get, data))
         rest = [k for k, ids in enumerate(out) if ids is None]
         if rest:
             for k, ids in zip(rest, self.merge([data[k] for k in rest])):

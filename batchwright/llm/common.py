@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from itertools import chain
 from pathlib import Path
 
+import numpy as np
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,8 +120,8 @@ class ChunkEncoder:
     """Encodes whole texts through bounded caches of space-delimited chunks.
 
     A single space before a visible character always starts a new match of the
-    pre-token pattern, so a text is cut there and each chunk (the space and what
-    follows) encoded on its own.  ``encode_pieces`` turns a list of matches into
+    pre-token pattern, and its matches cover the whole text, so a text is cut there and
+    each chunk (the space and what follows) encoded on its own; many chunks are matched in one go.  ``encode_pieces`` turns a list of matches into
     the encoded bytes of each; it gets all matches of a block of texts that the
     caches do not hold at once.  A block has about ``block`` characters, or is one
     longer text.  A cache that holds ``limit`` chunks or ``piece_limit`` matches after a block
@@ -128,7 +130,7 @@ class ChunkEncoder:
 
     def __init__(self, pattern: str, encode_pieces, limit: int = 1_200_000, piece_limit: int = 300_000, block: int = 1_000_000):
         self.find = regex.compile(whitespace_pattern(pattern)).findall
-        self.white = regex.compile(f"[{WHITE}]").match
+        self.uneven = regex.compile(rf" (?:[{WHITE}]|\Z)").search
         self.cut = regex.compile(f" (?=[^{WHITE}])").split
         self.encode_pieces, self.limit, self.piece_limit, self.block = encode_pieces, limit, piece_limit, block
         self.pieces: dict[str, bytes] = {}
@@ -139,21 +141,33 @@ class ChunkEncoder:
         found = list(map(self.chunks.get, rest))
         return found, [w for w, x in zip(rest, found) if x is None] if None in found else []
 
+    def _matches(self, chunks: list[str]) -> tuple[list[str], list[int]]:
+        """The matches in all ``chunks``, and how many the chunks up to each one have."""
+        flat = self.find("".join([" " + w for w in chunks]))
+        stops = np.cumsum(np.fromiter(map(len, flat), np.int64, len(flat)))
+        wanted = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)) + 1)
+        return flat, (np.searchsorted(stops, wanted) + 1).tolist()
+
+    def _encode_new(self, new: list[str]) -> None:
+        """Caches the matches ``new``, encoded."""
+        self.pieces.update(zip(new, self.encode_pieces(new)))
+
     def _learn(self, chunks: set[str], firsts: list[str]) -> list[bytes]:
         """Caches the encoded ``chunks``; the encoded ``firsts``."""
-        find, pieces = self.find, self.pieces
-        begun, found = [find(x) for x in firsts], {w: find(" " + w) for w in chunks}
-        new = list({p for group in (begun, found.values()) for x in group for p in x if p not in pieces})
-        pieces.update(zip(new, self.encode_pieces(new)))
-        self.chunks.update((w, b"".join([pieces[p] for p in x])) for w, x in found.items())
-        return [b"".join([pieces[p] for p in x]) for x in begun]
+        begun, chunks = [self.find(x) for x in firsts], list(chunks)
+        flat, stops = self._matches(chunks)
+        self._encode_new(list({*flat, *chain.from_iterable(begun)} - self.pieces.keys()))
+        piece = self.pieces.__getitem__
+        ids = list(map(piece, flat))
+        self.chunks.update((w, ids[i] if j == i + 1 else b"".join(ids[i:j])) for w, i, j in zip(chunks, [0, *stops], stops))
+        return [b"".join(map(piece, x)) for x in begun]
 
     def _block(self, texts: list[str]) -> list[bytes]:
-        white, firsts, rows, missing = self.white, [], [], set()
+        firsts, rows, missing = [], [], set()
         for text in texts:
             first, *rest = text.split(" ")
             found, lacks = self._look_up(rest)
-            if any(not w or white(w) for w in lacks):
+            if lacks and self.uneven(text):
                 first, *rest = self.cut(text)
                 found, lacks = self._look_up(rest)
             missing.update(lacks)
