@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.functions import pandas_udf
 
-from .common import ChunkEncoder, doc_columns
+from .common import ChunkEncoder, doc_columns, row_type
 
 _ENCODERS: dict[str, "ByteBpe"] = {}
 
@@ -277,3 +277,18 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids") ->
         return pd.Series([None if x is None else own.decode(bytes(x)) for x in ids], dtype=object)
 
     return encoded.withColumn("bytes", run(ids_col))
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: ``doc_id, ids, bytes``, as :func:`decode` of :func:`encode`.
+
+    One function for both: where a plan uses ids and what is decoded from them, Spark
+    would chain the two and encode every text twice."""
+
+    @pandas_udf(row_type("ids binary, bytes binary"))
+    def run(texts: pd.Series) -> pd.DataFrame:
+        own = coder(path, pattern)
+        ids = own.encode(texts)
+        return pd.DataFrame({"ids": ids, "bytes": [own.decode(x) for x in ids]}, dtype=object)
+
+    return doc_columns(docs, id_col, text_col).select("doc_id", run("text").alias("both")).select("doc_id", "both.*")

@@ -28,7 +28,7 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN
-    out = bpe.decode(bpe.encode(_documents(spark, sf_dir), path, pattern), path, pattern)
+    out = bpe.round_trip(_documents(spark, sf_dir), path, pattern)
     return out.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256")
     )

@@ -179,7 +179,7 @@ def reference():
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-PIECES = ["", " ", "  a", "a  ", "\n\n x", "don't we'll", "a" * 3000, "ab" * 2000, " " * 500 + "x", "é" * 700, "1234567890" * 50, "<|endoftext|>", "\x85\xa0\u2003 q", "\x1c\x1dw", "\t\t\tz \n y"]
+PIECES = ["", " ", "  a", "a  ", "\n\n x", "don't we'll", "a" * 3000, "ab" * 2000, " " * 500 + "x", "é" * 700, "1234567890" * 50, "<|endoftext|>", "\x85\xa0\u2003 q", "\x1c\x1dw", "\t\t\tz \n y", "word\n foo  bar \t baz\n\n x ", "end\n", "a\n \n b\u3000 c  ", " it's don't\n 's"]
 
 
 def test_bpe_like_the_library(spark, documents, odd, empty, reference):
@@ -189,9 +189,10 @@ def test_bpe_like_the_library(spark, documents, odd, empty, reference):
         assert np.frombuffer(ids, "<u4").tolist() == reference.encode_ordinary(t)
         assert coder.decode(ids) == t.encode()
     path, pattern = public_tokenizers.path(queries.BPE_RANKS), public_tokenizers.PATTERN
-    out = bpe.decode(bpe.encode(odd, path, pattern), path, pattern).collect()
-    assert Counter((r["doc_id"], bytes(r["bytes"])) for r in out) == Counter((i, (t or "").encode()) for i, t in ODD)
-    assert bpe.encode(empty, path, pattern).count() == 0
+    apart, at_once = bpe.decode(bpe.encode(odd, path, pattern), path, pattern).collect(), bpe.round_trip(odd, path, pattern).collect()
+    assert Counter((r["doc_id"], bytes(r["bytes"])) for r in apart) == Counter((i, (t or "").encode()) for i, t in ODD)
+    assert Counter((r["doc_id"], bytes(r["ids"]), bytes(r["bytes"])) for r in apart) == Counter((r["doc_id"], bytes(r["ids"]), bytes(r["bytes"])) for r in at_once)
+    assert bpe.encode(empty, path, pattern).count() == bpe.round_trip(empty, path, pattern).count() == 0
 
 
 def test_bpe_query(spark, documents, reference):
