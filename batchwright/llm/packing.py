@@ -49,13 +49,15 @@ def encoder(path: str, pattern: str) -> ChunkEncoder:
 
         tok = Tokenizer.from_file(path)
         tok.encode_special_tokens = True
-        model, table = tok.model, byte_letters()
+        tokenize, table = tok.model.tokenize, byte_letters()
+        ids = [i.to_bytes(4, "little") for i in range(max(tok.get_vocab().values()) + 1)]
 
-        def encode(piece: str) -> bytes:
-            letters = piece.encode("utf-8").decode("latin-1").translate(table)
-            return np.array([t.id for t in model.tokenize(letters)], "<u4").tobytes()
+        def encode(pieces: list[str]) -> list[bytes]:
+            # U+2028 stands for no byte, so it keeps the pieces apart while all are translated at once
+            letters = "\u2028".join([p.encode("utf-8").decode("latin-1") for p in pieces]).translate(table).split("\u2028")
+            return [b"".join([ids[t.id] for t in tokenize(x)]) for x in letters] if pieces else []
 
-        _ENCODERS[path] = ChunkEncoder(pattern, lambda pieces: [encode(p) for p in pieces])
+        _ENCODERS[path] = ChunkEncoder(pattern, encode)
     return _ENCODERS[path]
 
 
