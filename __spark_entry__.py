@@ -215,8 +215,15 @@ def q_record_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_batch(spark, _reg(), entries_for(manifest(spark, root), derived.batch_name(1)))
 
 
+REPLAYED = ("customer", "supplier", "part", "nation", "region", "orders")
+
+
 def q_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = _loaded(spark, sf_dir, ("customer", "supplier", "part", "nation", "region", "orders"), (1, 2, 3), label="replay")
+    return _replay_summary(_loaded(spark, sf_dir, REPLAYED, (1, 2, 3), label="replay"))
+
+
+def _replay_summary(store) -> DataFrame:
+    """One row a table of a replayed store."""
     keys = {"customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "nation": "n_nationkey", "region": "r_regionkey", "orders": "o_orderkey"}
     b1 = F.lit(derived.BATCH_DATES[0])
     out = None
@@ -267,6 +274,21 @@ def q_jdbc_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("orders")
 
 
+def q_jdbc_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six tables and three batches replayed twice into Derby, tables of a batch side by
+    side; the second run finds in the database that it has nothing to load."""
+    ws = _ws(spark, "jdbc-replay")
+    derived.write_batches(spark, sf_dir, f"{ws}/src", tables=REPLAYED)
+    url = f"jdbc:derby:memory:bw{uuid.uuid4().hex[:10]};create=true"
+    keys = {"customer": "c_custkey", "supplier": "s_suppkey"}
+    store = JdbcStore(spark, url, {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}, keys=keys)
+    for _ in range(2):
+        reports = replay(spark, store, _reg(), f"{ws}/src", DRIVER_FACT_TABLE)
+    if {r.status for r in reports} != {"not_new"}:
+        raise AssertionError(f"the second replay loaded something: {reports}")
+    return _replay_summary(store)
+
+
 def q_replay_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer: b1 with a fact, then an unchanged and a changed batch without
     one, replayed twice: the second run changes nothing."""
@@ -426,6 +448,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_replay": q_replay,
     "q_jdbc_roundtrip": q_jdbc_roundtrip,
     "q_jdbc_append": q_jdbc_append,
+    "q_jdbc_replay": q_jdbc_replay,
     "q_replay_rerun": q_replay_rerun,
     "q_nested_parts": q_nested_parts,
     "q_scd2_strict_shuffled": q_scd2_strict_shuffled,
@@ -647,6 +670,7 @@ ORACLE: dict[str, str] = {
     "q_manifest": _manifest_sql(),
     "q_record_check": _record_check_sql(),
     "q_replay": _replay_sql(),
+    "q_jdbc_replay": _replay_sql(),
     "q_jdbc_roundtrip": _scd_sql("strict", 2),
     "q_jdbc_append": f"SELECT {O_COLS}, {O_STAMP} AS batched_at FROM orders",
 }

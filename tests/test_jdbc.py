@@ -117,3 +117,24 @@ def test_staged_files_removed_once_published(spark):
     assert res.metrics["rows"] == 25
     assert store.read("nation").count() == 25
     assert not [e for e in fs.ls(spark, f"{store.stage_root}/nation") if fs.ls(spark, e.path)]
+
+
+def test_log_is_read_by_the_database(spark, monkeypatch):
+    """The loop's questions bring one row each from the log, however long it is."""
+    store = _store(spark)
+    spec = driver_registry()["orders"]
+    assert not store.exists("orders") and store.head_seq("orders") == 0 and store.batch_mark("orders") is None
+    first_load(store, spec, derived.batch_frame(spark, SF, "orders", 1), derived.BATCH_DATES[0])
+    pending = store.stage("orders", derived.batch_frame(spark, SF, "orders", 2), "append", derived.BATCH_DATES[1])
+    monkeypatch.setattr(store, "_log", lambda: pytest.fail("whole log read"))
+    assert store.exists("orders") and not store.exists("order")
+    assert store.head_seq("orders") == pending.seq == 2
+    assert store.batch_mark("orders") == derived.BATCH_DATES[0]  # staged is not published
+    assert store.has_batch("orders", derived.BATCH_DATES[0]) and not store.has_batch("orders", derived.BATCH_DATES[1])
+
+
+@pytest.mark.parametrize("name", ["it's", 'a"b'])
+def test_log_of_odd_names(spark, name):
+    store = _store(spark)
+    first_load(store, driver_registry()["orders"], derived.batch_frame(spark, SF, "orders", 1), derived.BATCH_DATES[0])
+    assert not store.exists(name) and store.head_seq(name) == 0
