@@ -25,6 +25,7 @@ from batchwright.plans.registry import DRIVER_SCHEMAS
 from batchwright.session import scratch_dir
 from batchwright.sinks import JdbcStore, LakeStore, PartitionedStore
 from batchwright.sources import manifest_frame, read_delimited, read_jdbc
+from batchwright.sources.jdbc import read_jdbc_equi_depth
 from batchwright.sources.delimited import write_delimited
 from batchwright.sources.manifest import entries_for, manifest, manifest_scan
 
@@ -274,6 +275,17 @@ def q_jdbc_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("orders")
 
 
+def q_jdbc_equidepth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders with a skewed column, written to Derby and read back in ranges of about
+    equally many rows."""
+    url = f"jdbc:derby:memory:bw{uuid.uuid4().hex[:10]};create=true"
+    opts = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    low = F.col("o_orderkey") % 1000
+    rows = derived.table(spark, sf_dir, "orders").select("o_orderkey", (low * low * low).alias("o_skew"), "o_totalprice", "o_orderdate")
+    rows.write.jdbc(url, "orders", properties=opts)
+    return read_jdbc_equi_depth(spark, url, "orders", "o_skew", 8, opts)
+
+
 def q_jdbc_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six tables and three batches replayed twice into Derby, tables of a batch side by
     side; the second run finds in the database that it has nothing to load."""
@@ -448,6 +460,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_replay": q_replay,
     "q_jdbc_roundtrip": q_jdbc_roundtrip,
     "q_jdbc_append": q_jdbc_append,
+    "q_jdbc_equidepth": q_jdbc_equidepth,
     "q_jdbc_replay": q_jdbc_replay,
     "q_replay_rerun": q_replay_rerun,
     "q_nested_parts": q_nested_parts,
@@ -670,6 +683,8 @@ ORACLE: dict[str, str] = {
     "q_manifest": _manifest_sql(),
     "q_record_check": _record_check_sql(),
     "q_replay": _replay_sql(),
+    "q_jdbc_equidepth": "SELECT o_orderkey, (o_orderkey % 1000) * (o_orderkey % 1000) * (o_orderkey % 1000) AS o_skew, "
+    "o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders",
     "q_jdbc_replay": _replay_sql(),
     "q_jdbc_roundtrip": _scd_sql("strict", 2),
     "q_jdbc_append": f"SELECT {O_COLS}, {O_STAMP} AS batched_at FROM orders",

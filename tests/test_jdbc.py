@@ -12,6 +12,7 @@ from batchwright.operators.loads import append_load, first_load, scd_load
 from batchwright.plans import derived, driver_registry
 from batchwright.sinks import JdbcStore
 from batchwright.sources import read_jdbc
+from batchwright.sources.jdbc import equi_depth_cuts, read_jdbc_equi_depth
 
 from .conftest import SF
 
@@ -138,3 +139,31 @@ def test_log_of_odd_names(spark, name):
     store = _store(spark)
     first_load(store, driver_registry()["orders"], derived.batch_frame(spark, SF, "orders", 1), derived.BATCH_DATES[0])
     assert not store.exists(name) and store.head_seq(name) == 0
+
+
+def _sizes(df):
+    return sorted(r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect())
+
+
+def test_equi_depth_ranges(spark):
+    """Skewed keys with NULLs: no range holds twice the mean, and no row is lost."""
+    url = f"jdbc:derby:memory:t{uuid.uuid4().hex[:10]};create=true"
+    key = F.when(F.col("id") % 50 != 0, F.col("id") * F.col("id") * F.col("id"))
+    rows = spark.range(4000).select("id", key.alias("k"), F.date_add(F.lit(dt.date(2020, 1, 1)), (F.col("id") % 7).cast("int")).alias("d"))
+    rows.write.jdbc(url, "t", properties=OPTS)
+    even = _sizes(read_jdbc(spark, url, "t", OPTS, partition_column="k", num_partitions=8))
+    assert max(even) > 2 * 500  # ranges of equal width are uneven here
+    out = read_jdbc_equi_depth(spark, url, "t", "k", 8, OPTS)
+    assert out.rdd.getNumPartitions() == 8 and max(_sizes(out)) <= 2 * 500
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
+    days = read_jdbc_equi_depth(spark, url, "t", "d", 4, OPTS)
+    assert days.count() == 4000 and days.rdd.getNumPartitions() > 1
+
+
+def test_equi_depth_of_hot_and_empty(spark):
+    url = f"jdbc:derby:memory:t{uuid.uuid4().hex[:10]};create=true"
+    spark.range(1000).select(F.when(F.col("id") < 900, 7).otherwise(F.col("id")).alias("k")).write.jdbc(url, "hot", properties=OPTS)
+    assert read_jdbc_equi_depth(spark, url, "hot", "k", 8, OPTS).count() == 1000
+    spark.range(0).select(F.col("id").alias("k")).write.jdbc(url, "nothing", properties=OPTS)
+    assert equi_depth_cuts(spark, url, "nothing", "k", 8, OPTS) == []
+    assert read_jdbc_equi_depth(spark, url, "nothing", "k", 8, OPTS).count() == 0
