@@ -21,13 +21,14 @@ from batchwright.operators.loads import append_load, first_load, scd_load
 from batchwright.plans import DRIVER_FACT_TABLE, bootstrap, derived, driver_basic_registry, driver_registry, load_once, replay
 from batchwright.plans.catalog import replay_with_views
 from batchwright.plans.pipeline import check_batch
-from batchwright.plans.registry import DRIVER_SCHEMAS
+from batchwright.plans.registry import DRIVER_SCHEMAS, REFERENCE_BASIC_TABLES, REFERENCE_BATCH_TABLES, REFERENCE_FACT_TABLE, reference_basic_registry, reference_batch_registry
 from batchwright.session import scratch_dir
 from batchwright.sinks import JdbcStore, LakeStore, PartitionedStore
 from batchwright.sources import manifest_frame, read_delimited, read_jdbc
 from batchwright.sources.jdbc import read_jdbc_equi_depth
 from batchwright.sources.delimited import write_delimited
 from batchwright.sources.manifest import entries_for, manifest, manifest_scan
+from batchwright.specs import APPEND, SCD
 
 SF_SMOKE = "/root/testdata/sf0.001"
 B1, B2, B3 = (d.isoformat() for d in derived.BATCH_DATES)
@@ -440,6 +441,50 @@ def q_replay_same_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out[0].unionByName(out[1])
 
 
+def _row_text(fields: list[tuple[str, str]]) -> str:
+    """SQL text of a whole row as one string, the same in Spark and in DuckDB: doubles in hundredths, NULL as ``~``."""
+    each = (f"COALESCE(CAST({f'CAST(ROUND({c} * 100) AS BIGINT)' if t == 'double' else c} AS VARCHAR(4000)), '~')" for c, t in fields)
+    return f"CONCAT_WS('|', {', '.join(each)})"
+
+
+def _row_texts(store, tables: list[str], mode: str = "strict") -> DataFrame:
+    """Every row of every table, as ``table_name, mode, row_text``."""
+    out = None
+    for t in tables:
+        df = store.read(t)
+        part = df.select(F.lit(t).alias("table_name"), F.lit(mode).alias("mode"), F.expr(_row_text(df.dtypes)).alias("row_text"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_original_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nine original tables (three SCD schemas, a double change column, the sparse
+    ``c_login``), two batches replayed in both modes: every row of every table."""
+    ws = _ws(spark, "original")
+    derived.write_original_batches(spark, sf_dir, f"{ws}/src")
+    out = []
+    for mode in (scd2.STRICT, scd2.COMPAT):
+        store = LakeStore(spark, f"{ws}/{mode}")
+        replay(spark, store, reference_batch_registry(), f"{ws}/src", REFERENCE_FACT_TABLE, mode=mode)
+        out.append(_row_texts(store, [s.target for s in REFERENCE_BATCH_TABLES], mode))
+    return out[0].unionByName(out[1])
+
+
+def q_original_one_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three files of the original one-time load: every row of every table."""
+    ws = _ws(spark, "original-once")
+    derived.write_original_files(spark, sf_dir, f"{ws}/src")
+    store = LakeStore(spark, f"{ws}/lake")
+    load_once(spark, store, reference_basic_registry(), f"{ws}/src")
+    return _row_texts(store, [s.target for s in REFERENCE_BASIC_TABLES], "full")
+
+
+def q_replay_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """q_replay in both modes: every row of every table."""
+    out = [_row_texts(_loaded(spark, sf_dir, REPLAYED, (1, 2, 3), mode=m, label=f"replay-{m}"), list(REPLAYED), m) for m in (scd2.STRICT, scd2.COMPAT)]
+    return out[0].unionByName(out[1])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_delimited_scan": q_delimited_scan,
     "q_full_load": q_full_load,
@@ -475,6 +520,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_unchanged_bloom": q_unchanged_bloom,
     "q_replay_part_folder": q_replay_part_folder,
     "q_replay_same_day": q_replay_same_day,
+    "q_original_tables": q_original_tables,
+    "q_original_one_time": q_original_one_time,
+    "q_replay_rows": q_replay_rows,
 }
 
 
@@ -560,7 +608,7 @@ def _scd_chain(prefix: str, batch_sql, n_batches: int, mode: str, key="c_custkey
 
 
 def _with(ctes: list[str], select: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n" + select
+    return ("WITH " + ",\n".join(ctes) + "\n" if ctes else "") + select
 
 
 def _scd_sql(mode: str, n: int, nulls: bool = False) -> str:
@@ -728,6 +776,54 @@ ORACLE |= {
 }
 
 
+def _texts_sql(ctes: list[str], tables: list[tuple[str, str, str, list[tuple[str, str]]]]) -> str:
+    """:func:`_row_texts` of (table, mode, relation, fields) over ``ctes``."""
+    return _with(ctes, " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{m}' AS mode, {_row_text(f)} AS row_text FROM {rel} x" for t, m, rel, f in tables))
+
+
+def _original_sql(spec, n: int) -> str:
+    parts = [derived.original_select(spec, n)] + ([derived.original_select(spec, n, new_keys=True)] if spec.load == SCD and n == 2 else [])
+    return " UNION ALL ".join(f"SELECT {', '.join(exprs)} FROM {derived.ORIGINS[spec.name][0]} WHERE {where}" for exprs, where in parts)
+
+
+def _original_tables_sql() -> str:
+    ctes, tables = [], []
+    for i, spec in enumerate(REFERENCE_BATCH_TABLES):
+        fields = derived.fields(spec.schema)
+        for m in ("strict", "compat"):
+            if spec.load == SCD:
+                chain, rel = _scd_chain(f"o{i}{m}_", lambda n, s=spec: _original_sql(s, n), 2, m, spec.primary_key, [c for c, _ in fields], spec.change_columns)
+                ctes += chain
+                tables.append((spec.target, m, rel, fields + [("start_date", "date"), ("end_date", "date")]))
+            else:
+                batches = ((1, B1), (2, B2)) if spec.load == APPEND else ((2, B2),)
+                rel = " UNION ALL ".join(f"SELECT *, DATE '{b}' AS batched_at FROM ({_original_sql(spec, n)}) b{n}" for n, b in batches)
+                tables.append((spec.target, m, f"({rel})", fields + [("batched_at", "date")]))
+    return _texts_sql(ctes, tables)
+
+
+def _replay_rows_sql() -> str:
+    stamped, scd = [("batched_at", "date")], [("start_date", "date"), ("end_date", "date")]
+    ctes, tables = [], []
+    changes = {"customer": (_c_batch, "c_custkey", C_COLS, ("c_name", "c_mktsegment")), "supplier": (_s_batch, "s_suppkey", S_COLS, ("s_name", "s_nationkey", "s_acctbal"))}
+    for m in ("strict", "compat"):
+        for t, (batch, key, cols, change) in changes.items():
+            chain, rel = _scd_chain(f"{t}_{m}_", batch, 3, m, key, cols, change)
+            ctes += chain
+            tables.append((t, m, rel, derived.fields(DRIVER_SCHEMAS[t]) + scd))
+        for t, rows in (("part", f"SELECT {P_COLS} FROM part WHERE p_size > 20"), ("nation", "SELECT * FROM nation"), ("region", "SELECT * FROM region")):
+            tables.append((t, m, f"(SELECT *, DATE '{B3}' AS batched_at FROM ({rows}) r)", derived.fields(DRIVER_SCHEMAS[t]) + stamped))
+        tables.append(("orders", m, f"(SELECT {O_COLS}, {O_STAMP} AS batched_at FROM orders)", derived.fields(DRIVER_SCHEMAS["orders"]) + stamped))
+    return _texts_sql(ctes, tables)
+
+
+ORACLE |= {
+    "q_original_tables": _original_tables_sql(),
+    "q_original_one_time": _texts_sql([], [(s.target, "full", f"({_original_sql(s, 1)})", derived.fields(s.schema)) for s in REFERENCE_BASIC_TABLES]),
+    "q_replay_rows": _replay_rows_sql(),
+}
+
+
 # ------------------------------------------------------------------ contract
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: customer b1 first load then b2 strict SCD2 merge, sf0.001."""

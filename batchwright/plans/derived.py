@@ -16,6 +16,9 @@ follows the table's.  Batches b1..b3 are dated 2022-11-01..03:
 
 :func:`customer_malformed_batch` writes unparsable fields for the
 bad-record count.
+
+:func:`original_batch` fills the tables of the original programs, which have other
+schemas, from the columns of these tables (two batches, see there).
 """
 
 from __future__ import annotations
@@ -26,7 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.delimited import write_delimited
-from .registry import DRIVER_SCHEMAS
+from ..specs import APPEND, SCD, TableSpec
+from .registry import DRIVER_SCHEMAS, REFERENCE_BASIC_TABLES, REFERENCE_BATCH_TABLES
 
 BATCH_DATES = (dt.date(2022, 11, 1), dt.date(2022, 11, 2), dt.date(2022, 11, 3))
 
@@ -159,3 +163,77 @@ def write_one_time_files(spark: SparkSession, sf_dir: str, root: str, names=("cu
 
 def write_batch_frame(df: DataFrame, root: str, n: int, name: str, sep: str = "|") -> None:
     write_delimited(df, f"{root}/{batch_name(n)}/{name}", sep)
+
+
+#: Each original table is made of one test table; the integer that tells its rows apart.
+ORIGINS = {
+    "customer": ("customer", "c_custkey"),
+    "customer_address": ("customer", "c_custkey"),
+    "customer_demographics": ("supplier", "s_suppkey"),
+    "household_demographics": ("customer", "c_custkey"),
+    "date_dim": ("part", "p_partkey"),
+    "item": ("part", "p_partkey"),
+    "promotion": ("supplier", "s_suppkey"),
+    "store": ("nation", "n_nationkey"),
+    "time_dim": ("nation", "n_nationkey"),
+    "store_sales": ("lineitem", "(l_orderkey * 7 + l_linenumber)"),
+}
+#: Filled in one row of thirty.
+SPARSE = "c_login"
+
+
+def fields(ddl: str) -> list[tuple[str, str]]:
+    """(name, type) of a flat DDL schema."""
+    return [tuple(c.split()) for c in ddl.split(",")]
+
+
+def original_select(spec: TableSpec, n: int, new_keys: bool = False) -> tuple[list[str], str]:
+    """Batch ``n`` (1 or 2) of an original table as SQL: the select list and the condition on its origin.
+
+    Integers are remainders of the row's number, strings and doubles go round the
+    origin's columns of that type.  In batch 2 an SCD row whose number divides by ten
+    differs in one change column, another one for each ten; ``new_keys`` gives its
+    further rows, copies of those numbered below 7 under new keys.  Truncated tables
+    lose every third row, facts are split by date."""
+    origin, key = ORIGINS[spec.name]
+    pools = {t: [c for c, ct in fields(DRIVER_SCHEMAS[origin]) if ct == t] for t in ("string", "double")}
+    out = []
+    for i, (c, t) in enumerate(fields(spec.schema)):
+        if i == 0 and spec.load != APPEND:
+            e = f"CAST({'-1 - ' if new_keys else ''}{key} AS INT)"
+        elif pools.get(t):
+            e = pools[t][i % len(pools[t])]
+        else:
+            e = f"CAST(({key} * {i + 1} + {i}) % 9973 AS INT)"
+            e = {"int": e, "double": f"{e} / CAST(4 AS DOUBLE)", "string": f"CONCAT('{c}', CAST({e} AS VARCHAR(9)))"}[t]
+        if c == SPARSE:
+            e = f"CASE WHEN {key} % 30 = 0 THEN {e} END"
+        if spec.load == SCD and n == 2 and not new_keys and c in spec.change_columns:
+            turn, turns = spec.change_columns.index(c), len(spec.change_columns)
+            changed = {"int": f"{e} + 1", "double": f"{e} + 0.5", "string": f"({e}) || '~'"}[t]
+            e = f"CASE WHEN {key} % {10 * turns} = {10 * turn} THEN {changed} ELSE {e} END"
+        out.append(f"{e} AS {c}")
+    if new_keys:
+        return out, f"{key} < 7"
+    if spec.load == APPEND:
+        early = "CAST(l_shipdate AS DATE) < DATE '1997-01-01'"
+        return out, early if n == 1 else f"{early} IS NOT TRUE"
+    return out, "TRUE" if n == 1 or spec.load == SCD else f"{key} % 3 <> 0"
+
+
+def original_batch(spark: SparkSession, sf_dir: str, spec: TableSpec, n: int) -> DataFrame:
+    base = table(spark, sf_dir, ORIGINS[spec.name][0])
+    parts = [original_select(spec, n)] + ([original_select(spec, n, new_keys=True)] if spec.load == SCD and n == 2 else [])
+    frames = [base.where(where).selectExpr(*exprs) for exprs, where in parts]
+    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+
+
+def write_original_batches(spark: SparkSession, sf_dir: str, root: str) -> None:
+    for n in (1, 2):
+        for spec in REFERENCE_BATCH_TABLES:
+            write_batch_frame(original_batch(spark, sf_dir, spec, n), root, n, spec.name)
+
+
+def write_original_files(spark: SparkSession, sf_dir: str, root: str) -> None:
+    for spec in REFERENCE_BASIC_TABLES:
+        write_delimited(original_batch(spark, sf_dir, spec, 1), f"{root}/{spec.file_name}")

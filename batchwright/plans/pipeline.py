@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,14 +46,34 @@ class BatchReport:
     missing: list[str] = field(default_factory=list)
 
 
-def _concurrently(tasks: list[Callable[[], LoadResult]], parallelism: int) -> list[LoadResult]:
-    """Run independent loads as concurrent Spark jobs, results in task order.
+POOL = "spark.scheduler.pool"
 
-    Every task runs to its end; the first error is raised afterwards."""
+
+def _concurrently(spark: SparkSession, tasks: dict[str, Callable[[], LoadResult]], parallelism: int) -> list[LoadResult]:
+    """Run independent loads, by table name, as concurrent Spark jobs; results in task order.
+
+    Each load inherits the caller's job properties and has a scheduler pool of its own,
+    unless the caller has chosen one.  Where the session sets ``spark.scheduler.mode`` to
+    ``FAIR``, the loads share the executors evenly, so a small table need not wait for a
+    large one's tasks; else Spark ignores the pools.  Every task runs to its end; the
+    first error is raised afterwards."""
     if parallelism <= 1 or len(tasks) <= 1:
-        return [t() for t in tasks]
+        return [t() for t in tasks.values()]
+    sc = spark.sparkContext
+    chosen = sc.getLocalProperty(POOL)
+
+    def pooled(name: str, task: Callable[[], LoadResult]) -> Callable[[], LoadResult]:
+        def run() -> LoadResult:
+            sc.setLocalProperty(POOL, chosen or f"load-{name}")
+            try:
+                return task()
+            finally:
+                sc.setLocalProperty(POOL, chosen)  # the thread may take another load
+
+        return inheritable_thread_target(spark)(run)  # with the session, tags are inherited too
+
     with ThreadPoolExecutor(max_workers=min(parallelism, len(tasks)), thread_name_prefix="batchwright-load") as pool:
-        futures = [pool.submit(t) for t in tasks]
+        futures = [pool.submit(pooled(name, task)) for name, task in tasks.items()]
     for f in futures:
         if f.exception() is not None:
             raise f.exception()
@@ -114,7 +135,7 @@ def run_batch(
 
     Dimension tables are independent of each other (one commit each), so up
     to ``parallelism`` of them load at once as concurrent Spark jobs on the
-    one session; the cluster's scheduler shares executors among them.
+    one session, each in a scheduler pool of its own.
     Appended facts load after every dimension has succeeded, one by one, so
     the fact's high-water mark still moves last.  If a dimension fails, its
     error is raised after the other running loads finish and no fact is
@@ -131,7 +152,7 @@ def run_batch(
     if check_records:
         for r in check_batch(spark, registry, entries, sep).collect():  # one row per table
             checked[r["table_name"]] = {"source_rows": r["rows"], "bad_records": r["bad_records"], "null_fields": r["null_fields"]}
-    results = _concurrently([lambda s=s: _load_table(spark, store, s, by_table[s.name], mode, sep) for s in dims], parallelism)
+    results = _concurrently(spark, {s.target: lambda s=s: _load_table(spark, store, s, by_table[s.name], mode, sep) for s in dims}, parallelism)
     if any(r.action == "missing_files" for r in results):
         # files may still arrive; the fact's mark must not pass this batch before
         results += [LoadResult(s.target, s.load, "waiting", by_table[s.name].batch_date) for s in facts]
@@ -187,7 +208,7 @@ def load_once(spark: SparkSession, store, registry: Iterable[TableSpec], base_di
         name = spec.file_name or f"{spec.name}.dat"
         return full_load(store, spec, read_named_file(spark, base_dir, name, spec.schema, sep=sep))
 
-    return _concurrently([lambda s=s: one(s) for s in registry], parallelism)
+    return _concurrently(spark, {s.target: lambda s=s: one(s) for s in registry}, parallelism)
 
 
 def bootstrap(spark: SparkSession, store, registry: Registry, base_dir: str, sep: str = "|") -> bool:
