@@ -240,26 +240,29 @@ def test_substring_odd_rows(odd, empty):
     assert [(r["start"], r["partner_id"], r["n_partners"]) for r in twice] == [(0, 8, 1)] * 2
 
 
-def test_chains_against_quadratic():
-    """The Fenwick chaining gives the scores of the plain quadratic one where no cut is needed."""
-    rng = random.Random(2)
-    for _ in range(40):
-        anchors = sorted({(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(rng.randint(1, 25))})
+def link_score(p, q):
+    ga, gb = q[0] - p[0], q[1] - p[1]
+    return min(8, ga, gb) - substring.SKEW_COST * abs(ga - gb) - substring.GAP_COST * min(ga, gb)
+
+
+@pytest.mark.parametrize("matches, span", [(25, 60), (25, 300), (120, 90), (300, 600), (300, 80)])
+def test_chains_against_quadratic(matches, span):
+    """The best chain scores what comparing every match with every other gives, gaps
+    beyond the limit and predecessors out of order included."""
+    rng = random.Random(matches + span)
+    for _ in range(40 if matches < 100 else 8):
+        anchors = sorted({(rng.randint(0, span), rng.randint(0, span)) for _ in range(rng.randint(1, matches))})
         best = {}
-        for a, b in anchors:
-            best[a, b] = 8.0
-            for (x, y), s in list(best.items()):
-                if x < a and y < b:
-                    ga, gb = a - x, b - y
-                    best[a, b] = max(best[a, b], s + min(8, ga, gb) - substring.SKEW_COST * abs(ga - gb) - substring.GAP_COST * min(ga, gb))
-        chain = substring.chains(anchors)[0]
-        points = [anchors[i] for i in chain]
-        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(points, points[1:]))
-        assert sorted(i for c in substring.chains(anchors) for i in c) == list(range(len(anchors)))
-        total = 8 + sum(
-            min(8, q[0] - p[0], q[1] - p[1]) - substring.SKEW_COST * abs((q[0] - p[0]) - (q[1] - p[1])) - substring.GAP_COST * min(q[0] - p[0], q[1] - p[1])
-            for p, q in zip(points, points[1:])
-        )
-        assert total <= max(best.values()) + 1e-9
+        for q in anchors:
+            linked = [s + link_score(p, q) for p, s in best.items() if p[0] < q[0] and p[1] < q[1] and min(q[0] - p[0], q[1] - p[1]) <= substring.GAP]
+            best[q] = max([8.0, *linked])
+        found = substring.chains(anchors)
+        points = [anchors[i] for i in found[0]]
+        assert all(p[0] < q[0] and p[1] < q[1] and min(q[0] - p[0], q[1] - p[1]) <= substring.GAP for p, q in zip(points, points[1:]))
+        assert 8 + sum(map(link_score, points, points[1:])) == pytest.approx(max(best.values()), abs=1e-9)
+        assert sorted(i for c in found for i in c) == list(range(len(anchors)))
+
+
+def test_chain_of_a_plain_run():
     run = [(i * 5, 100 + i * 5) for i in range(30)]
     assert substring.chains(run + [(3, 400), (300, 2)])[0] == list(range(30))
