@@ -6,7 +6,8 @@ shorter; other documents are one piece.  Full pieces fill a sequence alone.  The
 others are dealt by hash into shards of about ``SHARD`` pieces, packed
 best-fit decreasing, and improved by local search: documents are moved, or
 exchanged one for one or two for one (either way), from the emptiest bins into fuller ones,
-each time raising the sum of squared fills, until no exchange helps.  A shard can
+each time raising the sum of squared fills, until no exchange helps or the number of
+bins is the least that can hold all.  A shard can
 waste part of its own last bins only, about one bin in several thousand.
 
 Ids come from a byte-level BPE tokenizer file, read where its path points on each
@@ -22,6 +23,9 @@ any other and only its own ids are ever held together.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -36,7 +40,7 @@ CAPACITY = 1024
 END_ID = 2
 #: Pieces in a shard, on average.
 SHARD = 16384
-#: Bins emptied at a time by the local search.
+#: Bins that the local search tries to empty at a time.
 DONORS = 64
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
@@ -123,16 +127,50 @@ class Bins:
                 mask |= 1 << (free - size)
 
     def improve(self, donors: int = DONORS) -> None:
-        """Local search until no exchange raises the sum of squared fills."""
-        total = sum(self.fill)
+        """Local search until no exchange raises the sum of squared fills, or no bin can go.
+
+        Each bin exchanges with the ``donors`` emptiest ones first.  When that helps
+        nowhere, with the next blocks of emptier bins, as far as some emptier bin holds
+        what it can use; the search ends with a round in which none does."""
+        total, widely = sum(self.fill), False
         while True:
             live = [b for b, f in enumerate(self.fill) if 0 < f < self.capacity]
             if len([f for f in self.fill if f]) * self.capacity - total < self.capacity or len(live) < 2:
                 return  # no bin can go
             live.sort(key=lambda b: self.fill[b])
-            changed = [self._fill_up(live[k], live[: min(k, donors)]) for k in range(len(live) - 1, 0, -1)]
-            if not any(changed):
+            if widely:
+                changed = self._exchange_widely(live, donors)
+            else:
+                changed = any([self._fill_up(live[k], live[: min(k, donors)]) for k in range(len(live) - 1, 0, -1)])
+            if widely and not changed:
                 return
+            widely = not changed
+
+    def _exchange_widely(self, live: list[int], donors: int) -> bool:
+        """One round over ``live`` (emptiest first), each bin with block after block of those no fuller."""
+        offers, one, two = [(0, 0)], 0, 0  # bit masks: sizes of documents and of pairs in the bins before each
+        for b in live:
+            own, pairs = self._sizes(b)
+            one, two = reduce(or_, (1 << x for x in own), one), reduce(or_, (1 << x for x in pairs), two)
+            offers.append((one, two))
+        fills = [self.fill[b] for b in live]
+        changed = False
+        for k in range(len(live) - 1, -1, -1):
+            upto = bisect_right(fills, fills[k])
+            if self._useful(live[k], *offers[upto]):
+                changed |= any(self._fill_up(live[k], live[n : min(upto, n + donors)]) for n in range(0, upto, donors))
+        return changed
+
+    def _sizes(self, b: int) -> tuple[set[int], set[int]]:
+        """Sizes of a bin's documents, and of its pairs of documents."""
+        held = [x[0] for x in self.items[b]]
+        return set(held), {x + y for i, x in enumerate(held) for y in held[:i]}
+
+    def _useful(self, b: int, one: int, two: int) -> bool:
+        """Whether an exchange for one document, or for a pair, of these sizes could make bin ``b`` fuller."""
+        own, pairs = self._sizes(b)
+        gains = (1 << (self.capacity - self.fill[b])) - 1
+        return any(one >> (out + 1) & gains for out in {0} | own | pairs) or any(two >> (out + 1) & gains for out in own)
 
     def _fill_up(self, b: int, give: list[int]) -> bool:
         """Exchange with the emptier bins ``give`` while bin ``b`` gets fuller."""

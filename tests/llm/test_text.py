@@ -267,6 +267,20 @@ def test_local_search_improves():
     assert len(packing.pack([6, 5, 5, 4, 4, 3, 3, 3, 3], 12)) == 3
 
 
+@pytest.mark.parametrize("low, high", [(1, 1023), (200, 700), (300, 520), (500, 520), (700, 1000)])
+def test_local_search_ends_without_a_useful_exchange(low, high):
+    """At the end the bins are as few as can be, or no bin can take anything from any other,
+    however few bins are tried at a time."""
+    sizes = np.random.default_rng(low).integers(low, high, 300).tolist()
+    bins = packing.Bins(1024)
+    bins.best_fit(sizes)
+    bins.improve(donors=4)
+    live = [b for b, held in enumerate(bins.items) if held]
+    assert sorted(i for b in live for _, i in bins.items[b]) == list(range(300))
+    if len(live) > -(-sum(sizes) // 1024):
+        assert not any(bins.fill[b] < 1024 and bins._best(b, 1024 - bins.fill[b], [d]) for b in live for d in live)
+
+
 def test_packing_deals_repeated_rows(spark):
     """Equal rows and null ids spread over the shards like any others."""
     docs = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("one and the same text of some words").alias("text"))
