@@ -3,20 +3,26 @@
 Base: add-0.1 unigram over the words of the training documents and one end token
 a document.
 
-Model: log-bilinear over ``classes`` classes: the end token, the most frequent
-training words, and one class for all other words.  The score of a class after
-two previous ones is ``(c1*r1 + c2*r2) . q + b`` with learnt vectors.  Training is
-noise-contrastive estimation in numpy: each Spark task runs over its own training
-documents from common starting values, and their results are averaged, weighted
-by tokens.  Because the score adds up over the two context positions, one product
-of two ``classes x classes`` matrices gives the normaliser of every context, so
-token log-probabilities are exactly normalised.  A word of the "other" class
-takes that class's probability times its add-0.1 unigram share among such words.
+Model: log-bilinear over ``classes`` classes, in two steps.  The end token and the
+most frequent training words have a class each.  The other words of the ``head`` are
+cut, by falling count, into classes of about equal mass, so the more frequent a word,
+the fewer share its class; words beyond the head, unseen ones too, share classes by
+their CRC-32.  So every word has learnt vectors, as a target and as context.  The score
+of a class after two previous ones is ``(c1*r1 + c2*r2) . q + b``; a word takes its
+class's probability times its add-0.1 unigram share in the class (an unseen word is one
+more word of its class).  Training is noise-contrastive estimation in numpy, one pass
+over the training documents in ``ROUNDS`` rounds: in each, learners run over documents
+dealt by a hash of id and text from common starting values, and their results are
+averaged, weighted by tokens, to start the next one.  What a learner sees follows from
+the documents alone, not from the files they lie in.  Because the score adds up over the two context
+positions, one product of two ``classes x classes`` matrices gives the normaliser of
+every context, so token log-probabilities are exactly normalised.
 
 Scale: counts of training words are aggregated map-side and grow with the corpus.
 The ``head`` most frequent words' counts (a fixed number) go to the tasks; words
 beyond, which are rare by definition, are joined by word in a shuffle and summed
-per row.  Nothing else is gathered; the model's size is fixed.
+per row.  Of those, and of the model, only sums by class are gathered; the number of
+classes is fixed, so a class holds more words as the vocabulary grows.
 
 Defined results: null and empty texts are the end token alone; without a training
 document the base is the uniform value of its formula and the model knows only its
@@ -29,6 +35,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -48,8 +55,13 @@ FOLDS = 10
 FLUSH = 1_000_000
 BATCH = 4096
 NOISE = 32
+#: Rounds of training, each on a part of the documents from the averaged values of the last.
+ROUNDS = 4
+#: Tokens that a learner sees in a round, on average, and the most learners (beyond, each sees more).
+SHARE = 1_000_000
+LEARNERS = 8192
 RATE = 0.05
-OTHER, END = 0, 1
+END = 0
 END_WORD = ""  # no word is empty
 
 COUNTS = row_type("word string, c long")
@@ -79,8 +91,9 @@ def _counted(seen: Counter) -> pd.DataFrame:
     return pd.DataFrame({"word": [w.decode("utf-8") for w in seen], "c": list(seen.values())})
 
 
-def most_frequent(vocab: DataFrame, head: int) -> pd.DataFrame:
-    """At most ``head`` words, none less frequent than one left out, the most frequent first.
+def most_frequent(vocab: DataFrame, head: int) -> tuple[pd.DataFrame, DataFrame]:
+    """At most ``head`` words, none less frequent than one left out, the most frequent first; and
+    all those left out.
 
     The least count that fits is read off a histogram of at most a thousand steps
     of counts, so nothing is sorted and no more than the result reaches the driver."""
@@ -92,8 +105,9 @@ def most_frequent(vocab: DataFrame, head: int) -> pd.DataFrame:
         if taken > head:
             break
         least = s["step"]
-    top = vocab.where(step >= least if least is not None else F.lit(False)).toPandas()
-    return top.sort_values(["c", "word"], ascending=[False, True])
+    taken = step >= least if least is not None else F.lit(False)
+    top = vocab.where(taken).toPandas()
+    return top.sort_values(["c", "word"], ascending=[False, True]), vocab.where(~taken)
 
 
 class Params:
@@ -113,26 +127,56 @@ class Params:
 
 
 class Words:
-    """The most frequent words: an index for each, the end token first, and counts.
+    """The most frequent words: an index for each, the end token first, and counts; and
+    the class of every word.
 
-    The first ``leading`` words are classes of their own, in the same order."""
+    Class 0 is the end token's, the next ones belong to the first ``leading`` words; then
+    come classes of about equal mass of the other words here, and last, from ``rest`` on,
+    ``hashed`` classes of the words that are not here."""
 
     def __init__(self, words: list[bytes], counts: list[int], end: int, classes: int):
         self.index = {b"": 0} | {w: i + 1 for i, w in enumerate(words)}
         self.counts = np.array([end, *counts], np.float64)
-        self.leading = min(len(words), classes - 2)
+        self.hashed = max(1, classes // 8)
+        room = classes - 1 - self.hashed
+        self.leading = len(words) if len(words) <= room else room * 4 // 7
+        self.of = np.arange(len(words) + 1)
+        shared = self.counts[self.leading + 1 :] + 0.1
+        if len(shared):
+            before = (np.cumsum(shared) - shared) / shared.sum()
+            _, at = np.unique((before * (room - self.leading)).astype(np.int64), return_inverse=True)
+            self.of[self.leading + 1 :] = self.leading + 1 + at
+        self.rest = int(self.of.max()) + 1
+        self.size = self.rest + self.hashed
+        self.beyond([], [], [])
+
+    def beyond(self, which: list[int], counts: list[int], words: list[int]) -> None:
+        """Takes the sum of counts and the number of training words of each of the hashed classes."""
+        mass, n = np.bincount(self.of, self.counts, self.size), np.bincount(self.of, minlength=self.size) * 1.0
+        at = self.rest + np.asarray(which, np.int64)
+        mass[at], n[at] = counts, words
+        n[self.rest :] += 1  # any unseen word
+        self.mass, divisor = mass, np.log10(mass + 0.1 * n)
+        self.shares = np.log10(self.counts + 0.1) - divisor[self.of]
+        self.divisors = divisor[self.rest :]
+
+    def unigram(self) -> np.ndarray:
+        weight = self.mass + 0.1
+        return weight / weight.sum()
 
     def find(self, words: list[bytes]) -> np.ndarray:
-        """Index of each word (-1: not here), then that of the end token."""
+        """Index of each word (not here: -1 less its hashed class), then that of the end token."""
         get, out = self.index.get, np.zeros(len(words) + 1, np.int64)
         if words:
             out[:-1] = [get(w, -1) for w in words]
+            for i in np.flatnonzero(out < 0).tolist():
+                out[i] = -1 - zlib.crc32(words[i]) % self.hashed
         return out
 
     def classes(self, at: np.ndarray) -> np.ndarray:
         """Two end tokens, then the class of each index."""
         out = np.full(len(at) + 2, END, np.int64)
-        out[2:] = np.where((at >= 0) & (at <= self.leading), at + 1, OTHER)
+        out[2:] = np.where(at >= 0, self.of[np.maximum(at, 0)], self.rest - 1 - at)
         return out
 
 
@@ -194,23 +238,25 @@ def contexts(texts, known: Words, batch: int = BATCH):
         yield tuple(np.concatenate(part) for part in zip(*held))
 
 
-def train(docs: DataFrame, known: Words, unigram: np.ndarray, dim: int = DIM) -> np.ndarray:
-    """Averaged parameters after one pass over ``docs`` (``text``) in every task."""
-    start = Params.start(unigram, dim)
-
-    def run(batches):
-        texts = (t for pdf in batches for t in pdf["text"])
-        matrix, seen = train_batches(contexts(texts, known), start, unigram, dim, 11)
-        if seen:
-            yield pd.DataFrame({"row": np.arange(len(matrix), dtype=np.int32), "tokens": float(seen), "v": list(matrix)})
-
-    told = docs.select("text").mapInPandas(run, PARAMS)
-    mean = told.select("row", "tokens", F.posexplode("v").alias("k", "x")).groupBy("row", "k").agg((F.sum(F.col("x") * F.col("tokens")) / F.sum("tokens")).alias("x"))
-    got = mean.toPandas()  # the size of the model
-    if got.empty:
-        return start
-    out = start.copy()
-    out[got["row"], got["k"]] = got["x"]
+def train(docs: DataFrame, known: Words, unigram: np.ndarray, tokens: int, dim: int = DIM, rounds: int = ROUNDS, share: int = SHARE) -> np.ndarray:
+    """Parameters after one pass over ``docs`` (``doc_id, text``), a part of them in each round."""
+    out, h = Params.start(unigram, dim), F.xxhash64("doc_id", "text")
+    learners = min(max(1, -(-tokens // (rounds * share))), LEARNERS)
+    for n in range(rounds):
+
+        def run(batches, start=out, seed=11 + n):
+            texts = (t for pdf in batches for t in pdf["text"])
+            matrix, seen = train_batches(contexts(texts, known), start, unigram, dim, seed)
+            if seen:
+                yield pd.DataFrame({"row": np.arange(len(matrix), dtype=np.int32), "tokens": float(seen), "v": list(matrix)})
+
+        part = docs.select("text", h.alias("h")).where(F.pmod("h", F.lit(rounds)) == n)
+        told = part.repartition(learners, "h").sortWithinPartitions("h").select("text").mapInPandas(run, PARAMS)
+        mean = told.select("row", "tokens", F.posexplode("v").alias("k", "x")).groupBy("row", "k").agg((F.sum(F.col("x") * F.col("tokens")) / F.sum("tokens")).alias("x"))
+        got = mean.toPandas()  # the size of the model
+        if not got.empty:
+            out = out.copy()
+            out[got["row"], got["k"]] = got["x"]
     return out
 
 
@@ -225,7 +271,7 @@ def tables(matrix: np.ndarray, dim: int = DIM) -> tuple[np.ndarray, np.ndarray,
 
 
 SCORED = T.StructType(
-    [*row_type("n_tokens long, n_known long, n_other long, base double, score double").fields,
+    [*row_type("n_tokens long, n_known long, base double, score double").fields,
      T.StructField("rare", T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.IntegerType())])))]
 )
 
@@ -233,8 +279,8 @@ SCORED = T.StructType(
 def score_texts(texts, known: Words, matrix: np.ndarray, dim: int):
     """Rows of SCORED: sums over the tokens that are in ``known``, and the words that are not.
 
-    ``base``: sum of log10(c + 0.1); ``score``: the model's sum with the same sum
-    over the words of the "other" class, whose common divisor is left out."""
+    ``base``: sum of log10(c + 0.1); ``score``: the model's sum, without the same sum
+    over the words that are not."""
     key = hashlib.sha256(matrix.tobytes()).digest()
     if key not in _TABLES:
         _TABLES.clear()
@@ -249,8 +295,8 @@ def score_texts(texts, known: Words, matrix: np.ndarray, dim: int):
         here = at[at >= 0]
         rare = Counter(words[i] for i in np.flatnonzero(at < 0).tolist())
         score = float(a[w1, w].sum(dtype=np.float64) + b[w2, w].sum(dtype=np.float64) - z[w1, w2].sum(dtype=np.float64))
-        score += float(logs[here[here > known.leading]].sum())
-        yield len(at), int((known.counts[here] > 0).sum()), int((w == OTHER).sum()), float(logs[here].sum()), score, [(r.decode("utf-8"), n) for r, n in rare.items()]
+        score += float(known.shares[here].sum()) - float(known.divisors[-1 - at[at < 0]].sum())
+        yield len(at), int((known.counts[here] > 0).sum()), float(logs[here].sum()), score, [(r.decode("utf-8"), n) for r, n in rare.items()]
 
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = FOLDS, classes: int = CLASSES, dim: int = DIM, head: int = HEAD) -> DataFrame:
@@ -259,21 +305,19 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
         raise ValueError("classes must be more than 2 and at most head")
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == 0, F.lit(True))
     base = doc_columns(docs, id_col, text_col)
-    learn = base.where(~out).select("text")
-    vocab = staged(learn.mapInPandas(count_words, COUNTS).groupBy("word").agg(F.sum("c").alias("c")), "lm-words")
+    learn = base.where(~out)
+    vocab = staged(learn.select("text").mapInPandas(count_words, COUNTS).groupBy("word").agg(F.sum("c").alias("c")), "lm-words")
     total, distinct = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = most_frequent(vocab, head)
+    top, left = most_frequent(vocab, head)
     end = int(top.loc[top["word"] == END_WORD, "c"].sum())
     if not end:  # only when the head is smaller than the number of words more frequent than documents
         end = int(vocab.where(F.col("word") == END_WORD).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0])
     top = top[top["word"] != END_WORD]
     known = Words([w.encode("utf-8") for w in top["word"]], top["c"].tolist(), end, classes)
-    apart = known.counts[: known.leading + 1]
-    weight = np.concatenate([[total - apart.sum()], apart]) + 0.1
-    unigram = weight / weight.sum()
-    matrix = train(learn, known, unigram, dim)
-    others = distinct - known.leading - (end > 0)
-    per_other = math.log10(total - apart.sum() + 0.1 * (others + 1))
+    hashed = (F.crc32(F.col("word").cast("binary")) % known.hashed).alias("at")
+    sums = left.where(F.col("word") != END_WORD).groupBy(hashed).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("n")).toPandas()  # a row a class
+    known.beyond(sums["at"], sums["c"], sums["n"])
+    matrix = train(learn, known, known.unigram(), int(total), dim)
     per_token = math.log10(total + 0.1 * (distinct + 1))
 
     @pandas_udf(SCORED)
@@ -290,5 +334,5 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     return done.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.col("more")).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
         (F.col("base") + F.col("sum") - F.col("n_tokens") * per_token).alias("base_score"),
-        (F.col("score") + F.col("sum") - F.col("n_other") * per_other).alias("score"),
+        (F.col("score") + F.col("sum")).alias("score"),
     )

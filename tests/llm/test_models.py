@@ -61,19 +61,67 @@ def test_model_is_normalised():
         assert (10 ** (a[w1].astype(float) + b[w2] - z[w1, w2])).sum() == pytest.approx(1, abs=1e-4)
 
 
+def words_of(n, classes):
+    known = lm.Words([f"w{i}".encode() for i in range(n)], [10_000 // (i + 1) for i in range(n)], 500, classes)
+    left = [0, 0, 1] if known.hashed > 1 else [0, 0, 0]
+    known.beyond(sorted(set(left)), [left.count(x) * 7 for x in sorted(set(left))], [left.count(x) for x in sorted(set(left))])
+    return known
+
+
+@pytest.mark.parametrize("n, classes", [(3, 5), (200, 40), (2000, 40), (30, 3)])
+def test_each_word_has_a_class_and_a_share(n, classes):
+    """The shares of a class's words, with one unseen word in each hashed class, add up to
+    one; more frequent words share with fewer; the classes are as many as asked for at most."""
+    known = words_of(n, classes)
+    assert known.size <= classes and len(known.of) == n + 1 and (np.diff(known.of) >= 0).all()
+    totals = np.bincount(known.of, 10 ** known.shares, known.size)
+    rest = 10**-known.divisors * (known.mass[known.rest :] + 0.1 * (np.round((10**known.divisors - known.mass[known.rest :]) / 0.1)))
+    assert np.concatenate([totals[: known.rest], rest]) == pytest.approx(1)
+    assert known.unigram().sum() == pytest.approx(1) and known.mass.sum() == pytest.approx(known.counts.sum() + 21)
+    sizes = np.bincount(known.of)[known.leading + 1 :]
+    if len(sizes) > 2:
+        assert sizes[0] < sizes[-1]
+
+
+def test_scores_against_plain_sums(documents):
+    """Each token's probability taken by itself: softmax over the classes, then the share of the word."""
+    known = words_of(200, 40)
+    rng = np.random.default_rng(3)
+    matrix = lm.Params.start(known.unigram(), 4) + rng.normal(0, 0.3, (known.size + 1, 9))
+    p = lm.Params(matrix, 4)
+    texts = ["w0 w3 W199 unseen w0", "", "other words only", "w5 " * 30]
+    for text, got in zip(texts, lm.score_texts(texts, known, matrix, 4)):
+        total, rare, before = 0.0, Counter(), [0, 0]
+        for word in tokens(text):
+            at = known.index.get(word.encode())
+            cls = known.of[at] if at is not None else known.rest + zlib.crc32(word.encode()) % known.hashed
+            logits = (p.c[0] * p.r[before[1]] + p.c[1] * p.r[before[0]]) @ p.q.T + p.b
+            total += (logits[cls] - np.log(np.exp(logits).sum())) / np.log(10)
+            total += known.shares[at] if at is not None else -known.divisors[cls - known.rest]
+            rare[word] += at is None
+            before = [before[1], cls]
+        assert got[3] == pytest.approx(total, abs=1e-3)
+        assert dict(got[4]) == {w: n for w, n in rare.items() if n}
+
+
 def test_training_learns_a_pattern():
     """On a sequence where each word fixes the next one the model beats its own unigram."""
     known = lm.Words([b"a", b"b", b"c"], [300, 300, 300], 100, 5)
     texts = ["a b c " * 30] * 400
-    p = np.array([0.1, 400, 12000, 12000, 12000])
+    p = np.array([400, 12000, 12000, 12000, 0.1])
     p /= p.sum()
     start = lm.Params.start(p, 8)
     matrix, seen = lm.train_batches(lm.contexts(texts, known), start, p, 8, 1)
     assert seen == 400 * 91
-    before, after = (next(lm.score_texts(["a b c a b c"], known, m, 8))[4] for m in (start, matrix))
+    before, after = (next(lm.score_texts(["a b c a b c"], known, m, 8))[3] for m in (start, matrix))
     assert after > before + 1
 
 
+def test_scores_do_not_depend_on_the_file_layout(documents):
+    one, many = ({r["doc_id"]: r["score"] for r in lm.lm_scores(documents.repartition(n), classes=64, dim=4).collect()} for n in (1, 24))
+    assert one == pytest.approx(many, abs=1e-6) and len(one) == documents.count()
+
+
 def test_scores_beat_base_on_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     r = lm.lm_scores(docs, classes=512).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
