@@ -65,7 +65,8 @@ END = 0
 END_WORD = ""  # no word is empty
 
 COUNTS = row_type("word string, c long")
-PARAMS = T.StructType([T.StructField("row", T.IntegerType()), T.StructField("tokens", T.DoubleType()), T.StructField("v", T.ArrayType(T.DoubleType()))])
+PARAMS = T.StructType([T.StructField("row", T.IntegerType()), T.StructField("tokens", T.DoubleType()), T.StructField("v", T.ArrayType(T.FloatType()))])
+SUMS = T.StructType([*PARAMS.fields[:2], T.StructField("v", T.ArrayType(T.DoubleType()))])
 
 _TABLES: dict[bytes, tuple] = {}
 
@@ -238,8 +239,28 @@ def contexts(texts, known: Words, batch: int = BATCH):
         yield tuple(np.concatenate(part) for part in zip(*held))
 
 
+def add_up(batches):
+    """Each row's steps times tokens, and tokens, summed; no more is held than the model's size."""
+    sums: dict[int, np.ndarray] = {}
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        weight = pdf["tokens"].to_numpy()[:, None]
+        rows, at = np.unique(pdf["row"].to_numpy(), return_inverse=True)
+        v = np.hstack([np.stack(pdf["v"].to_numpy()).astype(np.float64) * weight, weight])
+        added = np.zeros((len(rows), v.shape[1]))
+        np.add.at(added, at, v)
+        for row, x in zip(rows.tolist(), added):
+            sums[row] = sums[row] + x if row in sums else x
+    if sums:
+        yield pd.DataFrame({"row": list(sums), "tokens": [x[-1] for x in sums.values()], "v": [x[:-1] for x in sums.values()]})
+
+
 def train(docs: DataFrame, known: Words, unigram: np.ndarray, tokens: int, dim: int = DIM, rounds: int = ROUNDS, share: int = SHARE) -> np.ndarray:
-    """Parameters after one pass over ``docs`` (``doc_id, text``), a part of them in each round."""
+    """Parameters after one pass over ``docs`` (``doc_id, text``), a part of them in each round.
+
+    A learner tells the steps of the rows that it moved; their mean over all tokens is
+    the step of the round."""
     out, h = Params.start(unigram, dim), F.xxhash64("doc_id", "text")
     learners = min(max(1, -(-tokens // (rounds * share))), LEARNERS)
     for n in range(rounds):
@@ -248,15 +269,19 @@ def train(docs: DataFrame, known: Words, unigram: np.ndarray, tokens: int, dim:
             texts = (t for pdf in batches for t in pdf["text"])
             matrix, seen = train_batches(contexts(texts, known), start, unigram, dim, seed)
             if seen:
-                yield pd.DataFrame({"row": np.arange(len(matrix), dtype=np.int32), "tokens": float(seen), "v": list(matrix)})
+                steps = (matrix - start).astype(np.float32)
+                steps[-1, 2 * dim] = 1  # a place without a parameter: this row comes from every learner
+                moved = np.flatnonzero(steps.any(1))
+                yield pd.DataFrame({"row": moved.astype(np.int32), "tokens": float(seen), "v": list(steps[moved])})
 
         part = docs.select("text", h.alias("h")).where(F.pmod("h", F.lit(rounds)) == n)
         told = part.repartition(learners, "h").sortWithinPartitions("h").select("text").mapInPandas(run, PARAMS)
-        mean = told.select("row", "tokens", F.posexplode("v").alias("k", "x")).groupBy("row", "k").agg((F.sum(F.col("x") * F.col("tokens")) / F.sum("tokens")).alias("x"))
-        got = mean.toPandas()  # the size of the model
+        got = told.repartition("row").mapInPandas(add_up, SUMS).toPandas()  # a row a class
         if not got.empty:
-            out = out.copy()
-            out[got["row"], got["k"]] = got["x"]
+            steps = np.zeros_like(out)
+            steps[got["row"]] = np.stack(got["v"]) / got["tokens"].max()  # the tokens of all learners
+            steps[-1, 2 * dim] = 0
+            out = out + steps
     return out
 
 
