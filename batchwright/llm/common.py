@@ -45,15 +45,26 @@ def ship(spark: SparkSession) -> None:
     spark._batchwright_shipped = True
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back.
 
     Cuts the lineage: whoever reads the result after an executor is lost reads
-    the files again instead of computing the rows again.
+    the files again instead of computing the rows again.  So the shuffle files of the
+    write are of no more use, and Spark is told to delete them when it ends, not when
+    the driver happens to collect garbage.
     """
-    path = f"{scratch_dir(df.sparkSession, label)}/rows"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{scratch_dir(spark, label)}/rows"
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def words_of(text: str | None) -> list[bytes]:
