@@ -2,23 +2,29 @@
 
 Method: every text gives k-mer seeds (hashes of ``k`` successive words, A-Z
 lower-cased), thinned by winnowing: of each ``window`` successive k-mers the least
-hash is kept, so any run of ``window + k - 1`` equal words has a seed in common.  A
-seed in two or more documents joins each of its occurrences to two
-representatives, the occurrences in the first and in the last row that hold it.
-Ordered matches of a pair of texts are chained with gap costs, Fenwick trees over
+hash is kept, so any run of ``window + k - 1`` equal words has a seed in common.  Two
+texts that hold a seed are put together (see :func:`matched_pairs`): all pairs of a
+seed that occurs up to ``CAP`` times, for others all pairs that also share words next
+to it.  Ordered matches of a pair of texts are chained with gap costs, Fenwick trees over
 the diagonals giving the best predecessor; chains are aligned word by word on the
 texts around them, and kept where at least ``least`` words match and make a share
 of ``identity`` of the passage on either side.
 
-A seed in n rows makes at most 2n matches, so a passage that thousands of documents
-hold costs no square, and each document that holds it is still aligned with others
-that do.  Where the representatives of all its seeds may hold less of a run of
-``least`` words than two other texts share, the run itself is a key: each of its
-occurrences is joined to the first (or the last) row that holds the whole run.  So
-every run of ``least`` equal words that two texts share lies in a passage of both.
-Equal texts are one class: only its first row is aligned.  What a pair of rows
-shares only piecewise with their representatives (each run shorter than ``least``)
-is not put together.
+A seed of more than ``CAP`` occurrences (a common sentence, a large family of near
+copies) makes no pairs by itself: its passages of ``least`` words are one run of equal
+words, or go on beyond a difference.  So each such occurrence has further keys:
+
+* the runs of ``least`` equal words around it, each joined to the first (or the last)
+  text that holds it, which holds all of it;
+* the seed along with each k-mer near it.  Texts that share such a key are all put
+  together where it occurs up to ``CAP`` times too; else with the first and the last one
+  that hold it.  Where the latter leave the words of a key outside all passages, it
+  meets every text that shares it, in a second pass.
+
+So every passage lies in passages of the result; only among more than ``CAP`` texts that
+share both a seed and all that is near it, and whose passages are found already, some
+pairs are not put together, and not counted in ``n_partners``.  Equal texts are one
+class: only its first row is aligned.
 
 Result: one row for each maximal passage of a document (overlapping ones united):
 ``doc_id, start, end`` (code points), ``n_words`` (of the longest alignment in it),
@@ -63,10 +69,15 @@ GAP_COST = 0.05
 REACH = 320
 #: Most words between neighbouring matches of a chain.
 GAP = 60
+#: Most occurrences of a key that are all paired.
+CAP = 32
 
 #: Hash and word position of a seed or run, and the code points ``begin`` to ``stop`` that an alignment around it sees.
 KEYS = T.ArrayType(row_type("h long, pos int, begin int, stop int"))
 SEEDS = T.StructType([T.StructField("n_words", T.IntegerType()), T.StructField("n_chars", T.LongType()), T.StructField("seeds", KEYS)])
+#: Hash of a seed with a k-mer near it, word positions of both, and the code points from the first to the end of the last.
+NEAR = T.ArrayType(row_type("h long, pos int, at int, start int, end int"))
+SHARED = T.StructType([T.StructField("runs", KEYS), T.StructField("near", NEAR)])
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -85,11 +96,11 @@ def keys(text: str, h: np.ndarray, pos: np.ndarray, size: int, reach: int) -> li
     return [h, pos, starts[np.maximum(pos - reach, 0)], ends[np.minimum(pos + size + reach, len(ends)) - 1]]
 
 
-def key_lists(rows: list[list[np.ndarray]]) -> pa.ListArray:
-    """:data:`KEYS` of a batch of texts."""
+def key_lists(rows: list[list[np.ndarray]], names: list[str] = KEYS.elementType.names) -> pa.ListArray:
+    """:data:`KEYS` or :data:`NEAR` of a batch of texts."""
     offsets = np.cumsum([0, *(len(r[0]) for r in rows)]).astype(np.int32)
-    fields = [np.concatenate([r[c] for r in rows]).astype(np.int32 if c else np.int64) for c in range(4)] if rows else [np.zeros(0, t) for t in (np.int64, *[np.int32] * 3)]
-    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(f) for f in fields], ["h", "pos", "begin", "stop"]))
+    fields = [np.concatenate([r[c] for r in rows]).astype(np.int32 if c else np.int64) for c in range(len(names))] if rows else [np.zeros(0, np.int32 if c else np.int64) for c in range(len(names))]
+    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(f) for f in fields], names))
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -152,7 +163,7 @@ def shared_runs(words: list[bytes], common: np.ndarray, k: int, least: int) -> t
     """Hashes and word positions of the runs of ``least`` words whose least k-mer hash is in ``common``.
 
     The least k-mer of a run is kept by :func:`winnow` in every text that holds the
-    run; where it occurs only twice at all, its match already joins both texts."""
+    run; where it occurs up to ``CAP`` times, its match already joins both texts."""
     each = word_hashes(words)
     h, runs = grams(each, k), grams(each, least)
     if not len(runs):
@@ -161,15 +172,42 @@ def shared_runs(words: list[bytes], common: np.ndarray, k: int, least: int) -> t
     return runs[pos].view(np.int64), pos
 
 
-def runs_udf(k: int, least: int, reach: int):
-    @arrow_udf(KEYS)
+def near_keys(words: list[bytes], common: np.ndarray, k: int, window: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each seed in ``common`` along with the k-mers near it: hashes, word positions of the seed and of the k-mer.
+
+    Near are all k-mers that an alignment can reach from the last seed of a run, or that
+    make ``least`` words with the seed; and the seeds that a chain can link with it.  A
+    text that repeats itself gives each key once, where it comes first."""
+    h, (seeds, kept) = grams(word_hashes(words), k), winnow(words, k, window)
+    mine = kept[np.isin(seeds.view(np.uint64), common)]
+    by, wide = least + GAP // 4 + 1, least + GAP + k
+    steps = np.array([d for d in range(-by, by + 1) if abs(d) >= k])
+    pos, at = np.repeat(mine, len(steps)), (mine[:, None] + steps).ravel()
+    low, high = np.searchsorted(kept, mine - wide), np.searchsorted(kept, mine + wide, "right")
+    linked = [(p, q) for p, i, j in zip(mine.tolist(), low, high) for q in kept[i:j].tolist() if abs(q - p) > by]
+    far = np.array(linked, np.int64).reshape(-1, 2)
+    pos, at = np.concatenate([pos, far[:, 0]]), np.concatenate([at, far[:, 1]])
+    inside = (at >= 0) & (at < len(h))
+    pos, at = pos[inside], at[inside]
+    key = (h[pos] * _MULT) ^ (h[at] + (at > pos).astype(np.uint64))
+    key = (key ^ (key >> np.uint64(29))) * _MULT
+    _, once = np.unique(key, return_index=True)
+    return key[once].view(np.int64), pos[once], at[once]
+
+
+def shared_udf(k: int, window: int, least: int, reach: int):
+    """Runs and near k-mers of a text around its ``common`` seeds."""
+
+    @arrow_udf(SHARED)
     def run(texts: pa.Array, common: pa.Array) -> pa.Array:
-        out = []
+        runs, near = [], []
         for text, seeds in zip(texts.to_pylist(), common):
-            seeds = np.asarray(seeds.values, dtype=np.int64).view(np.uint64)
-            h, pos = shared_runs(text.encode("utf-8").lower().split(), seeds, k, least)
-            out.append(keys(text, h, pos, k, reach))
-        return key_lists(out)
+            words, seeds = text.encode("utf-8").lower().split(), np.asarray(seeds.values, dtype=np.int64).view(np.uint64)
+            runs.append(keys(text, *shared_runs(words, seeds, k, least), k, reach))
+            h, pos, at = near_keys(words, seeds, k, window, least)
+            starts, ends = spots(text)
+            near.append([h, pos, at, starts[np.minimum(pos, at)], ends[np.maximum(pos, at) + k - 1]])
+        return pa.StructArray.from_arrays([key_lists(runs), key_lists(near, NEAR.elementType.names)], SHARED.names)
 
     return run
 
@@ -453,40 +491,77 @@ def align_udf(k: int, least: int, identity: float, reach: int, gap: int = GAP):
     return run
 
 
+OCCURRENCE = ["row", "pos", "begin", "stop"]
+
+
 def ends_of(each: DataFrame) -> DataFrame:
     """The first and the last occurrence of each key ``h`` that two rows hold."""
-    at = F.struct("row", "pos", "begin", "stop")
+    at = F.struct(*OCCURRENCE)
     return each.groupBy("h").agg(F.min(at).alias("lo"), F.max(at).alias("hi"), F.count(F.lit(1)).alias("n")).where("lo.row < hi.row")
 
 
-def matched_pairs(rows: DataFrame, member: DataFrame, texts: DataFrame, k: int, least: int, reach: int) -> DataFrame:
-    """``(a, b, matches)`` of class rows: the seeds and runs that one shares with the other as its representative.
+def all_pairs(each: DataFrame, others: DataFrame) -> DataFrame:
+    """``x, y``: occurrences of one key ``h`` in two rows."""
+    one = lambda df, c: df.select("h", F.struct(*OCCURRENCE).alias(c))
+    return one(each, "x").join(one(others, "y"), "h").where("x.row <> y.row").select("x", "y")
+
+
+def with_ends(held: DataFrame) -> DataFrame:
+    """``x, y``: occurrences with the first and the last one of their key."""
+    return held.select(F.struct(*OCCURRENCE).alias("x"), F.explode(F.array("lo", "hi")).alias("y")).where("x.row <> y.row")
+
+
+def matches_of(met: DataFrame) -> DataFrame:
+    """``a, b, matches`` of pairs of rows from occurrences ``x`` and ``y`` in either order."""
+    swapped = F.expr("x.row > y.row")
+    met = met.select(F.when(swapped, F.col("y")).otherwise(F.col("x")).alias("x"), F.when(swapped, F.col("x")).otherwise(F.col("y")).alias("y"))
+    m = F.struct(*[F.col(f"{side}.{c}").alias(n) for side, to in (("x", "a"), ("y", "b")) for c, n in (("pos", f"p{to}"), ("begin", f"begin_{to}"), ("stop", f"stop_{to}"))])
+    return met.select(F.col("x.row").alias("a"), F.col("y.row").alias("b"), m.alias("m")).groupBy("a", "b").agg(F.collect_set("m").alias("matches"))
+
+
+def matched_pairs(rows: DataFrame, member: DataFrame, texts: DataFrame, k: int, window: int, least: int, reach: int, cap: int = CAP) -> tuple[DataFrame, DataFrame]:
+    """``(a, b, matches)`` of the first rows of equal texts that share seeds, and the ``wide`` keys of :func:`left_pairs`.
 
     ``rows``: ``row`` and ``seeds``; ``member``: ``row`` and ``first``, the first row of an equal text."""
-    each = rows.select("row", F.explode("seeds").alias("s")).select("row", "s.*")
+    firsts = member.where("row = first")
+    each = rows.join(firsts.select("row"), "row", "left_semi").select("row", F.explode("seeds").alias("s")).select("row", "s.*")
     # staged, so that the join shuffles plain rows on both sides and splits a seed that very many rows hold
-    held = staged(each.join(staged(ends_of(each), "substring-ends").hint("merge"), "h"), "substring-held")
-    common = held.where("n > 2").groupBy("row").agg(F.collect_set("h").alias("common"))
-    common = common.join(member.where("row = first").select("row", "digest", F.col("least_id").alias("id")), "row")
+    ends = staged(ends_of(each), "substring-ends")
+    twice = ends.where("n = 2").select(F.col("lo").alias("x"), F.col("hi").alias("y"))
+    held = staged(each.join(ends.where("n > 2").hint("merge"), "h"), "substring-held")
+    few, many = held.where(F.col("n") <= cap), held.where(F.col("n") > cap)
+    found = twice.unionByName(all_pairs(few, few).where("x.row < y.row"))
+    # where a text repeats itself, the keys below stand for the first place; the others meet the ends of the seed
+    later = many.withColumn("before", F.min("pos").over(Window.partitionBy("row", "h"))).where("pos > before").drop("before")
+    found = found.unionByName(with_ends(later))
+    common = many.groupBy("row").agg(F.collect_set("h").alias("common"))
+    common = common.join(firsts.select("row", "digest", F.col("least_id").alias("id")), "row")
     met = common.join(texts, (common["digest"] == texts["own"]) & common["id"].eqNullSafe(texts["doc_id"]))
-    runs = staged(met.select("row", F.explode(runs_udf(k, least, reach)("text", "common")).alias("s")).select("row", "s.*"), "substring-runs")
-    here = ["row", "pos", "begin", "stop"]
-    whole = runs.join(staged(ends_of(runs), "substring-run-ends").hint("merge"), "h").select(*here, F.when(F.expr("row = lo.row"), F.col("hi")).otherwise(F.col("lo")).alias("r"))
-    found = held.select(*here, F.explode(F.array("lo", "hi")).alias("r")).where("row <> r.row").unionByName(whole)
-    # both ways round a pair is one; only what the first row of an equal text holds counts (`mine`)
-    swapped = F.expr("row < r.row")
-    mine = F.struct(*here)
-    x, y = F.when(swapped, mine).otherwise(F.col("r")), F.when(swapped, F.col("r")).otherwise(mine)
-    found = found.select(x.alias("x"), y.alias("y"), swapped.alias("in_x")).select(
-        F.col("x.row").alias("a"), F.col("y.row").alias("b"),
-        F.struct(*[F.col(f"{side}.{c}").alias(n) for side, to in (("x", "a"), ("y", "b")) for c, n in (("pos", f"p{to}"), ("begin", f"begin_{to}"), ("stop", f"stop_{to}"))], "in_x").alias("m"),
-    )
-    pairs = found.groupBy("a", "b").agg(F.collect_set("m").alias("matches"))
-    firsts = member.select("row", "first")
-    known = pairs.join(firsts.select(F.col("row").alias("b"), F.col("first").alias("fb")), "b")
-    known = known.join(firsts.select(F.col("row").alias("a"), F.col("first").alias("fa")), "a").where("fa <> fb")
-    known = known.withColumn("matches", F.expr("filter(matches, m -> if(m.in_x, a = fa, b = fb))")).where("size(matches) > 0")
-    return known.select(F.col("fa").alias("a"), F.col("fb").alias("b"), "matches")
+    shared = staged(met.select("row", shared_udf(k, window, least, reach)("text", "common").alias("s")).select("row", "s.*"), "substring-shared")
+    runs = shared.select("row", F.explode("runs").alias("s")).select("row", "s.*")
+    whole = with_ends(runs.join(staged(ends_of(runs), "substring-run-ends").hint("merge"), "h"))
+    near = shared.select("row", F.explode("near").alias("s")).select("row", "s.*")
+    sizes = near.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("low"), F.max("row").alias("high")).where("low < high").select("h", "n")
+    # at its place in the text a key has the context of its seed
+    near = near.join(staged(sizes, "substring-near-sizes").hint("merge"), "h").join(many.select(*OCCURRENCE).distinct(), ["row", "pos"])
+    near = staged(near, "substring-near")
+    rare = near.where(F.col("n") <= cap)
+    wide = near.where(F.col("n") > cap)
+    # texts that share no more than fewer than `least` words with more than `cap` others need a rare key
+    first, last = F.least("pos", "at"), F.greatest("pos", "at")
+    spans = wide.groupBy("row", "pos").agg(F.min(first).alias("i"), F.max(last).alias("j"))
+    wide = staged(wide.join(spans.where(F.col("j") + k - F.col("i") >= least).select("row", "pos"), ["row", "pos"]), "substring-wide")
+    found = found.unionByName(whole).unionByName(all_pairs(rare, rare).where("x.row < y.row"))
+    long = wide.where(F.abs(F.col("at") - F.col("pos")) + k >= least)  # ends that may hold a passage
+    found = found.unionByName(with_ends(long.join(staged(ends_of(long), "substring-wide-ends").hint("merge"), "h")))
+    return matches_of(found), wide
+
+
+def left_pairs(wide: DataFrame, found: DataFrame) -> DataFrame:
+    """``(a, b, matches)`` of the ``wide`` keys that lie in no passages found, with all texts that share them."""
+    covered = islands(found).groupBy("first", "island").agg(F.min("start").alias("since"), F.max("stop").alias("until"))
+    inside = (wide["row"] == covered["first"]) & (covered["since"] <= wide["start"]) & (covered["until"] >= wide["end"])
+    return matches_of(all_pairs(wide.join(covered, inside, "left_anti"), wide))
 
 
 def snippets(chained: DataFrame, member: DataFrame, texts: DataFrame) -> DataFrame:
@@ -512,26 +587,39 @@ def substring_dedup(
     rows = staged(rows.select("row", "doc_id", "digest", "s.*"), "substring-rows")
     classes = rows.groupBy("digest").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("least_id"), F.max("doc_id").alias("most_id"))
     member = staged(rows.select("row", "doc_id", "n_words", "n_chars", "digest").join(classes, "digest"), "substring-members")
-    pairs = matched_pairs(rows, member, base, k, least, reach)
+    pairs, wide = matched_pairs(rows, member, base, k, window, least, reach)
+    found = staged(passages_of(pairs, member, base, k, least, identity, reach), "substring-passages")
+    left = staged(left_pairs(wide, found), "substring-left")
+    if not left.isEmpty():
+        found = staged(found.unionByName(passages_of(left, member, base, k, least, identity, reach)).distinct(), "substring-passages")
+    return _result(member, found, least)
+
+
+def passages_of(pairs: DataFrame, member: DataFrame, base: DataFrame, k: int, least: int, identity: float, reach: int) -> DataFrame:
+    """Passages of aligned pairs, on both sides: ``first, partner, start, stop, n_words, identity``."""
     chained = pairs.select("a", "b", chain_matches("matches").alias("c"), F.monotonically_increasing_id().alias("pair"))
     chained = staged(chained, "substring-chains")
     cut = snippets(chained, member, base)
     side = lambda n: F.max(F.when(F.col("side") == n, F.struct("text", "offset")))
     both = cut.groupBy("pair").agg(side(0).alias("x"), side(1).alias("y")).join(chained, "pair")
     found = align_udf(k, least, identity, reach)("x.text", "x.offset", "y.text", "y.offset", "c")
-    found = both.select("a", "b", F.explode(found).alias("p")).select(
+    return both.select("a", "b", F.explode(found).alias("p")).select(
         F.when(F.col("p.side") == 0, F.col("a")).otherwise(F.col("b")).alias("first"), F.when(F.col("p.side") == 0, F.col("b")).otherwise(F.col("a")).alias("partner"), "p.*"
     )
-    return _result(member, staged(found, "substring-passages"), least)
 
 
-def _result(member: DataFrame, found: DataFrame, least: int) -> DataFrame:
-    """Passages of classes, united where they overlap, for every member; whole texts of copies."""
+def islands(found: DataFrame) -> DataFrame:
+    """Passages of classes, those that overlap under one ``island``."""
     spans = found.groupBy("first", "start", "stop").agg(F.max("n_words").alias("n_words"), F.max("identity").alias("identity"), F.min("partner").alias("partner"))
     ordered = Window.partitionBy("first").orderBy("start", "stop")
     before = F.max("stop").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
     spans = spans.withColumn("new", F.coalesce(F.col("start") >= before, F.lit(True)).cast("int"))
-    spans = spans.withColumn("island", F.sum("new").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    return spans.withColumn("island", F.sum("new").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def _result(member: DataFrame, found: DataFrame, least: int) -> DataFrame:
+    """Passages of classes, united where they overlap, for every member; whole texts of copies."""
+    spans = islands(found)
     united = spans.groupBy("first", "island").agg(
         F.min("start").alias("start"), F.max("stop").alias("end"), F.max("n_words").alias("n_words"), F.max("identity").alias("identity"), F.min("partner").alias("partner")
     )

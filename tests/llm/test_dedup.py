@@ -197,6 +197,28 @@ def test_runs_that_no_representative_of_a_seed_holds(spark):
         assert texts[r["doc_id"]][1][r["start"] : r["end"]] == " ".join(run)
 
 
+@pytest.mark.parametrize("n", [2, 40])
+def test_pieces_that_different_representatives_hold(spark, n):
+    """Two texts share a passage of two runs; ``n`` texts before and after them hold the one or the other only."""
+    rng = random.Random(5)
+    one, two = words(rng, 30), words(rng, 30)
+    middles = [one, two] * n + [one + [w] + two for w in ("left", "right")] + [one, two] * n
+    texts = [(d, " ".join(words(rng, 30) + m + words(rng, 30))) for d, m in enumerate(middles)]
+    got = substring.substring_dedup(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)).collect()
+    assert {r["doc_id"]: (r["partner_id"], r["n_words"], r["n_partners"]) for r in got} == {2 * n: (2 * n + 1, 61, 1), 2 * n + 1: (2 * n, 61, 1)}
+
+
+def test_pieces_that_many_texts_hold_by_twos(spark):
+    """Two texts share three runs; any two of the runs are held by many others, before and after them."""
+    rng = random.Random(6)
+    a, b, c = (words(rng, 20) for _ in range(3))
+    other = lambda: [a + ["x"] + b, b + ["y"] + c, a + words(rng, 22) + c]
+    middles = [m for _ in range(20) for m in other()] + [a + [v] + b + [w] + c for v, w in ("lr", "pq")] + [m for _ in range(20) for m in other()]
+    texts = [(d, " ".join(words(rng, 30) + m + words(rng, 30))) for d, m in enumerate(middles)]
+    got = substring.substring_dedup(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)).collect()
+    assert {r["doc_id"]: (r["partner_id"], r["n_words"], r["n_partners"]) for r in got} == {60: (61, 62, 1), 61: (60, 62, 1)}
+
+
 def test_passages_of_long_words_are_whole(spark):
     """The text that an alignment sees is bounded in words, not in characters."""
     rng = random.Random(8)
