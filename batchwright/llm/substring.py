@@ -21,9 +21,10 @@ words, or go on beyond a difference.  So each such occurrence has further keys:
   that hold it.  Where the latter leave the words of a key outside all passages, it
   meets every text that shares it, in a second pass.
 
-So every passage lies in passages of the result; only among more than ``CAP`` texts that
-share both a seed and all that is near it, and whose passages are found already, some
-pairs are not put together, and not counted in ``n_partners``.  Equal texts are one
+So the words of every such passage are looked at with a text that shares them; among
+more than ``CAP`` texts that share both a seed and all that is near it, and whose
+passages are found already, some pairs are not put together, and not counted in
+``n_partners``.  Where a pair has several chains, which ends stay is the aligner's choice.  Equal texts are one
 class: only its first row is aligned.
 
 Result: one row for each maximal passage of a document (overlapping ones united):
