@@ -20,7 +20,7 @@ from batchwright.operators import control, scd2
 from batchwright.operators.loads import append_load, first_load, scd_load
 from batchwright.plans import DRIVER_FACT_TABLE, bootstrap, derived, driver_basic_registry, driver_registry, load_once, replay
 from batchwright.plans.catalog import replay_with_views
-from batchwright.plans.pipeline import check_batch
+from batchwright.plans.pipeline import check_batch, concurrently
 from batchwright.plans.registry import DRIVER_SCHEMAS, REFERENCE_BASIC_TABLES, REFERENCE_BATCH_TABLES, REFERENCE_FACT_TABLE, reference_basic_registry, reference_batch_registry
 from batchwright.session import scratch_dir
 from batchwright.sinks import JdbcStore, LakeStore, PartitionedStore
@@ -441,9 +441,14 @@ def q_replay_same_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out[0].unionByName(out[1])
 
 
-def _row_text(fields: list[tuple[str, str]]) -> str:
+#: ``ROUND`` of a double, halves away from zero, without the decimal number that Spark's own makes
+#: of each: a double's distance to its nearest whole number is exact.
+NEAREST = "CASE WHEN ABS({0} - RINT({0})) = 0.5D THEN {0} + 0.5D * SIGNUM({0}) ELSE RINT({0}) END"
+
+
+def _row_text(fields: list[tuple[str, str]], nearest: str = "ROUND({0})") -> str:
     """SQL text of a whole row as one string, the same in Spark and in DuckDB: doubles in hundredths, NULL as ``~``."""
-    each = (f"COALESCE(CAST({f'CAST(ROUND({c} * 100) AS BIGINT)' if t == 'double' else c} AS VARCHAR(4000)), '~')" for c, t in fields)
+    each = (f"COALESCE(CAST({f'CAST({nearest.format(f'{c} * 100')} AS BIGINT)' if t == 'double' else c} AS VARCHAR(4000)), '~')" for c, t in fields)
     return f"CONCAT_WS('|', {', '.join(each)})"
 
 
@@ -452,21 +457,28 @@ def _row_texts(store, tables: list[str], mode: str = "strict") -> DataFrame:
     out = None
     for t in tables:
         df = store.read(t)
-        part = df.select(F.lit(t).alias("table_name"), F.lit(mode).alias("mode"), F.expr(_row_text(df.dtypes)).alias("row_text"))
+        part = df.select(F.lit(t).alias("table_name"), F.lit(mode).alias("mode"), F.expr(_row_text(df.dtypes, NEAREST)).alias("row_text"))
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def _in_both_modes(spark: SparkSession, run: Callable[[str], DataFrame]) -> list[DataFrame]:
+    """``run`` in each mode, side by side (each into a store of its own)."""
+    return concurrently(spark, {mode: lambda m=mode: run(m) for mode in (scd2.STRICT, scd2.COMPAT)}, 2)
+
+
 def q_original_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nine original tables (three SCD schemas, a double change column, the sparse
     ``c_login``), two batches replayed in both modes: every row of every table."""
     ws = _ws(spark, "original")
     derived.write_original_batches(spark, sf_dir, f"{ws}/src")
-    out = []
-    for mode in (scd2.STRICT, scd2.COMPAT):
+
+    def loaded(mode: str) -> DataFrame:
         store = LakeStore(spark, f"{ws}/{mode}")
         replay(spark, store, reference_batch_registry(), f"{ws}/src", REFERENCE_FACT_TABLE, mode=mode)
-        out.append(_row_texts(store, [s.target for s in REFERENCE_BATCH_TABLES], mode))
+        return _row_texts(store, [s.target for s in REFERENCE_BATCH_TABLES], mode)
+
+    out = _in_both_modes(spark, loaded)
     return out[0].unionByName(out[1])
 
 
@@ -481,7 +493,7 @@ def q_original_one_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_replay_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """q_replay in both modes: every row of every table."""
-    out = [_row_texts(_loaded(spark, sf_dir, REPLAYED, (1, 2, 3), mode=m, label=f"replay-{m}"), list(REPLAYED), m) for m in (scd2.STRICT, scd2.COMPAT)]
+    out = _in_both_modes(spark, lambda m: _row_texts(_loaded(spark, sf_dir, REPLAYED, (1, 2, 3), mode=m, label=f"replay-{m}"), list(REPLAYED), m))
     return out[0].unionByName(out[1])
 
 

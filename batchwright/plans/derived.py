@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ..sources.delimited import write_delimited
 from ..specs import APPEND, SCD, TableSpec
+from .pipeline import concurrently
 from .registry import DRIVER_SCHEMAS, REFERENCE_BASIC_TABLES, REFERENCE_BATCH_TABLES
 
 BATCH_DATES = (dt.date(2022, 11, 1), dt.date(2022, 11, 2), dt.date(2022, 11, 3))
@@ -138,6 +139,12 @@ def batch_frame(spark: SparkSession, sf_dir: str, name: str, n: int) -> DataFram
     return BUILDERS[name](table(spark, sf_dir, name), n)
 
 
+def _write_side_by_side(spark: SparkSession, root: str, frames: dict[str, DataFrame], sep: str = "|", parallelism: int = 8) -> None:
+    """Write each frame to its path below ``root``, as concurrent jobs: a small table's
+    single task leaves the other cores to the other tables."""
+    concurrently(spark, {path: lambda p=path, df=df: write_delimited(df, f"{root}/{p}", sep) for path, df in frames.items()}, parallelism)
+
+
 def write_batches(
     spark: SparkSession,
     sf_dir: str,
@@ -147,12 +154,8 @@ def write_batches(
     sep: str = "|",
 ) -> list[str]:
     """Write ``<root>/batch_<date>/<table>/part-*`` for the given batches."""
-    names = []
-    for n in batches:
-        for t in tables:
-            write_delimited(batch_frame(spark, sf_dir, t, n), f"{root}/{batch_name(n)}/{t}", sep)
-        names.append(batch_name(n))
-    return names
+    _write_side_by_side(spark, root, {f"{batch_name(n)}/{t}": batch_frame(spark, sf_dir, t, n) for n in batches for t in tables}, sep)
+    return [batch_name(n) for n in batches]
 
 
 def write_one_time_files(spark: SparkSession, sf_dir: str, root: str, names=("customer", "nation", "region"), sep: str = "|") -> None:
@@ -229,11 +232,10 @@ def original_batch(spark: SparkSession, sf_dir: str, spec: TableSpec, n: int) ->
 
 
 def write_original_batches(spark: SparkSession, sf_dir: str, root: str) -> None:
-    for n in (1, 2):
-        for spec in REFERENCE_BATCH_TABLES:
-            write_batch_frame(original_batch(spark, sf_dir, spec, n), root, n, spec.name)
+    """Both batches of every table, the facts first, as they take longest."""
+    specs = sorted(REFERENCE_BATCH_TABLES, key=lambda s: s.load != APPEND)
+    _write_side_by_side(spark, root, {f"{batch_name(n)}/{s.name}": original_batch(spark, sf_dir, s, n) for s in specs for n in (1, 2)})
 
 
 def write_original_files(spark: SparkSession, sf_dir: str, root: str) -> None:
-    for spec in REFERENCE_BASIC_TABLES:
-        write_delimited(original_batch(spark, sf_dir, spec, 1), f"{root}/{spec.file_name}")
+    _write_side_by_side(spark, root, {s.file_name: original_batch(spark, sf_dir, s, 1) for s in REFERENCE_BASIC_TABLES})

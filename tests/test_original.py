@@ -1,5 +1,7 @@
 """The original tables, loaded whole and compared row by row; scheduler pools of concurrent loads."""
 
+import threading
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -69,3 +71,46 @@ def test_a_pool_a_load(spark, ws, chosen):
         sc.setLocalProperty(POOL, None)
         sc.setLocalProperty("own.property", None)
     assert store.pools == {t: (chosen or f"load-{t}", "kept") for t in ("customers", "nation", "region")}
+
+
+@pytest.mark.parametrize("name", ["q_original_tables", "q_replay_rows"])
+def test_both_modes_load_side_by_side(spark, monkeypatch, name):
+    """Neither mode's replay, and neither of two folders' writes, waits for the end of the other."""
+    met = {}
+
+    def meeting(where, label):
+        own, both = getattr(where, label), threading.Barrier(2)
+
+        def run(*args, **kwargs):
+            if met.setdefault(label, 0) < 2:  # the first two meet, or break the barrier
+                met[label] += 1
+                both.wait(120)
+            return own(*args, **kwargs)
+
+        monkeypatch.setattr(where, label, run)
+
+    meeting(entry, "replay")
+    meeting(derived, "write_delimited")
+    rows = entry.queries()[name](spark, SF)
+    assert met == {"replay": 2, "write_delimited": 2}
+    assert rows.groupBy("mode").count().count() == 2
+
+
+def test_row_text_rounds_as_sql(spark):
+    """Halves go away from zero, and no decimal number is made of a double."""
+    halves = [n + 0.5 for n in (0, 1, 2, 10, 12345678, 2**51)]
+    values = [*halves, 0.49999999999999994, 0.0, -0.0, 1e-300, 28.499999999999996, 2.0**52 + 1, 2.0**53, 9e18, 1234567.25, float("nan"), float("inf"), 1e300]
+    df = spark.createDataFrame([(v,) for x in values for v in (x, -x)] + [(None,)], "x double")
+    got = df.selectExpr("x", f"{entry.NEAREST.format('x')} AS got", "ROUND(x) AS want")
+    assert got.where("NOT (got <=> want)").collect() == []
+    sums = spark.createDataFrame([(0.285,), (1.005,), (-2.675,), (904.125,), (-904.125,), (None,)], "x double")
+    text = lambda f: [r[0] for r in sums.selectExpr(f).collect()]
+    assert text(entry._row_text([("x", "double")], entry.NEAREST)) == text(entry._row_text([("x", "double")])) == ["28", "100", "-268", "90413", "-90413", "~"]
+
+
+def test_row_texts_make_no_decimals(spark, ws):
+    derived.write_one_time_files(spark, SF, f"{ws}/src")
+    store = LakeStore(spark, f"{ws}/lake")
+    load_once(spark, store, driver_basic_registry(), f"{ws}/src")
+    plan = entry._row_texts(store, ["customers"])._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "rint(" in plan and "round(" not in plan
