@@ -84,9 +84,11 @@ _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 def spots(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Code points where the words of a text start and end."""
-    c = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    edge = np.diff(((c != 32) & ((c < 9) | (c > 13))).astype(np.int8), prepend=0, append=0)
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    c = np.frombuffer(text.encode("ascii"), np.uint8) if text.isascii() else np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    word = np.zeros(len(c) + 2, bool)
+    word[1:-1] = (c != 32) & ((c < 9) | (c > 13))
+    edges = np.flatnonzero(word[1:] != word[:-1])
+    return edges[::2], edges[1::2]
 
 
 def keys(text: str, h: np.ndarray, pos: np.ndarray, size: int, reach: int) -> list[np.ndarray]:
@@ -105,7 +107,7 @@ def key_lists(rows: list[list[np.ndarray]], names: list[str] = KEYS.elementType.
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype(np.uint64)
 
 
 def grams(each: np.ndarray, k: int) -> np.ndarray:
@@ -137,7 +139,8 @@ def winnow(words: list[bytes], k: int = K, window: int = WINDOW) -> tuple[np.nda
     if n <= window:
         keep = np.array([int(h.argmin())])
     else:
-        keep = np.unique(least_in(h, window))
+        keep = least_in(h, window)  # never falls
+        keep = keep[np.concatenate([[True], keep[1:] != keep[:-1]])]
     # in runs of one repeated k-mer each window-th stays, and two show that it repeats
     same = np.zeros(len(keep), bool)
     same[2:] = (h[keep[2:]] == h[keep[1:-1]]) & (h[keep[1:-1]] == h[keep[:-2]]) & (keep[2:] % window != 0)
@@ -336,21 +339,26 @@ CHAIN = T.ArrayType(T.StructType([T.StructField(c, T.ArrayType(T.IntegerType())
 def chain_matches(matches: pa.Array) -> pa.Array:
     """Chains of a pair's matches (two :data:`KEYS` without hash): word positions of the first
     seed, the code points to see on both sides, and word offsets of the seeds from the first one."""
-    out, names = [], CHAIN.elementType.names
     offsets = np.asarray(matches.offsets).tolist()
     rows = matches.values  # all matches of the batch, pair after pair
-    pa_all, pb_all, *bounds = ([int(x) for x in rows.field(c).to_pylist()] for c in ("pa", "pb", "begin_a", "stop_a", "begin_b", "stop_b"))
+    pa_all, pb_all, *bounds = (np.asarray(rows.field(c)).tolist() for c in ("pa", "pb", "begin_a", "stop_a", "begin_b", "stop_b"))
     bounds = list(zip(*bounds))
+    ends, found, steps, steps_a, steps_b = [0], [], [0], [], []
     for start, stop in zip(offsets, offsets[1:]):
         by = dict(zip(zip(pa_all[start:stop], pb_all[start:stop]), bounds[start:stop]))
         m = [x for x in sorted(by) if x[0] % K == 0 or (x[0] - 1, x[1] - 1) not in by]  # of matches at successive words each eighth is enough
-        found = []
         for c in chains(m):
             a, b = m[c[0]]
             first, last = by[m[c[0]]], by[m[c[-1]]]
-            found.append(dict(zip(names, (a, b, first[0], last[1], first[2], last[3], [m[i][0] - a for i in c], [m[i][1] - b for i in c]))))
-        out.append(found)
-    return pa.array(out, pa.list_(pa.struct([(n, pa.list_(pa.int32()) if n in ("pa", "pb") else pa.int32()) for n in names])))
+            found.append((a, b, first[0], last[1], first[2], last[3]))
+            steps_a += [m[i][0] - a for i in c]
+            steps_b += [m[i][1] - b for i in c]
+            steps.append(len(steps_a))
+        ends.append(len(found))
+    plain = np.array(found, np.int32).reshape(-1, 6)
+    lists = [pa.ListArray.from_arrays(np.array(steps, np.int32), pa.array(x, pa.int32())) for x in (steps_a, steps_b)]
+    fields = [pa.array(np.ascontiguousarray(plain[:, n])) for n in range(6)] + lists
+    return pa.ListArray.from_arrays(np.array(ends, np.int32), pa.StructArray.from_arrays(fields, CHAIN.elementType.names))
 
 
 def ahead(a: list[bytes], i: int, b: list[bytes], j: int, step: int = 16) -> int:
@@ -363,6 +371,24 @@ def ahead(a: list[bytes], i: int, b: list[bytes], j: int, step: int = 16) -> int
     return n
 
 
+def framed(one: list[bytes], two: list[bytes]) -> tuple[int, int] | None:
+    """Lengths of the common prefix and suffix where these are all matching blocks of ``SequenceMatcher``, else None.
+
+    They are where no word between them is on the other side, as no other block is then
+    longer or comes sooner.  With nothing between them on one side, a word that is there
+    twice might begin such a block."""
+    p, s = ahead(one, 0, two, 0), 0
+    most = min(len(one), len(two)) - p
+    while s < most and one[-1 - s] == two[-1 - s]:
+        s += 1
+    x, y = one[p : len(one) - s], two[p : len(two) - s]
+    if not (set(x).isdisjoint(two) and set(y).isdisjoint(one)):
+        return None
+    if (not x and len(set(one)) < len(one)) or (not y and len(set(two)) < len(two)):
+        return None
+    return p, s
+
+
 def align(a: list[bytes], b: list[bytes], i: int, j: int, steps: list[tuple[int, int]], k: int, gap: int, identity: float) -> tuple[int, int, int, int, int] | None:
     """Alignment of word lists around the match at ``a[i]``, ``b[j]``: the first and the
     end word on both sides, and the words that match.
@@ -374,10 +400,14 @@ def align(a: list[bytes], b: list[bytes], i: int, j: int, steps: list[tuple[int,
 
     def between(a0: int, a1: int, b0: int, b1: int) -> None:
         if a0 < a1 and b0 < b1:
-            if a1 - a0 == b1 - b0 and a[a0:a1] == b[b0:b1]:
+            one, two = a[a0:a1], b[b0:b1]
+            if one == two:
                 blocks.append((a0, b0, a1 - a0))
+            elif frame := framed(one, two):
+                p, s = frame
+                blocks.extend(m for m in ((a0, b0, p), (a1 - s, b1 - s, s)) if m[2])
             else:
-                blocks.extend((a0 + m.a, b0 + m.b, m.size) for m in SequenceMatcher(None, a[a0:a1], b[b0:b1], False).get_matching_blocks() if m.size)
+                blocks.extend((a0 + m.a, b0 + m.b, m.size) for m in SequenceMatcher(None, one, two, False).get_matching_blocks() if m.size)
 
     ea, eb = i, j
     for da, db in steps:
@@ -405,13 +435,19 @@ def align(a: list[bytes], b: list[bytes], i: int, j: int, steps: list[tuple[int,
                 found.append((p, q, n))
                 p, q = p + n, q + n
             near = gap // 4 + 1  # a run that counts starts this near, so a gram of it must be on both sides
-            grams_a = {tuple(a_rest[x : x + k]) for x in range(p, min(p + near, len(a_rest) - k + 1))}
-            if not any(tuple(b_rest[y : y + k]) in grams_a for y in range(q, min(q + near, len(b_rest) - k + 1))):
+            firsts = set(a_rest[p : p + near]).intersection(b_rest[q : q + near])
+            grams_a = {tuple(a_rest[x : x + k]) for x in range(p, min(p + near, len(a_rest) - k + 1)) if a_rest[x] in firsts}
+            if not grams_a or not any(b_rest[y] in firsts and tuple(b_rest[y : y + k]) in grams_a for y in range(q, min(q + near, len(b_rest) - k + 1))):
                 return found
-            m = SequenceMatcher(None, a_rest[p : p + gap], b_rest[q : q + gap], False).find_longest_match()
-            if m.size < k or max(m.a, m.b) > gap // 4:
+            one, two = a_rest[p : p + gap], b_rest[q : q + gap]
+            if frame := framed(one, two):  # the fronts differ, so there is no prefix
+                size = frame[1]
+                x, y = len(one) - size, len(two) - size
+            else:
+                x, y, size = SequenceMatcher(None, one, two, False).find_longest_match()
+            if size < k or max(x, y) > gap // 4:
                 return found
-            p, q = p + m.a, q + m.b
+            p, q = p + x, q + y
 
     a0, b0, _ = blocks[0]
     back = grow(a[:a0][::-1], b[:b0][::-1])
@@ -452,6 +488,18 @@ def holds(kept: list[tuple], a0: int, a1: int, b0: int, b1: int) -> bool:
     return False
 
 
+def merged(kept: list[tuple[int, int, int, float]]) -> list[tuple[int, int, int, float]]:
+    """Passages (start, stop, words, identity) on one side of a pair, overlapping ones united."""
+    out: list[tuple[int, int, int, float]] = []
+    for p in sorted(kept):
+        if out and p[0] < out[-1][1]:
+            q = out[-1]
+            out[-1] = (q[0], max(q[1], p[1]), max(q[2], p[2]), max(q[3], p[3]))
+        else:
+            out.append(p)
+    return out
+
+
 PASSAGE = T.ArrayType(row_type("side int, start long, stop long, n_words int, identity double"))
 
 
@@ -459,7 +507,8 @@ def align_udf(k: int, least: int, identity: float, reach: int, gap: int = GAP):
     """Passages on both sides of a pair from the texts around its chains, the best chain
     first; a chain whose start lies in a passage found already is part of that one.  A run
     of ``least`` equal words around a match that then lies in no passage (cut off with the
-    end of a chain, or on another diagonal) is one of its own."""
+    end of a chain, or on another diagonal) is one of its own.  Overlapping passages of a
+    side leave as one, as they are united in the end."""
 
     @pandas_udf(PASSAGE)
     def run(ta: pd.Series, oa: pd.Series, tb: pd.Series, ob: pd.Series, chained: pd.Series) -> pd.Series:
@@ -481,11 +530,11 @@ def align_udf(k: int, least: int, identity: float, reach: int, gap: int = GAP):
             for i, j, n in equal_runs(wa, wb, matches, least):
                 if not holds(kept, i, i + n, j, j + n):
                     kept.append((i, i + n, j, j + n, n))
-            if kept:
-                (sa, ea), (sb, eb) = spots(x), spots(y)
-            for a0, a1, b0, b1, same in kept:
-                share = same / max(a1 - a0, b1 - b0)
-                rows += [(0, int(sa[a0]) + x0, int(ea[a1 - 1]) + x0, a1 - a0, share), (1, int(sb[b0]) + y0, int(eb[b1 - 1]) + y0, b1 - b0, share)]
+            for side, text, offset, n in (0, x, x0, 0), (1, y, y0, 2):
+                if kept:
+                    starts, ends = spots(text)
+                    spans = [(int(starts[p[n]]) + offset, int(ends[p[n + 1] - 1]) + offset, p[n + 1] - p[n], p[4] / max(p[1] - p[0], p[3] - p[2])) for p in kept]
+                    rows += [(side, *p) for p in merged(spans)]
             out.append(rows)
         return pd.Series(out, dtype=object)
 
@@ -516,17 +565,28 @@ def matches_of(met: DataFrame) -> DataFrame:
     """``a, b, matches`` of pairs of rows from occurrences ``x`` and ``y`` in either order."""
     swapped = F.expr("x.row > y.row")
     met = met.select(F.when(swapped, F.col("y")).otherwise(F.col("x")).alias("x"), F.when(swapped, F.col("x")).otherwise(F.col("y")).alias("y"))
-    m = F.struct(*[F.col(f"{side}.{c}").alias(n) for side, to in (("x", "a"), ("y", "b")) for c, n in (("pos", f"p{to}"), ("begin", f"begin_{to}"), ("stop", f"stop_{to}"))])
-    return met.select(F.col("x.row").alias("a"), F.col("y.row").alias("b"), m.alias("m")).groupBy("a", "b").agg(F.collect_set("m").alias("matches"))
+    m = [F.col(f"{side}.{c}").alias(n) for side, to in (("x", "a"), ("y", "b")) for c, n in (("pos", f"p{to}"), ("begin", f"begin_{to}"), ("stop", f"stop_{to}"))]
+    plain = met.select(F.col("x.row").alias("a"), F.col("y.row").alias("b"), *m).distinct()  # before any list: a match comes once for each key near it
+    return plain.groupBy("a", "b").agg(F.collect_list(F.struct(*plain.columns[2:])).alias("matches"))
 
 
-def matched_pairs(rows: DataFrame, member: DataFrame, texts: DataFrame, k: int, window: int, least: int, reach: int, cap: int = CAP) -> tuple[DataFrame, DataFrame]:
-    """``(a, b, matches)`` of the first rows of equal texts that share seeds, and the ``wide`` keys of :func:`left_pairs`.
+def shared_seeds(rows: DataFrame, member: DataFrame) -> DataFrame:
+    """Occurrences ``h, row, pos, begin, stop`` of the seeds that two different texts hold, in the first rows of equal texts.
 
     ``rows``: ``row`` and ``seeds``; ``member``: ``row`` and ``first``, the first row of an equal text."""
+    # staged, so that Spark sees where copies are few enough not to shuffle the seeds for them
+    copies = staged(member.where("row <> first").select("row"), "substring-copies")
+    each = rows.join(copies, "row", "left_anti").select("row", F.explode("seeds").alias("s")).select("row", "s.*")
+    shared = staged(each.groupBy("h").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low < high").select("h"), "substring-seeds")
+    return staged(each.join(shared.hint("merge"), "h"), "substring-each")
+
+
+def matched_pairs(each: DataFrame, member: DataFrame, texts: DataFrame, k: int, window: int, least: int, reach: int, cap: int = CAP) -> tuple[DataFrame, DataFrame]:
+    """``(a, b, matches)`` of the first rows of equal texts that share seeds, and the ``wide`` keys of :func:`left_pairs`.
+
+    ``each``: occurrences of seeds (:func:`shared_seeds`)."""
     firsts = member.where("row = first")
-    each = rows.join(firsts.select("row"), "row", "left_semi").select("row", F.explode("seeds").alias("s")).select("row", "s.*")
-    # staged, so that the join shuffles plain rows on both sides and splits a seed that very many rows hold
+    # staged, so that the joins shuffle plain rows on both sides and split a seed that very many rows hold
     ends = staged(ends_of(each), "substring-ends")
     twice = ends.where("n = 2").select(F.col("lo").alias("x"), F.col("hi").alias("y"))
     held = staged(each.join(ends.where("n > 2").hint("merge"), "h"), "substring-held")
@@ -565,16 +625,19 @@ def left_pairs(wide: DataFrame, found: DataFrame) -> DataFrame:
     return matches_of(all_pairs(wide.join(covered, inside, "left_anti"), wide))
 
 
-def snippets(chained: DataFrame, member: DataFrame, texts: DataFrame) -> DataFrame:
-    """The texts around both sides of each pair's chains, in whole words: ``pair, side, text, offset``."""
-    sides = []
-    for n, row in ((0, "a"), (1, "b")):
-        sides.append(F.struct(F.lit(n).alias("side"), F.col(row).alias("row"), F.array_min(f"c.begin_{row}").alias("i"), F.array_max(f"c.stop_{row}").alias("j")))
-    asked = chained.select("pair", F.explode(F.array(*sides)).alias("q")).select("pair", "q.*")
-    # a class is asked for by its digest and its smallest id, so that copies do not answer as well
-    asked = asked.join(member.select("row", "digest", F.col("least_id").alias("id")), "row")
-    met = asked.join(texts, (asked["digest"] == texts["own"]) & asked["id"].eqNullSafe(texts["doc_id"]))
-    return met.select("pair", "side", F.col("i").alias("offset"), F.substring("text", F.col("i") + 1, F.col("j") - F.col("i")).alias("text"))
+def texts_of(each: DataFrame, member: DataFrame, base: DataFrame) -> DataFrame:
+    """The texts of the rows in ``each``; a class by its digest and its smallest id, so that copies do not come along."""
+    asked = member.join(each.select("row").distinct(), "row", "left_semi").select("digest", F.col("least_id").alias("id"))
+    met = base.join(asked, (base["own"] == asked["digest"]) & base["doc_id"].eqNullSafe(asked["id"]), "left_semi")
+    return staged(met, "substring-texts")
+
+
+def snippet(pairs: DataFrame, texts: DataFrame, side: str) -> DataFrame:
+    """``pairs`` with ``text_x`` and ``offset_x`` (or ``_y``): the text around all chains on that side, in whole words."""
+    met = pairs.join(texts, (pairs[f"digest_{side}"] == texts["own"]) & pairs[f"id_{side}"].eqNullSafe(texts["doc_id"]))
+    text = F.substring("text", F.col(f"i_{side}") + 1, F.col(f"j_{side}") - F.col(f"i_{side}"))
+    gone = [f"{c}_{side}" for c in ("digest", "id", "i", "j")]
+    return met.select(*[c for c in pairs.columns if c not in gone], text.alias(f"text_{side}"), F.col(f"i_{side}").alias(f"offset_{side}"))
 
 
 def substring_dedup(
@@ -588,22 +651,30 @@ def substring_dedup(
     rows = staged(rows.select("row", "doc_id", "digest", "s.*"), "substring-rows")
     classes = rows.groupBy("digest").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("least_id"), F.max("doc_id").alias("most_id"))
     member = staged(rows.select("row", "doc_id", "n_words", "n_chars", "digest").join(classes, "digest"), "substring-members")
-    pairs, wide = matched_pairs(rows, member, base, k, window, least, reach)
-    found = staged(passages_of(pairs, member, base, k, least, identity, reach), "substring-passages")
+    each = shared_seeds(rows, member)
+    texts = texts_of(each, member, base)
+    pairs, wide = matched_pairs(each, member, texts, k, window, least, reach)
+    found = staged(passages_of(pairs, member, texts, k, least, identity, reach), "substring-passages")
     left = staged(left_pairs(wide, found), "substring-left")
     if not left.isEmpty():
-        found = staged(found.unionByName(passages_of(left, member, base, k, least, identity, reach)).distinct(), "substring-passages")
+        found = found.unionByName(staged(passages_of(left, member, texts, k, least, identity, reach), "substring-passages"))
     return _result(member, found, least)
 
 
-def passages_of(pairs: DataFrame, member: DataFrame, base: DataFrame, k: int, least: int, identity: float, reach: int) -> DataFrame:
+def passages_of(pairs: DataFrame, member: DataFrame, texts: DataFrame, k: int, least: int, identity: float, reach: int) -> DataFrame:
     """Passages of aligned pairs, on both sides: ``first, partner, start, stop, n_words, identity``."""
-    chained = pairs.select("a", "b", chain_matches("matches").alias("c"), F.monotonically_increasing_id().alias("pair"))
-    chained = staged(chained, "substring-chains")
-    cut = snippets(chained, member, base)
-    side = lambda n: F.max(F.when(F.col("side") == n, F.struct("text", "offset")))
-    both = cut.groupBy("pair").agg(side(0).alias("x"), side(1).alias("y")).join(chained, "pair")
-    found = align_udf(k, least, identity, reach)("x.text", "x.offset", "y.text", "y.offset", "c")
+    chained = staged(pairs.select("a", "b", chain_matches("matches").alias("c")), "substring-chains")
+    asked = {s: [F.col(s), F.array_min(f"c.begin_{s}"), F.array_max(f"c.stop_{s}")] for s in "ab"}
+    flip = (asked["a"][2] - asked["a"][1]) > (asked["b"][2] - asked["b"][1])
+    # only the shorter text of a pair (x) is shuffled, to where the other one (y) lies
+    sides = [F.when(flip, q).otherwise(p).alias(f"{c}_{side}") for side, of, to in (("x", "a", "b"), ("y", "b", "a")) for c, p, q in zip(("row", "i", "j"), asked[of], asked[to])]
+    chained = chained.select("a", "b", "c", flip.alias("flip"), *sides)
+    for side in "xy":
+        names = member.select(F.col("row").alias(f"row_{side}"), F.col("digest").alias(f"digest_{side}"), F.col("least_id").alias(f"id_{side}"))
+        chained = chained.join(names, f"row_{side}").drop(f"row_{side}")
+    both = snippet(snippet(chained, texts, "x"), texts, "y")
+    args = [F.when(F.col("flip"), F.col(f"{c}_{q}")).otherwise(F.col(f"{c}_{p}")) for p, q in ("xy", "yx") for c in ("text", "offset")]
+    found = align_udf(k, least, identity, reach)(*args, "c")
     return both.select("a", "b", F.explode(found).alias("p")).select(
         F.when(F.col("p.side") == 0, F.col("a")).otherwise(F.col("b")).alias("first"), F.when(F.col("p.side") == 0, F.col("b")).otherwise(F.col("a")).alias("partner"), "p.*"
     )

@@ -4,9 +4,11 @@ import hashlib
 import random
 import re
 from collections import Counter, defaultdict
+from difflib import SequenceMatcher
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 
@@ -254,6 +256,42 @@ def test_equal_runs_outside_the_best_chain(spark):
             assert any(a <= at and at + len(" ".join(part)) <= b for a, b in spans)
 
 
+def test_framed_blocks_are_difflibs():
+    rng = random.Random(9)
+    framed = 0
+    for _ in range(5000):
+        letters = [bytes([65 + i]) for i in range(rng.choice([2, 4, 12, 60]))]
+        front, back = (rng.choices(letters, k=rng.randint(0, 6)) for _ in range(2))
+        middle = lambda: rng.choices([b"%d" % rng.randint(0, 9), letters[0]], k=rng.randint(0, 3))
+        a, b = front + middle() + back, front + middle() + back
+        if a != b and (got := substring.framed(a, b)):
+            framed += 1
+            p, s = got
+            want = [(m.a, m.b, m.size) for m in SequenceMatcher(None, a, b, False).get_matching_blocks() if m.size]
+            assert want == [m for m in ((0, 0, p), (len(a) - s, len(b) - s, s)) if m[2]]
+    assert framed > 1000
+
+
+def test_overlapping_passages_of_a_pair_leave_as_one():
+    """Two alignments that overlap on both sides of a pair make one row a side."""
+    rng = random.Random(10)
+    run = words(rng, 120)
+    text = " ".join(run)
+    chain = lambda a: dict(a0=a, b0=a, begin_a=0, stop_a=len(text), begin_b=0, stop_b=len(text), pa=np.array([0]), pb=np.array([0]))
+    changed = " ".join([*run[:60], "other", "words", *run[62:]])
+    align = substring.align_udf(8, 50, 0.8, 320).func
+    (rows,) = align(pd.Series([text]), pd.Series([0]), pd.Series([changed]), pd.Series([0]), pd.Series([np.array([chain(5), chain(100)], object)]))
+    assert [r[:4] for r in rows] == [(0, 0, len(text), 120), (1, 0, len(changed), 120)]
+    assert substring.merged([(5, 9, 2, 0.8), (0, 6, 3, 0.9), (9, 12, 1, 1.0)]) == [(0, 9, 3, 0.9), (9, 12, 1, 1.0)]
+
+
+def test_only_texts_of_shared_seeds_are_passed_on(spark):
+    base = spark.createDataFrame([(i, f"text {i // 2}", bytes([i // 2])) for i in range(8)], "doc_id long, text string, own binary")
+    member = spark.createDataFrame([(i, bytes([i // 2]), i // 2 * 2) for i in range(8)], "row long, digest binary, least_id long")
+    each = spark.createDataFrame([(7, 2), (8, 2), (7, 4)], "h long, row long")
+    assert sorted(r["doc_id"] for r in substring.texts_of(each, member, base).collect()) == [2, 4]
+
+
 def test_substring_odd_rows(odd, empty):
     got = substring.substring_dedup(odd, least=50).collect()
     assert not [r for r in got if r["doc_id"] in (1, 2, 3, 4, 9, 10)]
