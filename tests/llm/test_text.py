@@ -288,3 +288,19 @@ def test_packing_deals_repeated_rows(spark):
     shards = out.groupBy(F.shiftright("sequence_id", 32).alias("shard")).count().collect()
     assert len(shards) == 40 and max(r["count"] for r in shards) < 300
     assert sum(r["count"] for r in shards) == 4000
+
+
+def test_chunk_encoder_asks_its_cache_piece_by_piece():
+    """A block costs what its own pieces cost, not what the cache holds."""
+    from batchwright.llm.common import ChunkEncoder
+
+    class Cache(dict):
+        def keys(self):
+            raise AssertionError("all keys asked for")
+
+        __iter__ = keys
+
+    encoder = ChunkEncoder(r" ?[^\s]+|\s+", lambda pieces: [p.encode() for p in pieces])
+    encoder.pieces, encoder.chunks = Cache(), Cache()
+    texts = ["one two three", "three  four one", ""]
+    assert encoder(texts) == encoder(texts) == [t.encode() for t in texts]
