@@ -45,7 +45,6 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections import deque
-from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
@@ -372,7 +371,7 @@ def ahead(a: list[bytes], i: int, b: list[bytes], j: int, step: int = 16) -> int
 
 
 def framed(one: list[bytes], two: list[bytes]) -> tuple[int, int] | None:
-    """Lengths of the common prefix and suffix where these are all matching blocks of ``SequenceMatcher``, else None.
+    """Lengths of the common prefix and suffix where these are all :func:`matching_blocks`, else None.
 
     They are where no word between them is on the other side, as no other block is then
     longer or comes sooner.  With nothing between them on one side, a word that is there
@@ -389,6 +388,69 @@ def framed(one: list[bytes], two: list[bytes]) -> tuple[int, int] | None:
     return p, s
 
 
+def equal_diagonals(one: list[bytes], two: list[bytes]) -> list[tuple[int, int, int]]:
+    """Maximal runs of equal words: start in ``one``, start in ``two``, words."""
+    at: dict[bytes, list[int]] = {}
+    for j, w in enumerate(two):
+        if w in at:
+            at[w].append(j)
+        else:
+            at[w] = [j]
+    runs, x, y = [], len(one), len(two)
+    for i, places in enumerate(map(at.get, one)):
+        for j in places or ():
+            if i and j and one[i - 1] == two[j - 1]:
+                continue  # within a run
+            n, most = 1, min(x - i, y - j)
+            while n < most and one[i + n] == two[j + n]:
+                n += 1
+            runs.append((i, j, n))
+    return runs
+
+
+def longest(runs: list[tuple[int, int, int]]) -> tuple[int, int, int]:
+    """The longest run, of equals the first in ``one``, then in ``two``."""
+    x = y = size = 0
+    for i, j, n in runs:
+        if n > size or (n == size and (i, j) < (x, y)):
+            x, y, size = i, j, n
+    return x, y, size
+
+
+def matching_blocks(one: list[bytes], two: list[bytes]) -> list[tuple[int, int, int]]:
+    """The blocks of difflib's ``SequenceMatcher``: the longest run of equal words, and so on before and after it.
+
+    All runs are found once and cut to the part in question, instead of searched for in every part."""
+    blocks, parts = [], [equal_diagonals(one, two)]
+    while parts:
+        runs = parts.pop()
+        x, y, size = longest(runs)
+        if not size:
+            continue
+        blocks.append((x, y, size))
+        if len(runs) > 1:
+            before, after, ex, ey = [], [], x + size, y + size
+            for i, j, n in runs:
+                if i < x and j < y:
+                    before.append((i, j, min(n, x - i, y - j)))
+                skip = max(ex - i, ey - j, 0)
+                if skip < n:
+                    after.append((i + skip, j + skip, n - skip))
+            if before:
+                parts.append(before)
+            if after:
+                parts.append(after)
+    blocks.sort()
+    out = blocks[:1]
+    for i, j, n in blocks[1:]:  # neighbours are one block
+        x, y, size = out[-1]
+        if x + size == i and y + size == j:
+            out[-1] = (x, y, size + n)
+        else:
+            out.append((i, j, n))
+    return out
+
+
 def align(a: list[bytes], b: list[bytes], i: int, j: int, steps: list[tuple[int, int]], k: int, gap: int, identity: float) -> tuple[int, int, int, int, int] | None:
     """Alignment of word lists around the match at ``a[i]``, ``b[j]``: the first and the
     end word on both sides, and the words that match.
@@ -407,7 +469,7 @@ def align(a: list[bytes], b: list[bytes], i: int, j: int, steps: list[tuple[int,
                 p, s = frame
                 blocks.extend(m for m in ((a0, b0, p), (a1 - s, b1 - s, s)) if m[2])
             else:
-                blocks.extend((a0 + m.a, b0 + m.b, m.size) for m in SequenceMatcher(None, one, two, False).get_matching_blocks() if m.size)
+                blocks.extend((a0 + x, b0 + y, n) for x, y, n in matching_blocks(one, two))
 
     ea, eb = i, j
     for da, db in steps:
@@ -444,7 +506,7 @@ def align(a: list[bytes], b: list[bytes], i: int, j: int, steps: list[tuple[int,
                 size = frame[1]
                 x, y = len(one) - size, len(two) - size
             else:
-                x, y, size = SequenceMatcher(None, one, two, False).find_longest_match()
+                x, y, size = longest(equal_diagonals(one, two))
             if size < k or max(x, y) > gap // 4:
                 return found
             p, q = p + x, q + y
@@ -604,7 +666,7 @@ def matched_pairs(each: DataFrame, member: DataFrame, texts: DataFrame, k: int,
     near = shared.select("row", F.explode("near").alias("s")).select("row", "s.*")
     sizes = near.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("low"), F.max("row").alias("high")).where("low < high").select("h", "n")
     # at its place in the text a key has the context of its seed
-    near = near.join(staged(sizes, "substring-near-sizes").hint("merge"), "h").join(many.select(*OCCURRENCE).distinct(), ["row", "pos"])
+    near = near.join(staged(sizes, "substring-near-sizes").hint("merge"), "h").join(many.select(F.col("h").alias("seed"), *OCCURRENCE).distinct(), ["row", "pos"])
     near = staged(near, "substring-near")
     rare = near.where(F.col("n") <= cap)
     wide = near.where(F.col("n") > cap)
@@ -618,11 +680,22 @@ def matched_pairs(each: DataFrame, member: DataFrame, texts: DataFrame, k: int,
     return matches_of(found), wide
 
 
-def left_pairs(wide: DataFrame, found: DataFrame) -> DataFrame:
-    """``(a, b, matches)`` of the ``wide`` keys that lie in no passages found, with all texts that share them."""
+def left_meetings(wide: DataFrame, found: DataFrame) -> DataFrame:
+    """``x, y``: occurrences of seeds with ``wide`` keys that lie in no passages found, and all others that share such a key.
+
+    A key holds its seed, so two occurrences meet once, by the seed, however many keys they share."""
     covered = islands(found).groupBy("first", "island").agg(F.min("start").alias("since"), F.max("stop").alias("until"))
     inside = (wide["row"] == covered["first"]) & (covered["since"] <= wide["start"]) & (covered["until"] >= wide["end"])
-    return matches_of(all_pairs(wide.join(covered, inside, "left_anti"), wide))
+    listed = lambda df: df.groupBy("seed", *OCCURRENCE).agg(F.collect_list("h").alias("keys"))
+    one = lambda df, c, keys: df.select("seed", F.struct(*OCCURRENCE).alias(c), F.col("keys").alias(keys))
+    lost = staged(listed(wide.join(covered, inside, "left_anti")), "substring-lost")
+    holders = listed(wide.join(lost.select("seed").distinct(), "seed", "left_semi"))
+    return one(lost, "x", "lost").join(one(holders, "y", "held"), "seed").where("x.row <> y.row and arrays_overlap(lost, held)").select("x", "y")
+
+
+def left_pairs(wide: DataFrame, found: DataFrame) -> DataFrame:
+    """``(a, b, matches)`` of the ``wide`` keys that lie in no passages found, with all texts that share them."""
+    return matches_of(left_meetings(wide, found))
 
 
 def texts_of(each: DataFrame, member: DataFrame, base: DataFrame) -> DataFrame:

@@ -272,6 +272,30 @@ def test_framed_blocks_are_difflibs():
     assert framed > 1000
 
 
+def test_blocks_are_difflibs():
+    rng = random.Random(8)
+    for n in range(3000):
+        kinds = rng.choice([1, 2, 4, 30])
+        one, two = ([rng.randrange(kinds) for _ in range(rng.randrange(25))] for _ in "ab")
+        if n % 2:
+            two = [w for w in one if rng.random() < 0.9]
+        m = SequenceMatcher(None, one, two, False)
+        assert substring.matching_blocks(one, two) == [tuple(b) for b in m.get_matching_blocks() if b.size]
+        assert substring.longest(substring.equal_diagonals(one, two)) == tuple(m.find_longest_match())
+
+
+def test_left_occurrences_meet_once(spark):
+    """However many keys two occurrences share they meet once; a key in a passage found brings nobody."""
+    keys = [(r, 5, 7, h, 20, 10 * h, 10 * h + 9, 0, 900) for r in range(6) for h in range(30)]
+    keys += [(r, 5, 8, 50, 20, 10, 19, 0, 900) for r in (7, 8)] + [(9, 5, 7, 99, 20, 10, 19, 0, 900)]
+    wide = spark.createDataFrame(keys, "row long, pos int, seed long, h long, at int, start int, end int, begin int, stop int")
+    found = spark.createDataFrame([(r, 0, 0, 300, 60, 1.0) for r in (1, 2, 3, 4, 5, 7, 8)], "first long, partner long, start long, stop long, n_words int, identity double")
+    met = [(r.x.row, r.y.row) for r in substring.left_meetings(wide, found).collect()]
+    assert sorted(met) == [(0, r) for r in range(1, 6)]
+    pairs = substring.left_pairs(wide, found).collect()
+    assert sorted((r.a, r.b, len(r.matches)) for r in pairs) == [(0, r, 1) for r in range(1, 6)]
+
+
 def test_overlapping_passages_of_a_pair_leave_as_one():
     """Two alignments that overlap on both sides of a pair make one row a side."""
     rng = random.Random(10)
