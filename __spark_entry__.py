@@ -9,12 +9,15 @@ the same result from the raw tables with plain SQL.
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from batchwright import fs
 from batchwright.functions.stamps import batch_date_col
 from batchwright.operators import control, scd2
 from batchwright.operators.loads import append_load, first_load, scd_load
@@ -22,7 +25,7 @@ from batchwright.plans import DRIVER_FACT_TABLE, bootstrap, derived, driver_basi
 from batchwright.plans.catalog import replay_with_views
 from batchwright.plans.pipeline import check_batch, concurrently
 from batchwright.plans.registry import DRIVER_SCHEMAS, REFERENCE_BASIC_TABLES, REFERENCE_BATCH_TABLES, REFERENCE_FACT_TABLE, reference_basic_registry, reference_batch_registry
-from batchwright.session import scratch_dir
+from batchwright.session import scratch_dir, shuffle_files_cleaned
 from batchwright.sinks import JdbcStore, LakeStore, PartitionedStore
 from batchwright.sources import manifest_frame, read_delimited, read_jdbc
 from batchwright.sources.jdbc import read_jdbc_equi_depth
@@ -462,23 +465,46 @@ def _row_texts(store, tables: list[str], mode: str = "strict") -> DataFrame:
     return out
 
 
+MODES = (scd2.STRICT, scd2.COMPAT)
+
+
 def _in_both_modes(spark: SparkSession, run: Callable[[str], DataFrame]) -> list[DataFrame]:
     """``run`` in each mode, side by side (each into a store of its own)."""
-    return concurrently(spark, {mode: lambda m=mode: run(m) for mode in (scd2.STRICT, scd2.COMPAT)}, 2)
+    return concurrently(spark, {mode: lambda m=mode: run(m) for mode in MODES}, len(MODES))
+
+
+def _drop_when_loaded(spark: SparkSession, root: str) -> Callable[[str], None]:
+    """To be told of each batch that a mode has loaded; deletes the batch's folder below
+    ``root`` once every mode has, as nothing reads it any more."""
+    loaded, lock = Counter(), threading.Lock()
+
+    def after_batch(batch: str) -> None:
+        with lock:
+            loaded[batch] += 1
+            last = loaded[batch] == len(MODES)
+        if last:
+            fs.delete(spark, f"{root}/{batch}")
+
+    return after_batch
 
 
 def q_original_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nine original tables (three SCD schemas, a double change column, the sparse
-    ``c_login``), two batches replayed in both modes: every row of every table."""
+    ``c_login``), two batches replayed in both modes: every row of every table.
+
+    Disk holds the batches that a mode still has to load, the newest version of each table
+    and the shuffle files of what runs."""
     ws = _ws(spark, "original")
     derived.write_original_batches(spark, sf_dir, f"{ws}/src")
+    after_batch = _drop_when_loaded(spark, f"{ws}/src")
 
     def loaded(mode: str) -> DataFrame:
-        store = LakeStore(spark, f"{ws}/{mode}")
-        replay(spark, store, reference_batch_registry(), f"{ws}/src", REFERENCE_FACT_TABLE, mode=mode)
+        store = LakeStore(spark, f"{ws}/{mode}", retain_versions=1, compression="zstd")
+        replay(spark, store, reference_batch_registry(), f"{ws}/src", REFERENCE_FACT_TABLE, mode=mode, after_batch=after_batch)
         return _row_texts(store, [s.target for s in REFERENCE_BATCH_TABLES], mode)
 
-    out = _in_both_modes(spark, loaded)
+    with shuffle_files_cleaned(spark):
+        out = _in_both_modes(spark, loaded)
     return out[0].unionByName(out[1])
 
 

@@ -139,10 +139,13 @@ def batch_frame(spark: SparkSession, sf_dir: str, name: str, n: int) -> DataFram
     return BUILDERS[name](table(spark, sf_dir, name), n)
 
 
-def _write_side_by_side(spark: SparkSession, root: str, frames: dict[str, DataFrame], sep: str = "|", parallelism: int = 8) -> None:
+def _write_side_by_side(
+    spark: SparkSession, root: str, frames: dict[str, DataFrame], sep: str = "|", parallelism: int = 8, compressed: bool = False
+) -> None:
     """Write each frame to its path below ``root``, as concurrent jobs: a small table's
     single task leaves the other cores to the other tables."""
-    concurrently(spark, {path: lambda p=path, df=df: write_delimited(df, f"{root}/{p}", sep) for path, df in frames.items()}, parallelism)
+    tasks = {path: lambda p=path, df=df: write_delimited(df, f"{root}/{p}", sep, compressed) for path, df in frames.items()}
+    concurrently(spark, tasks, parallelism)
 
 
 def write_batches(
@@ -232,9 +235,11 @@ def original_batch(spark: SparkSession, sf_dir: str, spec: TableSpec, n: int) ->
 
 
 def write_original_batches(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """Both batches of every table, the facts first, as they take longest."""
+    """Both batches of every table, the facts first, as they take longest; compressed, as
+    their text is ten times the Parquet tables that it is made of."""
     specs = sorted(REFERENCE_BATCH_TABLES, key=lambda s: s.load != APPEND)
-    _write_side_by_side(spark, root, {f"{batch_name(n)}/{s.name}": original_batch(spark, sf_dir, s, n) for s in specs for n in (1, 2)})
+    frames = {f"{batch_name(n)}/{s.name}": original_batch(spark, sf_dir, s, n) for s in specs for n in (1, 2)}
+    _write_side_by_side(spark, root, frames, compressed=True)
 
 
 def write_original_files(spark: SparkSession, sf_dir: str, root: str) -> None:

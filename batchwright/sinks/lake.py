@@ -118,17 +118,19 @@ class Pending:
 class LakeStore:
     """Tables under one root folder (a shared file system or object store)."""
 
-    def __init__(self, spark: SparkSession, root: str, retain_versions: int | None = None):
+    def __init__(self, spark: SparkSession, root: str, retain_versions: int | None = None, compression: str | None = None):
         """``retain_versions`` (off by default, so every version stays
         readable) vacuums after each publish whatever the newest N versions
         do not read.  A strict SCD merge writes a whole new open set, so
         without it each batch keeps one more copy of the open set.  Use
-        N >= 2 when readers may still be on the previous version."""
+        N >= 2 when readers may still be on the previous version.
+        ``compression`` is the Parquet codec of the data; the session's by default."""
         if retain_versions is not None and retain_versions < 1:
             raise ValueError("retain_versions must be at least 1")
         self.spark = spark
         self.root = root.rstrip("/")
         self.retain_versions = retain_versions
+        self.compression = compression
 
     # ----------------------------------------------------------- metadata
     def table_path(self, table: str) -> str:
@@ -221,6 +223,8 @@ class LakeStore:
         if "_op" in df.columns:  # merge bookkeeping, not data
             df = df.drop("_op")
         writer = df.write.mode("overwrite")
+        if self.compression:
+            writer = writer.option("compression", self.compression)
         if kind == SCD:
             writer = writer.partitionBy(END_DATE)
         writer.parquet(path)
